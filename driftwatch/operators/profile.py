@@ -15,6 +15,7 @@ level 2 only sees distinct values; nothing is collected to the driver.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -36,8 +37,54 @@ def _now() -> dt.datetime:
     return dt.datetime.now().replace(microsecond=0)
 
 
-def _levels(sliced: DataFrame, specs: list[ColumnSpec], median_partitions: int) -> DataFrame:
-    """Level 1, level 2 and median for rows carrying a ``__pe`` period column."""
+# Weeks of a whole-table batch end on Sundays unless a schedule anchors them.
+DEFAULT_WEEK_ANCHOR = dt.date(1970, 1, 4)
+KEYS = ["__t", "__pe", "cid"]
+
+
+@dataclass
+class Slice:
+    """One table to profile: whole (no date field) or by day/week/month periods.
+
+    ``first_end`` / ``last_end`` bound the period ends (D1-moved); ``None``
+    means from the table's first or up to its last row.
+    """
+
+    df: DataFrame
+    table_name: str
+    date_field: str | None = None
+    interval_type: str | None = None
+    first_end: dt.date | None = None
+    last_end: dt.date | None = None
+    anchor_end: dt.date | None = None
+    column_id: str = "v2"
+    specs: list = field(default_factory=list)
+
+    def prepare(self) -> DataFrame:
+        self.specs = table_structure(self.df.schema, self.date_field, self.column_id)
+        if not self.specs:
+            raise ValueError(f"{self.table_name}: no column to profile")
+        if self.date_field is None:
+            self.interval_type = None
+            return self.df.withColumn("__pe", F.lit(None).cast("date"))
+        self.interval_type = normalise_interval(self.interval_type)
+        day = slice_day(_q(self.date_field), self.df.schema[self.date_field].dataType)
+        cond = day.isNotNull()
+        if self.first_end is not None:
+            cond = cond & (day >= F.lit(python_bounds(self.first_end, self.interval_type)[0]))
+        if self.last_end is not None:
+            cond = cond & (day <= F.lit(python_bounds(self.last_end, self.interval_type)[1]))
+        anchor = self.anchor_end or self.first_end or DEFAULT_WEEK_ANCHOR
+        return self.df.where(cond).withColumn("__pe", row_period_end(day, self.interval_type, anchor))
+
+    def start_of(self, pe: Column) -> Column:
+        if self.interval_type is None:
+            return F.lit(None).cast("date")
+        return {"day": pe, "week": F.date_sub(pe, 6), "month": F.trunc(pe, "MM")}[self.interval_type]
+
+
+def _long(sliced: DataFrame, specs: list[ColumnSpec], t: int) -> DataFrame:
+    """Unpivot (Expand) to one row per (row, column): cid, decimal/text value, bigint, present."""
     structs = []
     for s in specs:
         c = _q(s.name)
@@ -54,11 +101,16 @@ def _levels(sliced: DataFrame, specs: list[ColumnSpec], median_partitions: int)
                 c.isNotNull().alias("p"),
             ).alias(f"c{s.column_id}")
         )
-    wide = sliced.select(F.col("__pe"), *structs)
-    long = wide.unpivot(["__pe"], [f"c{s.column_id}" for s in specs], "__k", "__s").select("__pe", "__s.*")
+    wide = sliced.select(F.lit(t).alias("__t"), F.col("__pe"), *structs)
+    return wide.unpivot(["__t", "__pe"], [f"c{s.column_id}" for s in specs], "__k", "__s").select(
+        "__t", "__pe", "__s.*"
+    )
 
+
+def _levels(long: DataFrame, median_partitions: int) -> DataFrame:
+    """Level 1, level 2 and median for (table, period, column) groups."""
     bm = F.col("vn").try_cast("bigint")
-    level1 = long.groupBy("__pe", "cid", "vn", "vt").agg(
+    level1 = long.groupBy(*KEYS, "vn", "vt").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("p")).alias("np"),
         F.count_if(F.col("b") == bm).alias("nbm"),
@@ -66,12 +118,10 @@ def _levels(sliced: DataFrame, specs: list[ColumnSpec], median_partitions: int)
     )
     # Range-partition the distinct values once and pin them (with their
     # partition id) so that level 2 and the median read one materialisation.
-    ranged = level1.repartitionByRange(median_partitions, "__pe", "cid", "vn", "vt").withColumn(
-        "__pid", F.spark_partition_id()
-    )
-    ensure_checkpoint_dir(sliced.sparkSession)
+    ranged = level1.repartitionByRange(median_partitions, *KEYS, "vn", "vt").withColumn("__pid", F.spark_partition_id())
+    ensure_checkpoint_dir(long.sparkSession)
     ranged = ranged.checkpoint(eager=True)
-    level2 = ranged.groupBy("__pe", "cid").agg(
+    level2 = ranged.groupBy(*KEYS).agg(
         F.sum("n").alias("rows_cnt"),
         F.sum("np").alias("completed_rows_cnt"),
         (F.count("vn") + F.count("vt")).alias("distinct_values_cnt"),
@@ -83,12 +133,12 @@ def _levels(sliced: DataFrame, specs: list[ColumnSpec], median_partitions: int)
     # A value v (rounded to 6 dp) holds rows whose bigint truncation is
     # trunc(v) or, for a row just below an integer, one step toward zero.
     numeric = ranged.withColumn("main", bm).withColumn("alt", bm - F.signum(F.col("vn")).cast("bigint"))
-    med = median_of_ranged(numeric, ["__pe", "cid"], "vn")
+    med = median_of_ranged(numeric, KEYS, "vn").select(*[F.col(k).alias(f"m{k}") for k in KEYS], "median_value")
     mean = F.col("sum_of_values").cast(MEAN_DECIMAL) / F.col("__k").cast("decimal(20,0)")
-    joined = level2.join(med, (level2["__pe"].eqNullSafe(med["__pe"])) & (level2["cid"] == med["cid"]), "left")
+    cond = (F.col("__t") == F.col("m__t")) & F.col("__pe").eqNullSafe(F.col("m__pe")) & (F.col("cid") == F.col("mcid"))
+    joined = level2.join(med, cond, "left")
     return joined.select(
-        level2["__pe"],
-        level2["cid"],
+        *KEYS,
         "rows_cnt",
         "completed_rows_cnt",
         (F.col("rows_cnt") - F.col("completed_rows_cnt")).alias("nulls_cnt"),
@@ -101,52 +151,78 @@ def _levels(sliced: DataFrame, specs: list[ColumnSpec], median_partitions: int)
     )
 
 
-def _source_duplicates(sliced: DataFrame, schema: T.StructType) -> DataFrame:
-    """Full duplicate rows of the slice, per period: sum(count - 1)."""
+def source_duplicates(sliced: DataFrame, schema: T.StructType, t: int = 0) -> DataFrame:
+    """Full duplicate rows of the slice per period: sum(count - 1).
+
+    Grouped by every column, so a heavily repeated row is combined map-side.
+    """
     keys = []
     for f in schema.fields:
         c = _q(f.name)
         keys.append((F.to_json(c) if isinstance(f.dataType, T.MapType) else c).alias(f"k{len(keys)}"))
-    groups = sliced.select(F.col("__pe"), *keys).groupBy(*(["__pe"] + [f"k{i}" for i in range(len(keys))])).count()
-    return groups.groupBy("__pe").agg(F.sum(F.col("count") - 1).alias("dublicates_cnt"))
+    groups = sliced.select(F.col("__pe"), *keys).groupBy("__pe", *[f"k{i}" for i in range(len(keys))]).count()
+    return groups.groupBy("__pe").agg(F.sum(F.col("count") - 1).alias("dublicates_cnt")).withColumn("__t", F.lit(t))
 
 
-def _finish(
-    levels: DataFrame,
-    specs: list[ColumnSpec],
-    table_name: str,
-    interval: str | None,
-    start_expr,
-    report_dttm: dt.datetime,
-    duplicates: DataFrame | None,
+def _lookup(pairs: list[tuple[int, Column]], key: Column) -> Column:
+    return F.element_at(F.create_map(*[x for k, v in pairs for x in (F.lit(k), v)]), key)
+
+
+def profile_many(
+    slices: list[Slice],
+    *,
+    duplicates: str = "profile",
+    report_dttm: dt.datetime | None = None,
+    median_partitions: int | None = None,
 ) -> DataFrame:
-    by_id = sorted(specs, key=lambda s: s.column_id)
-    dense = [s.column_id for s in by_id] == list(range(len(by_id)))
-    if dense:
-        pick = lambda vals: F.element_at(F.array(*vals), F.col("cid") + 1)
-    else:
-        pick = lambda vals: F.element_at(
-            F.create_map(*[x for s, v in zip(by_id, vals) for x in (F.lit(s.column_id), v)]), F.col("cid")
-        )
-    name = pick([F.lit(s.name) for s in by_id])
-    label = pick([F.lit(s.data_type) for s in by_id])
-    comment = pick([F.lit(s.comment).cast("string") for s in by_id])
-    out = levels
-    if duplicates is not None:
-        out = out.join(duplicates, out["__pe"].eqNullSafe(duplicates["__pe"]), "left").drop(duplicates["__pe"])
+    """Profiles of several tables and periods in one job (C1 + C2).
+
+    ``duplicates='profile'`` keeps the original's duplicate count over profile
+    rows (always 0); ``'source'`` counts full duplicate rows of each slice (A16).
+    """
+    if not slices:
+        raise ValueError("nothing to profile")
+    spark = slices[0].df.sparkSession
+    longs, dups = [], []
+    for t, sl in enumerate(slices):
+        sliced = sl.prepare()
+        longs.append(_long(sliced, sl.specs, t))
+        if duplicates == "source":
+            dups.append(source_duplicates(sliced, sl.df.schema, t))
+    long = longs[0]
+    for other in longs[1:]:
+        long = long.unionByName(other)
+    levels = _levels(long, median_partitions or shuffle_partitions(spark))
+    if dups:
+        dup_df = dups[0]
+        for other in dups[1:]:
+            dup_df = dup_df.unionByName(other)
+        dup_df = dup_df.select(F.col("__t").alias("d__t"), F.col("__pe").alias("d__pe"), "dublicates_cnt")
+        cond = (F.col("__t") == F.col("d__t")) & F.col("__pe").eqNullSafe(F.col("d__pe"))
+        levels = levels.join(dup_df, cond, "left")
         dup = F.coalesce(F.col("dublicates_cnt"), F.lit(0)).cast("long")
     else:
         # v2 counted duplicates among profile rows, which the column id makes unique.
         dup = F.lit(0).cast("long")
-    return out.select(
-        F.lit(table_name).alias("table_name"),
+    key = F.col("__t") * F.lit(1_000_000) + F.col("cid")
+    meta = [(t * 1_000_000 + s.column_id, s) for t, sl in enumerate(slices) for s in sl.specs]
+    name = _lookup([(k, F.lit(s.name)) for k, s in meta], key)
+    label = _lookup([(k, F.lit(s.data_type)) for k, s in meta], key)
+    comment = _lookup([(k, F.lit(s.comment).cast("string")) for k, s in meta], key)
+    table = _lookup([(t, F.lit(sl.table_name)) for t, sl in enumerate(slices)], F.col("__t"))
+    interval = _lookup([(t, F.lit(sl.interval_type).cast("string")) for t, sl in enumerate(slices)], F.col("__t"))
+    start = F.lit(None).cast("date")
+    for t, sl in enumerate(slices):
+        start = F.when(F.col("__t") == t, sl.start_of(F.col("__pe"))).otherwise(start)
+    return levels.select(
+        table.alias("table_name"),
         name.alias("column_name"),
         F.col("cid").cast("long").alias("column_id"),
         label.alias("data_type"),
         comment.alias("comment"),
-        start_expr.alias("start_of_calculation_period"),
+        start.alias("start_of_calculation_period"),
         F.col("__pe").alias("end_of_calculation_period"),
-        F.lit(interval).cast("string").alias("interval_type"),
+        interval.alias("interval_type"),
         F.col("rows_cnt").cast("long").alias("rows_cnt"),
         F.col("completed_rows_cnt").cast("long").alias("completed_rows_cnt"),
         F.col("nulls_cnt").cast("long").alias("nulls_cnt"),
@@ -157,30 +233,21 @@ def _finish(
         "average_value",
         "sum_of_values",
         dup.alias("dublicates_cnt"),
-        F.lit(report_dttm).cast("timestamp").alias("report_dttm"),
+        F.lit(report_dttm or _now()).cast("timestamp").alias("report_dttm"),
     )
 
 
-def _prepare(df: DataFrame, date_field: str | None, column_id: str):
-    specs = table_structure(df.schema, date_field, column_id)
-    if not specs:
-        raise ValueError("no column to profile")
-    return specs
-
-
 def profile_periods(
     df: DataFrame,
     table_name: str,
     date_field: str,
     interval_type: str,
-    first_end: dt.date,
-    last_end: dt.date,
+    first_end: dt.date | None = None,
+    last_end: dt.date | None = None,
     *,
     anchor_end: dt.date | None = None,
     column_id: str = "v2",
-    duplicates: str = "profile",
-    report_dttm: dt.datetime | None = None,
-    median_partitions: int | None = None,
+    **kw,
 ) -> DataFrame:
     """Profiles of every period whose end lies in [first_end, last_end].
 
@@ -188,30 +255,11 @@ def profile_periods(
     the aggregation is keyed by (period, column).  Ends are D1-moved ends
     (month ends for ``month``).  Periods without rows give no rows (N5).
     """
-    interval = normalise_interval(interval_type)
-    specs = _prepare(df, date_field, column_id)
-    dtype = df.schema[date_field].dataType
-    lo, _ = python_bounds(first_end, interval)
-    _, hi = python_bounds(last_end, interval)
-    if interval == "week" and anchor_end is None:
-        anchor_end = first_end
-    day = slice_day(_q(date_field), dtype)
-    sliced = df.where(day.between(F.lit(lo), F.lit(hi))).withColumn("__pe", row_period_end(day, interval, anchor_end))
-    partitions = median_partitions or shuffle_partitions(df.sparkSession)
-    levels = _levels(sliced, specs, partitions)
-    start = {"day": F.col("__pe"), "week": F.date_sub(F.col("__pe"), 6), "month": F.trunc(F.col("__pe"), "MM")}[interval]
-    dups = _source_duplicates(sliced, df.schema) if duplicates == "source" else None
-    return _finish(levels, specs, table_name, interval, start, report_dttm or _now(), dups)
-
-
-def profile_period(
-    df: DataFrame,
-    table_name: str,
-    date_field: str,
-    interval_type: str,
-    end: dt.date,
-    **kw,
-) -> DataFrame:
+    sl = Slice(df, table_name, date_field, interval_type, first_end, last_end, anchor_end, column_id)
+    return profile_many([sl], **kw)
+
+
+def profile_period(df: DataFrame, table_name: str, date_field: str, interval_type: str, end: dt.date, **kw) -> DataFrame:
     """The profile of one period ending ``end`` (month: moved to month end)."""
     interval = normalise_interval(interval_type)
     _, moved = python_bounds(end, interval)
@@ -220,22 +268,9 @@ def profile_period(
     return profile_periods(df, table_name, date_field, interval, moved, moved, **kw)
 
 
-def profile_table(
-    df: DataFrame,
-    table_name: str,
-    *,
-    column_id: str = "v2",
-    duplicates: str = "profile",
-    report_dttm: dt.datetime | None = None,
-    median_partitions: int | None = None,
-) -> DataFrame:
+def profile_table(df: DataFrame, table_name: str, *, column_id: str = "v2", **kw) -> DataFrame:
     """Whole-table profile for a table without a slice column (period NULL)."""
-    specs = _prepare(df, None, column_id)
-    sliced = df.withColumn("__pe", F.lit(None).cast("date"))
-    partitions = median_partitions or shuffle_partitions(df.sparkSession)
-    levels = _levels(sliced, specs, partitions)
-    dups = _source_duplicates(sliced, df.schema) if duplicates == "source" else None
-    return _finish(levels, specs, table_name, None, F.lit(None).cast("date"), report_dttm or _now(), dups)
+    return profile_many([Slice(df, table_name, column_id=column_id)], **kw)
 
 
 def to_statistics(profile: DataFrame) -> DataFrame:
@@ -244,7 +279,7 @@ def to_statistics(profile: DataFrame) -> DataFrame:
     for f in STATISTICS.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, T.DecimalType):
-            c = c.cast(WORK_DECIMAL).cast(STORE_DECIMAL) if f.name == "median_value" else c.cast(STORE_DECIMAL)
+            c = c.cast(STORE_DECIMAL)
         else:
             c = c.cast(f.dataType)
         cols.append(c.alias(f.name))
