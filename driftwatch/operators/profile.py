@@ -39,7 +39,8 @@ def _now() -> dt.datetime:
 
 # Weeks of a whole-table batch end on Sundays unless a schedule anchors them.
 DEFAULT_WEEK_ANCHOR = dt.date(1970, 1, 4)
-KEYS = ["__t", "__pe", "cid"]
+KEYS = ["pe", "gid"]
+GID_BASE = 100_000  # gid = table index * GID_BASE + column id
 
 
 @dataclass
@@ -83,44 +84,73 @@ class Slice:
         return {"day": pe, "week": F.date_sub(pe, 6), "month": F.trunc(pe, "MM")}[self.interval_type]
 
 
+def _raw(c: Column, spec: ColumnSpec) -> tuple[Column, Column, Column, Column]:
+    """The column's value in one of four cheap, exactly-typed slots (rd, rl, rx, rs)."""
+    nul = lambda t: F.lit(None).cast(t)
+    if spec.klass == "text":
+        return nul("double"), nul("bigint"), nul("string"), text_value(c, spec.dtype)
+    if isinstance(spec.dtype, (T.DoubleType, T.FloatType)):
+        return c.cast("double"), nul("bigint"), nul("string"), nul("string")
+    if isinstance(spec.dtype, T.DecimalType):
+        return nul("double"), nul("bigint"), c.cast("string"), nul("string")
+    return nul("double"), c.cast("bigint"), nul("string"), nul("string")
+
+
 def _long(sliced: DataFrame, specs: list[ColumnSpec], t: int) -> DataFrame:
-    """Unpivot (Expand) to one row per (row, column): cid, decimal/text value, bigint, present."""
+    """Unpivot (Expand) to one row per (row, column) with the raw value in its slot.
+
+    The period and the global column id travel inside the struct, so after
+    the Expand they are plain attributes (never folded literals) and the
+    range partitioning below also serves the aggregation keyed by them.
+    """
     structs = []
     for s in specs:
-        c = _q(s.name)
-        if s.klass == "numeric":
-            vn, vt, b = numeric_value(c), F.lit(None).cast("string"), median_value(c)
-        else:
-            vn, vt, b = F.lit(None).cast(WORK_DECIMAL), text_value(c, s.dtype), F.lit(None).cast("bigint")
+        rd, rl, rx, rs = _raw(_q(s.name), s)
         structs.append(
             F.struct(
-                F.lit(s.column_id).cast("int").alias("cid"),
-                vn.alias("vn"),
-                vt.alias("vt"),
-                b.alias("b"),
-                c.isNotNull().alias("p"),
+                F.col("__pe").alias("pe"),
+                F.lit(t * GID_BASE + s.column_id).cast("int").alias("gid"),
+                rd.alias("rd"),
+                rl.alias("rl"),
+                rx.alias("rx"),
+                rs.alias("rs"),
             ).alias(f"c{s.column_id}")
         )
-    wide = sliced.select(F.lit(t).alias("__t"), F.col("__pe"), *structs)
-    return wide.unpivot(["__t", "__pe"], [f"c{s.column_id}" for s in specs], "__k", "__s").select(
-        "__t", "__pe", "__s.*"
-    )
+    wide = sliced.select(*structs)
+    return wide.unpivot([], [f"c{s.column_id}" for s in specs], "__k", "__s").select("__s.*")
 
 
 def _levels(long: DataFrame, median_partitions: int) -> DataFrame:
-    """Level 1, level 2 and median for (table, period, column) groups."""
+    """Level 1, level 2 and median for (table, period, column) groups.
+
+    Level 1 runs in two steps: a hash aggregation on the raw typed value
+    (map-side combined, no per-row decimal work), then, per distinct raw
+    value, the D6 decimal and the bigint truncation; the range partitioning
+    by (group, decimal) brings equal decimals together, so their merge needs
+    no further shuffle.
+    """
+    raw = long.groupBy(*KEYS, "rd", "rl", "rx", "rs").agg(F.count(F.lit(1)).alias("n"))
+    rd, rl, rx = F.col("rd"), F.col("rl"), F.col("rx")
+    vn = F.coalesce(numeric_value(rd), numeric_value(rl), numeric_value(rx))
+    b = F.coalesce(median_value(rd), rl, rx.try_cast("decimal(38,18)").try_cast("bigint"))
+    present = rd.isNotNull() | rl.isNotNull() | rx.isNotNull() | F.col("rs").isNotNull()
+    conv = raw.select(*KEYS, vn.alias("vn"), F.col("rs").alias("vt"), b.alias("b"), present.alias("p"), "n")
     bm = F.col("vn").try_cast("bigint")
-    level1 = long.groupBy(*KEYS, "vn", "vt").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("p")).alias("np"),
-        F.count_if(F.col("b") == bm).alias("nbm"),
-        F.count(F.col("b")).alias("nb"),
-    )
     # Range-partition the distinct values once and pin them (with their
     # partition id) so that level 2 and the median read one materialisation.
-    ranged = level1.repartitionByRange(median_partitions, *KEYS, "vn", "vt").withColumn("__pid", F.spark_partition_id())
+    level1 = (
+        conv.repartitionByRange(median_partitions, *KEYS, "vn", "vt")
+        .groupBy(*KEYS, "vn", "vt")
+        .agg(
+            F.sum("n").alias("n"),
+            F.sum(F.when(F.col("p"), F.col("n")).otherwise(0)).alias("np"),
+            F.sum(F.when(F.col("b") == bm, F.col("n")).otherwise(0)).alias("nbm"),
+            F.sum(F.when(F.col("b").isNotNull(), F.col("n")).otherwise(0)).alias("nb"),
+        )
+        .withColumn("__pid", F.spark_partition_id())
+    )
     ensure_checkpoint_dir(long.sparkSession)
-    ranged = ranged.checkpoint(eager=True)
+    ranged = level1.checkpoint(eager=True)
     level2 = ranged.groupBy(*KEYS).agg(
         F.sum("n").alias("rows_cnt"),
         F.sum("np").alias("completed_rows_cnt"),
@@ -135,7 +165,7 @@ def _levels(long: DataFrame, median_partitions: int) -> DataFrame:
     numeric = ranged.withColumn("main", bm).withColumn("alt", bm - F.signum(F.col("vn")).cast("bigint"))
     med = median_of_ranged(numeric, KEYS, "vn").select(*[F.col(k).alias(f"m{k}") for k in KEYS], "median_value")
     mean = F.col("sum_of_values").cast(MEAN_DECIMAL) / F.col("__k").cast("decimal(20,0)")
-    cond = (F.col("__t") == F.col("m__t")) & F.col("__pe").eqNullSafe(F.col("m__pe")) & (F.col("cid") == F.col("mcid"))
+    cond = F.col("pe").eqNullSafe(F.col("mpe")) & (F.col("gid") == F.col("mgid"))
     joined = level2.join(med, cond, "left")
     return joined.select(
         *KEYS,
@@ -184,8 +214,14 @@ def profile_many(
         raise ValueError("nothing to profile")
     spark = slices[0].df.sparkSession
     longs, dups = [], []
+    cores = spark.sparkContext.defaultParallelism
     for t, sl in enumerate(slices):
         sliced = sl.prepare()
+        if sliced.rdd.getNumPartitions() < cores:
+            # A small input (few files or row groups) is spread over all
+            # cores before the unpivot multiplies its rows; a large one
+            # already has at least one split per core and is left as read.
+            sliced = sliced.repartition(cores)
         longs.append(_long(sliced, sl.specs, t))
         if duplicates == "source":
             dups.append(source_duplicates(sliced, sl.df.schema, t))
@@ -198,30 +234,31 @@ def profile_many(
         for other in dups[1:]:
             dup_df = dup_df.unionByName(other)
         dup_df = dup_df.select(F.col("__t").alias("d__t"), F.col("__pe").alias("d__pe"), "dublicates_cnt")
-        cond = (F.col("__t") == F.col("d__t")) & F.col("__pe").eqNullSafe(F.col("d__pe"))
+        cond = ((F.col("gid") / F.lit(GID_BASE)).cast("int") == F.col("d__t")) & F.col("pe").eqNullSafe(F.col("d__pe"))
         levels = levels.join(dup_df, cond, "left")
         dup = F.coalesce(F.col("dublicates_cnt"), F.lit(0)).cast("long")
     else:
         # v2 counted duplicates among profile rows, which the column id makes unique.
         dup = F.lit(0).cast("long")
-    key = F.col("__t") * F.lit(1_000_000) + F.col("cid")
-    meta = [(t * 1_000_000 + s.column_id, s) for t, sl in enumerate(slices) for s in sl.specs]
+    key = F.col("gid")
+    meta = [(t * GID_BASE + s.column_id, s) for t, sl in enumerate(slices) for s in sl.specs]
     name = _lookup([(k, F.lit(s.name)) for k, s in meta], key)
     label = _lookup([(k, F.lit(s.data_type)) for k, s in meta], key)
     comment = _lookup([(k, F.lit(s.comment).cast("string")) for k, s in meta], key)
-    table = _lookup([(t, F.lit(sl.table_name)) for t, sl in enumerate(slices)], F.col("__t"))
-    interval = _lookup([(t, F.lit(sl.interval_type).cast("string")) for t, sl in enumerate(slices)], F.col("__t"))
+    tcol = (F.col("gid") / F.lit(GID_BASE)).cast("int")
+    table = _lookup([(t, F.lit(sl.table_name)) for t, sl in enumerate(slices)], tcol)
+    interval = _lookup([(t, F.lit(sl.interval_type).cast("string")) for t, sl in enumerate(slices)], tcol)
     start = F.lit(None).cast("date")
     for t, sl in enumerate(slices):
-        start = F.when(F.col("__t") == t, sl.start_of(F.col("__pe"))).otherwise(start)
+        start = F.when(tcol == t, sl.start_of(F.col("pe"))).otherwise(start)
     return levels.select(
         table.alias("table_name"),
         name.alias("column_name"),
-        F.col("cid").cast("long").alias("column_id"),
+        (F.col("gid") % F.lit(GID_BASE)).cast("long").alias("column_id"),
         label.alias("data_type"),
         comment.alias("comment"),
         start.alias("start_of_calculation_period"),
-        F.col("__pe").alias("end_of_calculation_period"),
+        F.col("pe").alias("end_of_calculation_period"),
         interval.alias("interval_type"),
         F.col("rows_cnt").cast("long").alias("rows_cnt"),
         F.col("completed_rows_cnt").cast("long").alias("completed_rows_cnt"),
