@@ -251,7 +251,7 @@ def profile_many(
     start = F.lit(None).cast("date")
     for t, sl in enumerate(slices):
         start = F.when(tcol == t, sl.start_of(F.col("pe"))).otherwise(start)
-    return levels.select(
+    out = levels.select(
         table.alias("table_name"),
         name.alias("column_name"),
         (F.col("gid") % F.lit(GID_BASE)).cast("long").alias("column_id"),
@@ -272,6 +272,9 @@ def profile_many(
         dup.alias("dublicates_cnt"),
         F.lit(report_dttm or _now()).cast("timestamp").alias("report_dttm"),
     )
+    # The profile is small (periods x columns) and read several times
+    # (deviations, history pool, storage): pin it once.
+    return out.checkpoint(eager=True)
 
 
 def profile_periods(

@@ -132,16 +132,18 @@ def derived_limits(spark, sf_dir) -> DataFrame:
     text columns entirely.
     """
     li = read(spark, sf_dir, "lineitem")
-    span = li.agg(F.min("l_shipdate").alias("lo"), F.max("l_shipdate").alias("hi"))
-    cols = spark.createDataFrame([(f.name,) for f in li.schema.fields if f.name != "l_shipdate"], "column_name string")
-    cols = cols.where(~F.col("column_name").isin("l_returnflag", "l_linestatus"))
+    names = [f.name for f in li.schema.fields if f.name not in ("l_shipdate", "l_returnflag", "l_linestatus")]
+    span = li.agg(F.min("l_shipdate").alias("lo"), F.max("l_shipdate").alias("hi")).select(
+        F.explode(F.array(*[F.lit(n) for n in names])).alias("column_name"), "lo", "hi"
+    )
     d = lambda x: F.lit(x).cast("decimal(19,2)")
-    v1 = cols.crossJoin(span).select(
+    metrics = ("rows_cnt", "completed_rows_cnt", "nulls_cnt", "distinct_values_cnt", "minimum_value", "maximum_value", "median_value", "average_value", "sum_of_values")
+    v1 = span.select(
         F.lit("lineitem").alias("table_name"), "column_name",
-        *[d(5).alias(f"{m}_limit") for m in ("rows_cnt", "completed_rows_cnt", "nulls_cnt", "distinct_values_cnt", "minimum_value", "maximum_value", "median_value", "average_value", "sum_of_values")],
+        *[d(5).alias(f"{m}_limit") for m in metrics],
         F.col("lo").cast("timestamp").alias("period_from_dttm"),
     )
-    v2 = cols.crossJoin(span).select(
+    v2 = span.select(
         F.lit("lineitem").alias("table_name"), "column_name",
         d(25.5).alias("rows_cnt_limit"), d(25.5).alias("completed_rows_cnt_limit"), d(None).alias("nulls_cnt_limit"),
         d(15).alias("distinct_values_cnt_limit"), d(50).alias("minimum_value_limit"), d(50).alias("maximum_value_limit"),
@@ -186,8 +188,7 @@ def period_bounds(spark, sf_dir):
     """D1 + D2: for a check the day after every ship day: bounds per interval."""
     li = read(spark, sf_dir, "lineitem")
     checks = li.select(F.date_add(F.to_date("l_shipdate"), 1).alias("check_dt")).distinct()
-    it = spark.createDataFrame([("day",), ("week",), ("month",)], "interval_type string")
-    rows = checks.crossJoin(it)
+    rows = checks.select("check_dt", F.explode(F.array(F.lit("day"), F.lit("week"), F.lit("month"))).alias("interval_type"))
     end = F.date_sub("check_dt", 1)
     return rows.select(
         "check_dt", "interval_type", end.alias("history_end"),

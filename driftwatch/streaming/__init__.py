@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The profiled tool is batch only (a scheduled run over table slices); it has
+no streams, watermarks, windows over event time or state.  Profiles run as
+batch Spark jobs from ``driftwatch.plans.run``.
+"""
