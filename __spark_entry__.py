@@ -59,6 +59,7 @@ WEEK_ANCHOR = "1970-01-04"
 STAMP = "2024-03-01 12:00:00"
 STAMP_2 = "2024-03-02 12:00:00"
 STAMP_2_OPEN = "2024-03-02 12:00:01"
+STAMP_OPEN = "2024-03-01 12:00:01"
 RUN_DATE = "1998-07-01"
 DATED = {"lineitem": "l_shipdate", "orders": "o_orderdate", "events": "ts"}
 WHOLE = ["customer", "supplier", "part", "nation", "region", "embeddings", "documents", "labels", "pages", "benchmark", "conversations"]
@@ -165,10 +166,11 @@ def _stored(profile: str) -> str:
     return f"SELECT {STORED} FROM ({profile}) p"
 
 
-def _delta(cur: str, prev: str) -> str:
+def _delta(cur: str, prev: str, v1: bool = False) -> str:
     m = f"least({cur}, {prev})"
+    first = f"WHEN {prev} IS NULL AND {cur} = 0 THEN 100.0 " if v1 else ""
     return (
-        f"(CASE WHEN {cur} IS NULL OR {prev} IS NULL THEN NULL "
+        f"(CASE {first}WHEN {cur} IS NULL OR {prev} IS NULL THEN NULL "
         f"WHEN {m} <> 0 THEN round_even(abs(({cur} - {prev}) / {m} * 100) * 100, 0) / 100 "
         f"WHEN {cur} = 0 AND {prev} = 0 THEN 0.0 ELSE 100.0 END)"
     )
@@ -194,7 +196,7 @@ def _numtext(x: str) -> str:
     return f"regexp_replace(CAST(CAST({x} AS DECIMAL(38,2)) AS VARCHAR), '0$', '')"
 
 
-def _deviations_sql(profile: str, limits: str | None = None) -> str:
+def _deviations_sql(profile: str, limits: str | None = None, v1: bool = False) -> str:
     j = _joined(profile)
     if limits:
         lim_cols = ", ".join(f"coalesce(lm.{m}_limit, CAST(10 AS DECIMAL(19,2))) AS lim_{m}" for m in METRICS)
@@ -207,7 +209,7 @@ def _deviations_sql(profile: str, limits: str | None = None) -> str:
         base = f"SELECT j.*, " + ", ".join(f"CAST(10 AS DECIMAL(19,2)) AS lim_{m}" for m in METRICS) + f" FROM ({j}) j"
     cur = {m: (f"CAST(b.{m} AS DOUBLE)" if m.endswith("_cnt") else f"b.w_{m}") for m in METRICS}
     prev = {m: f"b.prev_{m}" for m in METRICS}
-    deltas = ", ".join(f"{_delta(cur[m], prev[m])} AS delta_{m}" for m in METRICS)
+    deltas = ", ".join(f"{_delta(cur[m], prev[m], v1)} AS delta_{m}" for m in METRICS)
     curs = ", ".join(f"{cur[m]} AS cur_{m}" for m in METRICS)
     d = f"SELECT b.*, {curs}, {deltas} FROM ({base}) b"
     flag = {m: f"coalesce(d.delta_{m} > d.lim_{m}, false)" for m in METRICS}
@@ -215,8 +217,8 @@ def _deviations_sql(profile: str, limits: str | None = None) -> str:
     for m in METRICS:
         c, p = f"d.cur_{m}", f"d.prev_{m}"
         texts.append(
-            f"CASE WHEN {flag[m]} THEN CASE WHEN ({c} = 0 OR {p} = 0) AND {c} <> {p} THEN '{ZERO.format(m=m)}' "
-            f"ELSE '{DELTA.format(m=m)}' || {_numtext('d.delta_' + m)} || ' %' END END"
+            f"CASE WHEN {flag[m]} THEN CASE WHEN ({c} = 0 OR {p} = 0) AND {c} IS DISTINCT FROM {p} THEN '{ZERO.format(m=m)}' "
+            f"ELSE '{DELTA.format(m=m)}' || {_numtext('d.delta_' + m)} || '{'%' if v1 else ' %'}' END END"
         )
     dup = "coalesce(d.dublicates_cnt > 0, false)"
     texts.append(f"CASE WHEN {dup} THEN '{DUPS}' END")
@@ -225,11 +227,17 @@ def _deviations_sql(profile: str, limits: str | None = None) -> str:
     for m in METRICS:
         cols.append(f"d.{m}")
         cols.append(f"CAST(CAST(d.delta_{m} AS DECIMAL(19,2)) AS DOUBLE) AS delta_{m}")
+    extra = ""
+    if v1:
+        extra = (
+            ", coalesce(d.prev_end, DATE '2000-01-01') AS comparison_dt"
+            f", TIMESTAMP '{STAMP_OPEN}' AS period_from_dt, TIMESTAMP '2100-01-01 00:00:00' AS period_to_dt"
+        )
     return (
         "SELECT d.table_name, d.column_name, d.comment, d.data_type, d.column_id, d.end_of_calculation_period, d.interval_type, "
         + ", ".join(cols)
         + f", d.dublicates_cnt, CAST(CASE WHEN {any_flag} THEN 1 ELSE 0 END AS BIGINT) AS deviation_flg, "
-        + f"concat_ws(', ', {', '.join(texts)}) AS deviation_desc FROM ({d}) d"
+        + f"concat_ws(', ', {', '.join(texts)}) AS deviation_desc{extra} FROM ({d}) d"
     )
 
 
@@ -305,6 +313,7 @@ def oracle_sql() -> dict[str, str]:
         "deviations_month": _deviations_sql(month),
         "deviations_week": _deviations_sql(week_events),
         "deviations_month_limits": _deviations_sql(month, _limits_sql()),
+        "deviations_day_v1": _deviations_sql(_profile_sql("events", "ts", "day", rule="source"), v1=True),
         "join_prev": (
             "SELECT table_name, column_name, column_id, end_of_calculation_period, prev_end, "
             + ", ".join(f"prev_{m}" for m in METRICS)

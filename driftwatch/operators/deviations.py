@@ -6,11 +6,12 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..config import DEFAULT_LIMIT_PCT, METRICS, STORE_DECIMAL, TEMPLATES_RU
+from ..config import DEFAULT_LIMIT_PCT, METRICS, STORE_DECIMAL, TEMPLATES_RU, TEMPLATES_RU_V1, V1_MISSING_PREVIOUS_DATE
 from ..functions.deltas import exceeds, pct_delta, python_number_text
 from ..schemas import METRICS_TABLE
 from .history import join_previous
 from .limits import apply_limits
+from .versions import open_versions
 
 
 def _text(template: str, metric: str, delta: Column | None = None) -> Column:
@@ -20,22 +21,15 @@ def _text(template: str, metric: str, delta: Column | None = None) -> Column:
     return F.concat(F.lit(head), python_number_text(delta), F.lit(tail))
 
 
-def deviations(
+def _deviation_frame(
     current: DataFrame,
-    history: DataFrame | None = None,
-    limits: DataFrame | None = None,
-    *,
-    report_dttm: dt.datetime | None = None,
-    templates: dict = TEMPLATES_RU,
-    default_limit=DEFAULT_LIMIT_PCT,
-    null_prev_zero_cur: float | None = None,
+    history: DataFrame | None,
+    limits: DataFrame | None,
+    templates: dict,
+    default_limit,
+    null_prev_zero_cur: float | None,
 ) -> DataFrame:
-    """Rows of ``dq_metrics`` for every row of ``current`` (any number of periods).
-
-    ``current``: working-precision profile rows.  ``history``: stored
-    ``dq_table_statistics`` rows (may be empty).  ``limits``: rows of
-    ``dq_deviations_setup`` (may be None).  One lazy plan; no collect.
-    """
+    """All deviation columns (deltas, flags, text) next to the joined rows."""
     rows = apply_limits(join_previous(current, history), limits, default_limit)
     zero, tmpl_delta, dup_text, sep = templates["zero"], templates["delta"], templates["duplicates"], templates["sep"]
     out = rows
@@ -48,7 +42,7 @@ def deviations(
         out = out.withColumn(f"__f_{m}", flag)
         flags.append(F.col(f"__f_{m}"))
         cur_d, prev_d = F.col(m).cast("double"), F.col(f"prev_{m}")
-        unmeasurable = ((cur_d == 0) | (prev_d == 0)) & (cur_d != prev_d)
+        unmeasurable = ((cur_d == 0) | (prev_d == 0)) & ~cur_d.eqNullSafe(prev_d)
         text = F.when(unmeasurable, _text(zero, m)).otherwise(_text(tmpl_delta, m, F.col(f"delta_{m}")))
         parts.append(F.when(F.col(f"__f_{m}"), text))
     dup_flag = F.coalesce(F.col("dublicates_cnt") > 0, F.lit(False))
@@ -57,8 +51,10 @@ def deviations(
     any_flag = flags[0]
     for f in flags[1:]:
         any_flag = any_flag | f
-    out = out.withColumn("deviation_flg", any_flag.cast("int")).withColumn("deviation_desc", F.concat_ws(sep, *parts))
-    stamp = report_dttm or dt.datetime.now().replace(microsecond=0)
+    return out.withColumn("deviation_flg", any_flag.cast("int")).withColumn("deviation_desc", F.concat_ws(sep, *parts))
+
+
+def _metrics_columns(out: DataFrame, stamp: dt.datetime) -> list:
     cols = []
     for f in METRICS_TABLE.fields:
         if f.name == "report_dttm":
@@ -70,4 +66,44 @@ def deviations(
         else:
             c = F.col(f.name).cast(f.dataType)
         cols.append(c.alias(f.name))
-    return out.select(*cols)
+    return cols
+
+
+def deviations(
+    current: DataFrame,
+    history: DataFrame | None = None,
+    limits: DataFrame | None = None,
+    *,
+    report_dttm: dt.datetime | None = None,
+    templates: dict = TEMPLATES_RU,
+    default_limit=DEFAULT_LIMIT_PCT,
+    null_prev_zero_cur: float | None = None,
+) -> DataFrame:
+    """Rows of ``dq_metrics`` for every row of ``current`` (any number of periods).
+
+    ``current``: working-precision profile rows.  ``history``: stored
+    ``dq_table_statistics`` rows (may be empty).  ``limits``: rows of
+    ``dq_deviations_setup`` (may be None).  One lazy plan; no collect.
+    """
+    out = _deviation_frame(current, history, limits, templates, default_limit, null_prev_zero_cur)
+    return out.select(*_metrics_columns(out, report_dttm or dt.datetime.now().replace(microsecond=0)))
+
+
+def deviations_v1(
+    current: DataFrame,
+    history: DataFrame | None = None,
+    limits: DataFrame | None = None,
+    *,
+    report_dttm: dt.datetime | None = None,
+    templates: dict = TEMPLATES_RU_V1,
+    default_limit=DEFAULT_LIMIT_PCT,
+    comparison_default: dt.date = V1_MISSING_PREVIOUS_DATE,
+) -> DataFrame:
+    """The v1 result rows: M2 null rule, v1 wording, ``comparison_dt`` (N6) and
+    an open version (V2: valid from ``report_dttm`` + 1 s to 2100-01-01)."""
+    stamp = report_dttm or dt.datetime.now().replace(microsecond=0)
+    out = _deviation_frame(current, history, limits, templates, default_limit, 100.0)
+    cols = _metrics_columns(out, stamp) + [
+        F.coalesce(F.col("prev_end"), F.lit(comparison_default).cast("date")).alias("comparison_dt"),
+    ]
+    return open_versions(out.select(*cols), stamp)

@@ -97,4 +97,4 @@ def join_previous(current: DataFrame, history: DataFrame | None = None) -> DataF
     ).alias("p")
     keys = JOIN_KEYS + ["interval_type", "prev_end", "prev_dttm"]
     joined = cur.alias("c").join(prev, _null_safe(keys, cur, prev), "left")
-    return joined.select("c.*", *[F.col(f"p.prev_{m}") for m in METRICS])
+    return joined.select("c.*", *[F.col(f"p.prev_{m}") for m in METRICS])  # c.* carries prev_end

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..config import OPEN_END
 from ..functions.periods import slice_day
-from ..operators.deviations import deviations
+from ..operators.deviations import deviations, deviations_v1
 from ..operators.history import join_previous
 from ..operators.profile import Slice, profile_many, profile_periods, source_duplicates, to_statistics
 from ..operators.schedule import catch_up, due_checks, fresh_tables, slice_exists, table_freshness, v1_state_log, v1_steps
@@ -164,6 +164,12 @@ def deviations_week(spark, sf_dir):
     return present(deviations(p, None, None, report_dttm=STAMP))
 
 
+def deviations_day_v1(spark, sf_dir):
+    """v1 results (M2, N6, V2, K1 source ids, v1 wording): daily deviations of events."""
+    p = profile_periods(read(spark, sf_dir, "events"), "events", "ts", "day", column_id="source", report_dttm=STAMP)
+    return present(deviations_v1(p, None, None, report_dttm=STAMP))
+
+
 def scd2_versions(spark, sf_dir):
     """V1 + V2: two runs of the monthly deviations as versions of one result table."""
     first = deviations(_lineitem_months(spark, sf_dir), None, None, report_dttm=STAMP)
@@ -337,6 +343,7 @@ REGISTRY = {
     "deviations_month": deviations_month,
     "deviations_week": deviations_week,
     "deviations_month_limits": deviations_month_limits,
+    "deviations_day_v1": deviations_day_v1,
     "join_prev": join_prev,
     "scd2_versions": scd2_versions,
     "relabel_table": relabel,

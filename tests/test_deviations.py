@@ -131,3 +131,17 @@ def test_batch_equals_loop(spark):
         st = to_statistics(cur)
         hist = hist.unionByName(spark.createDataFrame(st.collect(), st.schema))
     assert a == b and len(a) == 30
+
+
+def test_v1_result_rows(spark):
+    from driftwatch.operators.deviations import deviations_v1
+
+    cur = spark.createDataFrame([_stats_row(D(2024, 1, 2), STAMP, nulls_cnt=0)], STATISTICS)
+    r = deviations_v1(cur, empty_history(spark), None, report_dttm=STAMP).collect()[0]
+    assert r.comparison_dt == D(2000, 1, 1)  # N6: missing previous date
+    assert r.period_from_dt == STAMP + dt.timedelta(seconds=1) and r.period_to_dt == dt.datetime(2100, 1, 1)
+    assert r.delta_nulls_cnt == Decimal("100.00") and r.deviation_flg == 1
+    assert r.deviation_desc == "Дельта по показателю nulls_cnt не считаема, так как значение в одном из срезов = 0"
+    hist = spark.createDataFrame([_stats_row(D(2024, 1, 1), STAMP, rows_cnt=8)], STATISTICS)
+    r2 = deviations_v1(cur, hist, None, report_dttm=STAMP).collect()[0]
+    assert r2.comparison_dt == D(2024, 1, 1) and r2.deviation_desc == "Отклонение по столбцу rows_cnt 25.0%"
