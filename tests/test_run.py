@@ -47,3 +47,25 @@ def test_batch_run_equals_loop_run(spark, workdir):
         rows = store.read(spark, "metrics").drop("report_dttm").collect()
         out[batch] = sorted(tuple(r) for r in rows)
     assert out[True] == out[False] and len(out[True]) == 6 * 5  # 4 days + 1 week, 5 columns
+
+
+def test_run_v1(spark):
+    from driftwatch.plans.run import run_v1
+
+    setup = spark.createDataFrame(
+        [("events", "ts", D(2024, 1, 26), 1, D(2024, 1, 25)), ("events", "ts", D(2024, 3, 1), 1, D(2024, 2, 1))],
+        "TABLE_NM string, TABLE_REPORT_DT_NM string, NEXT_CHECK_DT date, INTERVAL_TERM int, UPDATE_TABLE_DT date",
+    )
+    now = dt.datetime(2024, 2, 1, 8)
+    res = run_v1(spark, setup, source=_source(spark), now=now)
+    assert res.checked_tables == 1  # the second row's update date lies after the last day (01-30)
+    log = sorted(res.state_log.collect(), key=lambda r: r.step)
+    assert [r.UPDATE_TABLE_DT for r in log] == [D(2024, 1, d) for d in (26, 27, 28, 29, 30, 31)]
+    days = sorted({r.end_of_calculation_period for r in res.statistics.collect()})
+    assert days == [D(2024, 1, d) for d in (25, 26, 27, 28, 29, 30)]
+    rows = res.results.collect()
+    assert {r.comparison_dt for r in rows if r.end_of_calculation_period == D(2024, 1, 25)} == {D(2000, 1, 1)}
+    assert {r.comparison_dt for r in rows if r.end_of_calculation_period == D(2024, 1, 26)} == {D(2024, 1, 25)}
+    assert {r.period_to_dt for r in rows} == {dt.datetime(2100, 1, 1)}
+    again = run_v1(spark, setup, source=_source(spark), now=now + dt.timedelta(hours=1), stored_results=res.results)
+    assert again.results.where(F.col("period_to_dt") == now + dt.timedelta(hours=1)).count() == len(rows)
