@@ -108,3 +108,24 @@ def test_sink_helpers(spark):
     df = spark.createDataFrame([(float("nan"), "a"), (1.5, "b")], "x double, s string")
     assert [r.x for r in nan_safe(df).collect()] == [None, 1.5]
     assert align(df, SETUP).columns == [f.name for f in SETUP.fields]
+
+
+def test_create_tables_and_append(spark, workdir):
+    from driftwatch.schemas import STATISTICS, TABLES
+    from driftwatch.sources.sinks import append, create_tables
+
+    names = create_tables(spark, location=workdir)
+    assert sorted(names) == sorted(TABLES)
+    assert [f.name for f in spark.table("dq_table_statistics").schema.fields] == [f.name for f in STATISTICS.fields]
+    append(spark.createDataFrame([("t", "d", D(2024, 1, 1), "day")], SETUP), "dq_setup_table")
+    assert spark.table("dq_setup_table").count() == 1
+    for n in names:
+        spark.sql(f"DROP TABLE IF EXISTS {n}")
+
+
+def test_parse_schedule_date(spark):
+    from driftwatch.functions import parse_schedule_date
+
+    df = spark.createDataFrame([("2024-01-05 10:11:12",), ("2024-01-05",), ("garbage",)], "s string")
+    got = [r.t for r in df.select(parse_schedule_date(F.col("s")).alias("t")).collect()]
+    assert got == [dt.datetime(2024, 1, 5, 10, 11, 12), dt.datetime(2024, 1, 5), None]
