@@ -17,6 +17,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..config import MEAN_DECIMAL, STORE_DECIMAL, WORK_DECIMAL, ensure_checkpoint_dir, shuffle_partitions
@@ -135,6 +136,10 @@ def _levels(long: DataFrame, median_partitions: int) -> DataFrame:
     b = F.coalesce(median_value(rd), rl, rx.try_cast("decimal(38,18)").try_cast("bigint"))
     present = rd.isNotNull() | rl.isNotNull() | rx.isNotNull() | F.col("rs").isNotNull()
     conv = raw.select(*KEYS, vn.alias("vn"), F.col("rs").alias("vt"), b.alias("b"), present.alias("p"), "n")
+    # Range partitioning samples its whole input before shuffling it; keep
+    # the (already combined) distinct values so the sample and the shuffle
+    # read them once.  Released as soon as the checkpoint below is written.
+    conv = conv.persist(StorageLevel.MEMORY_AND_DISK)
     bm = F.col("vn").try_cast("bigint")
     # Range-partition the distinct values once and pin them (with their
     # partition id) so that level 2 and the median read one materialisation.
@@ -151,6 +156,7 @@ def _levels(long: DataFrame, median_partitions: int) -> DataFrame:
     )
     ensure_checkpoint_dir(long.sparkSession)
     ranged = level1.checkpoint(eager=True)
+    conv.unpersist()
     level2 = ranged.groupBy(*KEYS).agg(
         F.sum("n").alias("rows_cnt"),
         F.sum("np").alias("completed_rows_cnt"),
