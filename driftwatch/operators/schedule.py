@@ -121,12 +121,18 @@ def v1_steps(setup_v1: DataFrame, last_day: str = "last_day") -> DataFrame:
     bound = F.greatest(F.datediff(last, start_u), F.lit(0)) + 1
 
     def walk(start: Column) -> Column:
-        step = lambda d: F.when(code == 1, v1_step(d, 1)).when(code == 2, v1_step(d, 2)).otherwise(v1_step(d, 3))
-        n = F.when(code == 1, bound).when(code == 2, F.floor(bound / 7).cast("int") + 1).otherwise(F.floor(bound / 28).cast("int") + 1)
-        return F.aggregate(
-            F.sequence(F.lit(1), n + 1),
+        # Day and week steps are arithmetic; only v1's month step (+ length of
+        # the current month) needs the fold, over at most span / 28 steps.
+        months = F.floor(bound / 28).cast("int") + 1
+        fold = F.aggregate(
+            F.sequence(F.lit(1), months + 1),
             F.array(start),
-            lambda acc, _: F.concat(acc, F.array(step(F.element_at(acc, -1)))),
+            lambda acc, _: F.concat(acc, F.array(v1_step(F.element_at(acc, -1), 3))),
+        )
+        return (
+            F.when(code == 1, F.sequence(start, F.date_add(start, bound + 1), F.expr("INTERVAL 1 DAY")))
+            .when(code == 2, F.sequence(start, F.date_add(start, (F.floor(bound / 7).cast("int") + 2) * 7), F.expr("INTERVAL 7 DAYS")))
+            .otherwise(fold)
         )
 
     walked = setup_v1.withColumn("__u", walk(start_u)).withColumn("__c", walk(start_c))
