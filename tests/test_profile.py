@@ -150,3 +150,17 @@ def test_median_matches_numpy(spark, vals):
     expect = None if not b else float(np.percentile(b, 50))
     assert rows[0].median_value == expect
     assert rows[0].completed_rows_cnt == len(b)
+
+
+def test_hot_value_and_unique_column(spark):
+    # one value holds a third of the rows; another column is unique
+    n = 3000
+    rows = [(D(2024, 1, 1 + i % 3), 7.0 if i % 3 == 0 else float(i % 97) / 7, i) for i in range(n)]
+    df = spark.createDataFrame(rows, "d date, hot double, uid bigint").repartition(6)
+    got = {(r.end_of_calculation_period, r.column_name): r for r in profile_periods(df, "t", "d", "month", median_partitions=5).collect()}
+    ref = {r.column_name: r for r in profile_union_form(df, "t", "d", "month", D(2024, 1, 31)).collect()}
+    for c in ("hot", "uid"):
+        g = got[(D(2024, 1, 31), c)]
+        assert all(g[f] == ref[c][f] for f in FIELDS), c
+    assert got[(D(2024, 1, 31), "uid")].distinct_values_cnt == n
+    assert got[(D(2024, 1, 31), "uid")].median_value == float(np.percentile(list(range(n)), 50))
