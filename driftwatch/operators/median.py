@@ -21,10 +21,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def median_of_ranged(ranged: DataFrame, keys: list[str], order: str, out: str = "median_value") -> DataFrame:
-    """``ranged``: keys, ``__pid``, ``order`` plus ``nb``, ``nbm``, ``main``, ``alt``."""
+def median_of_ranged(
+    ranged: DataFrame, keys: list[str], order: str, out: str = "median_value", per_part: DataFrame | None = None
+) -> DataFrame:
+    """``ranged``: keys, ``__pid``, ``order`` plus ``nb``, ``nbm``, ``main``, ``alt``.
+
+    ``per_part`` (keys, ``__pid``, ``__pc`` = sum of ``nb``) may be passed in
+    when the caller already aggregates per range partition.
+    """
     rows = ranged.where(F.col("nb") > 0)
-    per_part = rows.groupBy(*keys, "__pid").agg(F.sum("nb").alias("__pc"))
+    if per_part is None:
+        per_part = rows.groupBy(*keys, "__pid").agg(F.sum("nb").alias("__pc"))
+    per_part = per_part.where(F.col("__pc") > 0)
     before = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     per_part = (
         per_part.withColumn("__before", F.coalesce(F.sum("__pc").over(before), F.lit(0)))

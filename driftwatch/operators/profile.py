@@ -157,7 +157,10 @@ def _levels(long: DataFrame, median_partitions: int) -> DataFrame:
     ensure_checkpoint_dir(long.sparkSession)
     ranged = level1.checkpoint(eager=True)
     conv.unpersist()
-    level2 = ranged.groupBy(*KEYS).agg(
+    # One pass over the pinned rows: partials per (group, range partition)
+    # feed both level 2 and the median's rank offsets.  A decimal value lives
+    # in exactly one range partition, so distinct counts add up.
+    parts = ranged.groupBy(*KEYS, "__pid").agg(
         F.sum("n").alias("rows_cnt"),
         F.sum("np").alias("completed_rows_cnt"),
         (F.count("vn") + F.count("vt")).alias("distinct_values_cnt"),
@@ -165,11 +168,23 @@ def _levels(long: DataFrame, median_partitions: int) -> DataFrame:
         F.max("vn").alias("maximum_value"),
         F.sum(F.col("vn") * F.col("n")).alias("sum_of_values"),
         F.sum(F.when(F.col("vn").isNotNull(), F.col("n"))).alias("__k"),
+        F.sum("nb").alias("__pc"),
+    )
+    level2 = parts.groupBy(*KEYS).agg(
+        F.sum("rows_cnt").alias("rows_cnt"),
+        F.sum("completed_rows_cnt").alias("completed_rows_cnt"),
+        F.sum("distinct_values_cnt").alias("distinct_values_cnt"),
+        F.min("minimum_value").alias("minimum_value"),
+        F.max("maximum_value").alias("maximum_value"),
+        F.sum("sum_of_values").alias("sum_of_values"),
+        F.sum("__k").alias("__k"),
     )
     # A value v (rounded to 6 dp) holds rows whose bigint truncation is
     # trunc(v) or, for a row just below an integer, one step toward zero.
     numeric = ranged.withColumn("main", bm).withColumn("alt", bm - F.signum(F.col("vn")).cast("bigint"))
-    med = median_of_ranged(numeric, KEYS, "vn").select(*[F.col(k).alias(f"m{k}") for k in KEYS], "median_value")
+    med = median_of_ranged(numeric, KEYS, "vn", per_part=parts.select(*KEYS, "__pid", "__pc")).select(
+        *[F.col(k).alias(f"m{k}") for k in KEYS], "median_value"
+    )
     mean = F.col("sum_of_values").cast(MEAN_DECIMAL) / F.col("__k").cast("decimal(20,0)")
     cond = F.col("pe").eqNullSafe(F.col("mpe")) & (F.col("gid") == F.col("mgid"))
     joined = level2.join(med, cond, "left")
