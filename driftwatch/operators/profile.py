@@ -334,6 +334,14 @@ def profile_table(df: DataFrame, table_name: str, *, column_id: str = "v2", **kw
     return profile_many([Slice(df, table_name, column_id=column_id)], **kw)
 
 
+def sorted_profile(profile: DataFrame) -> DataFrame:
+    """O2: the original's presentation order (column id, period end, interval).
+
+    For display only; stored tables need no order.
+    """
+    return profile.orderBy("column_id", "end_of_calculation_period", "interval_type")
+
+
 def to_statistics(profile: DataFrame) -> DataFrame:
     """M4: the stored form: values rounded half-up to decimal(19,2)."""
     cols = []

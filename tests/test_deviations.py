@@ -145,3 +145,39 @@ def test_v1_result_rows(spark):
     hist = spark.createDataFrame([_stats_row(D(2024, 1, 1), STAMP, rows_cnt=8)], STATISTICS)
     r2 = deviations_v1(cur, hist, None, report_dttm=STAMP).collect()[0]
     assert r2.comparison_dt == D(2024, 1, 1) and r2.deviation_desc == "Отклонение по столбцу rows_cnt 25.0%"
+
+
+def test_properties_on_real_months(spark):
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    cur = profile_periods(li, "lineitem", "l_shipdate", "month", D(1995, 1, 31), D(1996, 12, 31), report_dttm=STAMP)
+    rows = deviations(cur, None, None, report_dttm=STAMP).collect()
+    assert all((r.deviation_flg == 0) == (r.deviation_desc == "") for r in rows)
+    prof = cur.collect()
+    assert all(r.nulls_cnt + r.completed_rows_cnt == r.rows_cnt for r in prof)
+    # additivity: two months profiled together = the sum of each month's rows and sums
+    both = profile_period(li.where(F.to_date("l_shipdate").between("1996-01-01", "1996-02-29")).withColumn(
+        "l_shipdate", F.lit("1996-02-15").cast("timestamp_ntz")), "lineitem", "l_shipdate", "month", D(1996, 2, 29)).collect()
+    by_month = {(r.end_of_calculation_period, r.column_name): r for r in prof}
+    for r in both:
+        a, b = by_month[(D(1996, 1, 31), r.column_name)], by_month[(D(1996, 2, 29), r.column_name)]
+        assert r.rows_cnt == a.rows_cnt + b.rows_cnt
+        if r.sum_of_values is not None:
+            assert r.sum_of_values == a.sum_of_values + b.sum_of_values
+            assert r.minimum_value == min(a.minimum_value, b.minimum_value)
+            assert r.maximum_value == max(a.maximum_value, b.maximum_value)
+
+
+def test_gap_and_new_column(spark):
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    # weeks after the data ends give no rows; the next week with data compares with the last one that had data
+    cur = profile_periods(ev, "events", "ts", "week", D(2024, 1, 14), D(2024, 2, 11), anchor_end=D(2024, 1, 14))
+    ends = sorted({r.end_of_calculation_period for r in cur.collect()})
+    assert ends == [D(2024, 1, 14), D(2024, 1, 21), D(2024, 1, 28), D(2024, 2, 4)]  # 02-11: no rows (N5)
+    # a column that the previous snapshot lacks gets NULL deltas, the others do not
+    hist = to_statistics(profile_period(ev.drop("value"), "events", "ts", "week", D(2024, 1, 14)))
+    hist = spark.createDataFrame(hist.collect(), STATISTICS)
+    now = profile_period(ev, "events", "ts", "week", D(2024, 1, 21))
+    d = {r.column_name: r for r in deviations(now, hist, None, report_dttm=STAMP).collect()}
+    assert d["value"].delta_rows_cnt is None
+    # event_id keeps its v2 id (0) and still finds its previous value
+    assert d["event_id"].delta_rows_cnt is not None
