@@ -52,6 +52,8 @@ TABLE_COLUMNS = {
     "labels": [("doc_id", "bigint"), ("quality", "int"), ("toxic", "int")],
     "conversations": [("conv_id", "bigint"), ("turn", "bigint"), ("role", "string"), ("text", "string")],
 }
+# customer with a derived double that is NaN for every negative balance
+TABLE_COLUMNS["customer_sqrt"] = TABLE_COLUMNS["customer"] + [("acctbal_sqrt", "double")]
 NUMERIC_TYPES = {"bigint", "int", "double", "float", "smallint", "tinyint", "boolean"}
 METRICS = ["rows_cnt", "completed_rows_cnt", "nulls_cnt", "distinct_values_cnt", "minimum_value", "maximum_value", "median_value", "average_value", "sum_of_values"]
 VALUE_METRICS = METRICS[4:]
@@ -101,11 +103,18 @@ def _period(date_field: str | None, interval: str | None) -> tuple[str, str]:
     return pe, "CAST(__pe - 6 AS DATE)"
 
 
-def _profile_sql(table: str, date_field: str | None = None, interval: str | None = None, rule: str = "v2", dups: bool = False) -> str:
-    """One SELECT per column (UNION ALL) with stored values and working values (w_*)."""
+def _profile_sql(
+    table: str, date_field: str | None = None, interval: str | None = None, rule: str = "v2", dups: bool = False,
+    source: str | None = None, label: str | None = None,
+) -> str:
+    """One SELECT per column (UNION ALL) with stored values and working values (w_*).
+
+    ``source`` replaces the table by a derived relation whose columns are
+    ``TABLE_COLUMNS[table]``; ``label`` is the table name written in the rows.
+    """
     pe, start = _period(date_field, interval)
     where = f" WHERE {date_field} IS NOT NULL" if date_field else ""
-    src = f"(SELECT *, {pe} AS __pe FROM {table}{where}) s"
+    src = f"(SELECT *, {pe} AS __pe FROM {source or table}{where}) s"
     ids = _ids(table, date_field, rule)
     it = f"'{interval}'" if interval else "NULL"
     parts = []
@@ -113,18 +122,18 @@ def _profile_sql(table: str, date_field: str | None = None, interval: str | None
         if c == date_field:
             continue
         head = (
-            f"SELECT '{table}' AS table_name, '{c}' AS column_name, CAST({ids[c]} AS BIGINT) AS column_id, '{t}' AS data_type, "
+            f"SELECT '{label or table}' AS table_name, '{c}' AS column_name, CAST({ids[c]} AS BIGINT) AS column_id, '{t}' AS data_type, "
             f"CAST(NULL AS VARCHAR) AS comment, {start} AS start_of_calculation_period, __pe AS end_of_calculation_period, "
             f"CAST({it} AS VARCHAR) AS interval_type, CAST(count(*) AS BIGINT) AS rows_cnt, CAST(count({c}) AS BIGINT) AS completed_rows_cnt, "
             f"CAST(count(*) - count({c}) AS BIGINT) AS nulls_cnt"
         )
         if _is_num(t):
-            v = f"CAST({c} AS DECIMAL(38,6))"
+            v = f"TRY_CAST({c} AS DECIMAL(38,6))"
             s6 = f"sum(CAST({v} * 1000000 AS HUGEINT))"
             k = f"CAST(count({v}) AS HUGEINT)"
             q10 = _half_up_div(f"{s6} * 10000", f"NULLIF({k}, 0)")
             q2 = _half_up_div(q10, "100000000")
-            med = f"quantile_cont(CAST(trunc({c}) AS BIGINT), 0.5)"
+            med = f"quantile_cont(TRY_CAST(trunc({c}) AS BIGINT), 0.5)"
             body = (
                 f", CAST(count(DISTINCT {v}) AS BIGINT) AS distinct_values_cnt"
                 f", CAST(CAST(min({v}) AS DECIMAL(19,2)) AS DOUBLE) AS minimum_value"
@@ -311,6 +320,10 @@ def oracle_sql() -> dict[str, str]:
             for t in ALL_TABLES
         ),
         "deviations_month": _deviations_sql(month),
+        "profile_nan": _stored(_profile_sql("customer_sqrt", source="(SELECT *, sqrt(c_acctbal) AS acctbal_sqrt FROM customer)", label="customer")),
+        "nan_to_null": (
+            "SELECT c_custkey, CASE WHEN isnan(sqrt(c_acctbal)) OR isinf(sqrt(c_acctbal)) THEN NULL ELSE sqrt(c_acctbal) END AS acctbal_sqrt FROM customer"
+        ),
         "deviations_week": _deviations_sql(week_events),
         "deviations_month_limits": _deviations_sql(month, _limits_sql()),
         "deviations_day_v1": _deviations_sql(_profile_sql("events", "ts", "day", rule="source"), v1=True),

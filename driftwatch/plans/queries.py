@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..config import OPEN_END
+from ..functions.deltas import nan_to_null
 from ..functions.periods import slice_day
 from ..operators.deviations import deviations, deviations_v1
 from ..operators.history import join_previous
@@ -81,6 +82,21 @@ def profile_orders_month_dups(spark, sf_dir):
     return present(to_statistics(p))
 
 
+def _customer_sqrt(spark, sf_dir) -> DataFrame:
+    """customer plus sqrt(c_acctbal): NaN for every negative balance."""
+    return read(spark, sf_dir, "customer").withColumn("acctbal_sqrt", F.sqrt("c_acctbal"))
+
+
+def profile_nan(spark, sf_dir):
+    """NaN counts as completed but leaves the decimal metrics."""
+    return present(to_statistics(profile_many([Slice(_customer_sqrt(spark, sf_dir), "customer")], report_dttm=STAMP)))
+
+
+def nan_to_null_q(spark, sf_dir):
+    """NaN and infinity become NULL."""
+    return _customer_sqrt(spark, sf_dir).select("c_custkey", nan_to_null(F.col("acctbal_sqrt")).alias("acctbal_sqrt"))
+
+
 def source_duplicates_all(spark, sf_dir):
     """A16 over every given table, whole: sum(count - 1) of full-row groups."""
     out = None
@@ -338,6 +354,8 @@ REGISTRY = {
     "profile_day": profile_day,
     "profile_tables": profile_tables,
     "profile_orders_month_dups": profile_orders_month_dups,
+    "profile_nan": profile_nan,
+    "nan_to_null": nan_to_null_q,
     "source_duplicates": source_duplicates_all,
     "table_structure": table_structure,
     "deviations_month": deviations_month,
