@@ -332,6 +332,10 @@ def oracle_sql() -> dict[str, str]:
             + ", ".join(f"prev_{m}" for m in METRICS)
             + f" FROM ({_joined(month)}) j"
         ),
+        "previous_snapshot": (
+            f"SELECT {STORED} FROM (SELECT *, rank() OVER (PARTITION BY table_name, interval_type ORDER BY end_of_calculation_period DESC) AS rnk "
+            f"FROM ({_stored(month)}) h WHERE end_of_calculation_period < DATE '1998-07-14') x WHERE rnk = 1"
+        ),
         "relabel_table": _stored(month).replace(f"SELECT {STORED}", "SELECT 'lineitem_v' AS table_name" + STORED[len("table_name"):], 1),
     }
     dev = _deviations_sql(month)

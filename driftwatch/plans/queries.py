@@ -14,7 +14,7 @@ from ..config import OPEN_END
 from ..functions.deltas import nan_to_null
 from ..functions.periods import slice_day
 from ..operators.deviations import deviations, deviations_v1
-from ..operators.history import join_previous
+from ..operators.history import join_previous, previous_snapshot
 from ..operators.profile import Slice, profile_many, profile_periods, source_duplicates, to_statistics
 from ..operators.schedule import catch_up, due_checks, fresh_tables, slice_exists, table_freshness, v1_state_log, v1_steps
 from ..operators.structure import structure_frame
@@ -26,6 +26,7 @@ from ..sources.tables import day_view
 STAMP = dt.datetime(2024, 3, 1, 12, 0, 0)
 STAMP_2 = dt.datetime(2024, 3, 2, 12, 0, 0)
 RUN_DATE = dt.date(1998, 7, 1)
+RUN_DATE_MID_END = dt.date(1998, 7, 14)
 
 DATED = {"lineitem": "l_shipdate", "orders": "o_orderdate", "events": "ts"}
 WHOLE = ["customer", "supplier", "part", "nation", "region", "embeddings", "documents", "labels", "pages", "benchmark", "conversations"]
@@ -140,6 +141,13 @@ def join_prev(spark, sf_dir):
     )
 
 
+def previous_snapshot_q(spark, sf_dir):
+    """W1 + F4 (reference form): a mid-month check on 1998-07-15 looks up the
+    latest stored snapshot with end < 1998-07-14 in the derived monthly history."""
+    hist = to_statistics(_lineitem_months(spark, sf_dir))
+    return present(previous_snapshot(hist, "lineitem", "month", RUN_DATE_MID_END))
+
+
 def derived_limits(spark, sf_dir) -> DataFrame:
     """A limits log built from lineitem: two effective-dated versions per column.
 
@@ -363,6 +371,7 @@ REGISTRY = {
     "deviations_month_limits": deviations_month_limits,
     "deviations_day_v1": deviations_day_v1,
     "join_prev": join_prev,
+    "previous_snapshot": previous_snapshot_q,
     "scd2_versions": scd2_versions,
     "relabel_table": relabel,
     "period_bounds": period_bounds,
