@@ -238,10 +238,12 @@ def profile_many(
     cores = spark.sparkContext.defaultParallelism
     for t, sl in enumerate(slices):
         sliced = sl.prepare()
-        if sliced.rdd.getNumPartitions() < cores:
-            # A small input (few files or row groups) is spread over all
-            # cores before the unpivot multiplies its rows; a large one
-            # already has at least one split per core and is left as read.
+        if sliced.rdd.getNumPartitions() * 2 <= cores:
+            # An input read in few splits (few files or row groups) would run
+            # the unpivot, which multiplies its rows by the number of
+            # columns, on a fraction of the cores; spread it first.  Only
+            # when that at least doubles the parallelism: a large input
+            # already has about one split per core and is left as read.
             sliced = sliced.repartition(cores)
         longs.append(_long(sliced, sl.specs, t))
         if duplicates == "source":
