@@ -393,6 +393,17 @@ def oracle_sql() -> dict[str, str]:
         f", lg AS ({log}) SELECT TABLE_NAME, TABLE_DATE_FIELD, NEXT_CHECK_DT, INTERVAL_TYPE FROM (SELECT *, row_number() OVER "
         f"(PARTITION BY TABLE_NAME, INTERVAL_TYPE ORDER BY NEXT_CHECK_DT DESC) AS rn FROM lg) x WHERE rn = 1 AND NEXT_CHECK_DT <= DATE '{RUN_DATE}'"
     )
+    sql["due_checks_all"] = _schedule_steps() + (
+        f", lg AS ({log}) SELECT TABLE_NAME, TABLE_DATE_FIELD, NEXT_CHECK_DT, INTERVAL_TYPE FROM (SELECT *, row_number() OVER "
+        "(PARTITION BY TABLE_NAME, INTERVAL_TYPE ORDER BY NEXT_CHECK_DT DESC) AS rn FROM lg) x WHERE rn = 1 AND NEXT_CHECK_DT <= DATE '2030-01-01'"
+    )
+    sql["checked_tables"] = _schedule_steps() + (
+        f", lg AS ({log}), "
+        f"r AS (SELECT DISTINCT TABLE_NAME, INTERVAL_TYPE FROM lg WHERE NEXT_CHECK_DT <= DATE '{RUN_DATE}'), "
+        "l AS (SELECT TABLE_NAME, INTERVAL_TYPE, max(NEXT_CHECK_DT) AS m FROM lg GROUP BY ALL) "
+        "SELECT 'reference' AS mode, count(*) AS checked_tables FROM r UNION ALL "
+        f"SELECT 'latest' AS mode, count(*) AS checked_tables FROM l WHERE m <= DATE '{RUN_DATE}'"
+    )
     sql["day_view"] = "SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS report_date, * FROM events"
     sql["table_freshness"] = " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, max({f}) AS last_value, max(CAST({f} AS DATE)) AS last_day FROM {t}" for t, f in DATED.items()

@@ -27,6 +27,7 @@ STAMP = dt.datetime(2024, 3, 1, 12, 0, 0)
 STAMP_2 = dt.datetime(2024, 3, 2, 12, 0, 0)
 RUN_DATE = dt.date(1998, 7, 1)
 RUN_DATE_MID_END = dt.date(1998, 7, 14)
+RUN_DATE_LATE = dt.date(2030, 1, 1)
 
 DATED = {"lineitem": "l_shipdate", "orders": "o_orderdate", "events": "ts"}
 WHOLE = ["customer", "supplier", "part", "nation", "region", "embeddings", "documents", "labels", "pages", "benchmark", "conversations"]
@@ -282,6 +283,19 @@ def due_checks_latest(spark, sf_dir):
     return due_checks(_state_log(spark, sf_dir), RUN_DATE, mode="latest")
 
 
+def due_checks_all(spark, sf_dir):
+    """W3 + F3 (latest first) on a run date after every table's last check: all pairs due."""
+    return due_checks(_state_log(spark, sf_dir), RUN_DATE_LATE, mode="latest")
+
+
+def checked_tables_q(spark, sf_dir):
+    """How many (table, interval) pairs each mode finds due on the run date."""
+    log = _state_log(spark, sf_dir)
+    ref = due_checks(log, RUN_DATE, mode="reference").agg(F.count(F.lit(1)).alias("checked_tables")).withColumn("mode", F.lit("reference"))
+    lat = due_checks(log, RUN_DATE, mode="latest").agg(F.count(F.lit(1)).alias("checked_tables")).withColumn("mode", F.lit("latest"))
+    return ref.unionByName(lat).select("mode", "checked_tables")
+
+
 def day_view_events(spark, sf_dir):
     """Events with a leading yyyy-MM-dd day column."""
     return day_view(read(spark, sf_dir, "events"), "ts")
@@ -378,6 +392,8 @@ REGISTRY = {
     "schedule_advance": schedule_advance,
     "due_checks": due_checks_reference,
     "due_checks_latest": due_checks_latest,
+    "due_checks_all": due_checks_all,
+    "checked_tables": checked_tables_q,
     "day_view": day_view_events,
     "table_freshness": freshness,
     "fresh_tables": fresh_tables_q,
