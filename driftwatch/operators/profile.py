@@ -121,14 +121,27 @@ def _long(sliced: DataFrame, specs: list[ColumnSpec], t: int) -> DataFrame:
     return wide.unpivot([], [f"c{s.column_id}" for s in specs], "__k", "__s").select("__s.*")
 
 
-def _levels(long: DataFrame, median_partitions: int) -> DataFrame:
+# Up to this many distinct values in a whole profile job, Spark's exact
+# ``percentile`` aggregate is used: no group can then hold more entries in its
+# buffer.  Above it, the range-partitioned selection (median.py) runs.
+PERCENTILE_MAX_VALUES = 2_000_000
+
+
+def _levels(
+    long: DataFrame,
+    median_partitions: int,
+    held: list,
+    strategy: str = "auto",
+    max_values: int = PERCENTILE_MAX_VALUES,
+) -> DataFrame:
     """Level 1, level 2 and median for (table, period, column) groups.
 
     Level 1 runs in two steps: a hash aggregation on the raw typed value
     (map-side combined, no per-row decimal work), then, per distinct raw
-    value, the D6 decimal and the bigint truncation; the range partitioning
-    by (group, decimal) brings equal decimals together, so their merge needs
-    no further shuffle.
+    value, the D6 decimal and the bigint truncation, merged per decimal.
+    ``strategy``: ``auto`` counts the distinct raw values (they are kept for
+    the next steps anyway) and picks ``percentile`` when the total is at most
+    ``max_values``, else ``range``; both are exact.
     """
     raw = long.groupBy(*KEYS, "rd", "rl", "rx", "rs").agg(F.count(F.lit(1)).alias("n"))
     rd, rl, rx = F.col("rd"), F.col("rl"), F.col("rx")
@@ -136,27 +149,65 @@ def _levels(long: DataFrame, median_partitions: int) -> DataFrame:
     b = F.coalesce(median_value(rd), rl, rx.try_cast("decimal(38,18)").try_cast("bigint"))
     present = rd.isNotNull() | rl.isNotNull() | rx.isNotNull() | F.col("rs").isNotNull()
     conv = raw.select(*KEYS, vn.alias("vn"), F.col("rs").alias("vt"), b.alias("b"), present.alias("p"), "n")
-    # Range partitioning samples its whole input before shuffling it; keep
-    # the (already combined) distinct values so the sample and the shuffle
-    # read them once.  Released as soon as the checkpoint below is written.
+    # Keep the (already combined) distinct values: the strategy count, the
+    # range sample and the shuffle (or both percentile branches) read them
+    # once.  Released when the final profile is pinned.
     conv = conv.persist(StorageLevel.MEMORY_AND_DISK)
+    held.append(conv)
+    if strategy == "auto":
+        strategy = "percentile" if conv.count() <= max_values else "range"
+    if strategy not in ("percentile", "range"):
+        raise ValueError("median strategy must be 'auto', 'percentile' or 'range'")
     bm = F.col("vn").try_cast("bigint")
+    level1_aggs = [
+        F.sum("n").alias("n"),
+        F.sum(F.when(F.col("p"), F.col("n")).otherwise(0)).alias("np"),
+        F.sum(F.when(F.col("b") == bm, F.col("n")).otherwise(0)).alias("nbm"),
+        F.sum(F.when(F.col("b").isNotNull(), F.col("n")).otherwise(0)).alias("nb"),
+    ]
+    level2_aggs = [
+        F.sum("n").alias("rows_cnt"),
+        F.sum("np").alias("completed_rows_cnt"),
+        (F.count("vn") + F.count("vt")).alias("distinct_values_cnt"),
+        F.min("vn").alias("minimum_value"),
+        F.max("vn").alias("maximum_value"),
+        F.sum(F.col("vn") * F.col("n")).alias("sum_of_values"),
+        F.sum(F.when(F.col("vn").isNotNull(), F.col("n"))).alias("__k"),
+    ]
+    # A value v (rounded to 6 dp) holds rows whose bigint truncation is
+    # trunc(v) or, for a row just below an integer, one step toward zero.
+    alt = bm - F.signum(F.col("vn")).cast("bigint")
+    if strategy == "percentile":
+        level1 = conv.groupBy(*KEYS, "vn", "vt").agg(*level1_aggs)
+        level2 = level1.groupBy(*KEYS).agg(*level2_aggs)
+        freq = level1.where(F.col("nb") > 0).select(
+            *KEYS,
+            F.inline(
+                F.array(
+                    F.struct(bm.alias("b"), F.col("nbm").alias("w")),
+                    F.struct(alt.alias("b"), (F.col("nb") - F.col("nbm")).alias("w")),
+                )
+            ),
+        )
+        med = (
+            freq.where(F.col("w") > 0)
+            .groupBy(*KEYS)
+            .agg(F.percentile(F.col("b"), F.lit(0.5), F.col("w")).alias("median_value"))
+            .select(*[F.col(k).alias(f"m{k}") for k in KEYS], "median_value")
+        )
+        return _join_levels(level2, med)
     # Range-partition the distinct values once and pin them (with their
-    # partition id) so that level 2 and the median read one materialisation.
+    # partition id) so that level 2 and the median read one materialisation;
+    # the range partitioning also clusters equal decimals, so their merge
+    # needs no further shuffle.
     level1 = (
         conv.repartitionByRange(median_partitions, *KEYS, "vn", "vt")
         .groupBy(*KEYS, "vn", "vt")
-        .agg(
-            F.sum("n").alias("n"),
-            F.sum(F.when(F.col("p"), F.col("n")).otherwise(0)).alias("np"),
-            F.sum(F.when(F.col("b") == bm, F.col("n")).otherwise(0)).alias("nbm"),
-            F.sum(F.when(F.col("b").isNotNull(), F.col("n")).otherwise(0)).alias("nb"),
-        )
+        .agg(*level1_aggs)
         .withColumn("__pid", F.spark_partition_id())
     )
     ensure_checkpoint_dir(long.sparkSession)
     ranged = level1.checkpoint(eager=True)
-    conv.unpersist()
     # One pass over the pinned rows: partials per (group, range partition)
     # feed both level 2 and the median's rank offsets.  A decimal value lives
     # in exactly one range partition, so distinct counts add up.
@@ -179,12 +230,14 @@ def _levels(long: DataFrame, median_partitions: int) -> DataFrame:
         F.sum("sum_of_values").alias("sum_of_values"),
         F.sum("__k").alias("__k"),
     )
-    # A value v (rounded to 6 dp) holds rows whose bigint truncation is
-    # trunc(v) or, for a row just below an integer, one step toward zero.
-    numeric = ranged.withColumn("main", bm).withColumn("alt", bm - F.signum(F.col("vn")).cast("bigint"))
+    numeric = ranged.withColumn("main", bm).withColumn("alt", alt)
     med = median_of_ranged(numeric, KEYS, "vn", per_part=parts.select(*KEYS, "__pid", "__pc")).select(
         *[F.col(k).alias(f"m{k}") for k in KEYS], "median_value"
     )
+    return _join_levels(level2, med)
+
+
+def _join_levels(level2: DataFrame, med: DataFrame) -> DataFrame:
     mean = F.col("sum_of_values").cast(MEAN_DECIMAL) / F.col("__k").cast("decimal(20,0)")
     cond = F.col("pe").eqNullSafe(F.col("mpe")) & (F.col("gid") == F.col("mgid"))
     joined = level2.join(med, cond, "left")
@@ -225,6 +278,7 @@ def profile_many(
     duplicates: str = "profile",
     report_dttm: dt.datetime | None = None,
     median_partitions: int | None = None,
+    median_strategy: str = "auto",
 ) -> DataFrame:
     """Profiles of several tables and periods in one job (C1 + C2).
 
@@ -251,7 +305,8 @@ def profile_many(
     long = longs[0]
     for other in longs[1:]:
         long = long.unionByName(other)
-    levels = _levels(long, median_partitions or shuffle_partitions(spark))
+    held: list[DataFrame] = []
+    levels = _levels(long, median_partitions or shuffle_partitions(spark), held, median_strategy)
     if dups:
         dup_df = dups[0]
         for other in dups[1:]:
@@ -296,8 +351,13 @@ def profile_many(
         F.lit(report_dttm or _now()).cast("timestamp").alias("report_dttm"),
     )
     # The profile is small (periods x columns) and read several times
-    # (deviations, history pool, storage): pin it once.
-    return out.checkpoint(eager=True)
+    # (deviations, history pool, storage): pin it once, then release the
+    # level-1 values it was computed from.
+    ensure_checkpoint_dir(spark)
+    pinned = out.checkpoint(eager=True)
+    for df in held:
+        df.unpersist()
+    return pinned
 
 
 def profile_periods(

@@ -77,7 +77,7 @@ def test_edge_values(spark):
 def test_signed_and_near_integer_median(spark):
     vals = [-1.9999999, -2.0, 2.9999999, 3.0000001, 0.4, -0.4, None]
     df = spark.createDataFrame([(D(2024, 1, 1), v) for v in vals], "d date, v double")
-    r = profile_period(df, "t", "d", "day", D(2024, 1, 1)).collect()[0]
+    r = profile_period(df, "t", "d", "day", D(2024, 1, 1), median_strategy="range").collect()[0]
     b = [int(v) for v in vals if v is not None]  # truncation toward zero
     assert r.median_value == float(np.percentile(b, 50))
     assert r.distinct_values_cnt == len({round(v, 6) for v in vals if v is not None})
@@ -141,26 +141,40 @@ def test_varchar_label(spark):
     assert (s.data_type, s.klass, s.comment) == ("varchar(10)", "text", "code")
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.one_of(st.none(), st.integers(-50, 50), st.floats(-1e6, 1e6, allow_nan=False)), min_size=1, max_size=60))
-def test_median_matches_numpy(spark, vals):
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.one_of(st.none(), st.integers(-50, 50), st.floats(-1e6, 1e6, allow_nan=False)), min_size=1, max_size=60),
+    st.sampled_from(["range", "percentile"]),
+)
+def test_median_matches_numpy(spark, vals, strategy):
     df = spark.createDataFrame([(D(2024, 1, 1), None if v is None else float(v)) for v in vals], "d date, v double")
-    rows = profile_period(df, "t", "d", "day", D(2024, 1, 1), median_partitions=3).collect()
+    rows = profile_period(df, "t", "d", "day", D(2024, 1, 1), median_partitions=3, median_strategy=strategy).collect()
     b = [int(v) for v in vals if v is not None]
     expect = None if not b else float(np.percentile(b, 50))
     assert rows[0].median_value == expect
     assert rows[0].completed_rows_cnt == len(b)
 
 
+def test_strategies_agree_on_real_months(spark):
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    out = {}
+    for strategy in ("range", "percentile"):
+        rows = profile_periods(li, "lineitem", "l_shipdate", "month", median_strategy=strategy, median_partitions=5).collect()
+        out[strategy] = {(r.end_of_calculation_period, r.column_id): tuple(r[f] for f in FIELDS) for r in rows}
+    assert out["range"] == out["percentile"] and len(out["range"]) == 830
+
+
 def test_hot_value_and_unique_column(spark):
     # one value holds a third of the rows; another column is unique
     n = 3000
     rows = [(D(2024, 1, 1 + i % 3), 7.0 if i % 3 == 0 else float(i % 97) / 7, i) for i in range(n)]
     df = spark.createDataFrame(rows, "d date, hot double, uid bigint").repartition(6)
-    got = {(r.end_of_calculation_period, r.column_name): r for r in profile_periods(df, "t", "d", "month", median_partitions=5).collect()}
     ref = {r.column_name: r for r in profile_union_form(df, "t", "d", "month", D(2024, 1, 31)).collect()}
-    for c in ("hot", "uid"):
-        g = got[(D(2024, 1, 31), c)]
-        assert all(g[f] == ref[c][f] for f in FIELDS), c
-    assert got[(D(2024, 1, 31), "uid")].distinct_values_cnt == n
-    assert got[(D(2024, 1, 31), "uid")].median_value == float(np.percentile(list(range(n)), 50))
+    for strategy in ("range", "percentile"):
+        rows = profile_periods(df, "t", "d", "month", median_partitions=5, median_strategy=strategy).collect()
+        got = {(r.end_of_calculation_period, r.column_name): r for r in rows}
+        for c in ("hot", "uid"):
+            g = got[(D(2024, 1, 31), c)]
+            assert all(g[f] == ref[c][f] for f in FIELDS), (strategy, c)
+        assert got[(D(2024, 1, 31), "uid")].distinct_values_cnt == n
+        assert got[(D(2024, 1, 31), "uid")].median_value == float(np.percentile(list(range(n)), 50))
