@@ -13,6 +13,7 @@ import datetime as dt
 from dataclasses import dataclass
 from typing import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import DEFAULT_LIMIT_PCT, TEMPLATES_RU
@@ -39,8 +40,10 @@ class Store:
         if self.by_path:
             try:
                 return align(spark.read.schema(schema).parquet(name), schema)
-            except Exception:  # noqa: BLE001 - no files yet: an empty table
-                return spark.createDataFrame([], schema)
+            except AnalysisException as e:
+                if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                    raise
+                return spark.createDataFrame([], schema)  # nothing written yet: an empty table
         return align(spark.table(name), schema)
 
     def append(self, df: DataFrame, which: str) -> None:
