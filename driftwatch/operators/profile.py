@@ -165,37 +165,26 @@ def _levels(
         F.sum(F.when(F.col("b") == bm, F.col("n")).otherwise(0)).alias("nbm"),
         F.sum(F.when(F.col("b").isNotNull(), F.col("n")).otherwise(0)).alias("nb"),
     ]
-    level2_aggs = [
-        F.sum("n").alias("rows_cnt"),
-        F.sum("np").alias("completed_rows_cnt"),
-        (F.count("vn") + F.count("vt")).alias("distinct_values_cnt"),
-        F.min("vn").alias("minimum_value"),
-        F.max("vn").alias("maximum_value"),
-        F.sum(F.col("vn") * F.col("n")).alias("sum_of_values"),
-        F.sum(F.when(F.col("vn").isNotNull(), F.col("n"))).alias("__k"),
-    ]
     # A value v (rounded to 6 dp) holds rows whose bigint truncation is
     # trunc(v) or, for a row just below an integer, one step toward zero.
     alt = bm - F.signum(F.col("vn")).cast("bigint")
     if strategy == "percentile":
-        level1 = conv.groupBy(*KEYS, "vn", "vt").agg(*level1_aggs)
-        level2 = level1.groupBy(*KEYS).agg(*level2_aggs)
-        freq = level1.where(F.col("nb") > 0).select(
-            *KEYS,
-            F.inline(
-                F.array(
-                    F.struct(bm.alias("b"), F.col("nbm").alias("w")),
-                    F.struct(alt.alias("b"), (F.col("nb") - F.col("nbm")).alias("w")),
-                )
-            ),
-        )
-        med = (
-            freq.where(F.col("w") > 0)
-            .groupBy(*KEYS)
-            .agg(F.percentile(F.col("b"), F.lit(0.5), F.col("w")).alias("median_value"))
-            .select(*[F.col(k).alias(f"m{k}") for k in KEYS], "median_value")
+        # One aggregation over the distinct raw values: each carries its exact
+        # bigint and row count, so the weighted exact percentile needs no
+        # merge by decimal; the distinct count is over the decimal (numeric
+        # columns) or the text (text columns), never both in one column.
+        distinct_key = F.coalesce(F.col("vn").cast("string"), F.col("vt"))
+        out = conv.groupBy(*KEYS).agg(
+            F.sum("n").alias("rows_cnt"),
+            F.sum(F.when(F.col("p"), F.col("n")).otherwise(0)).alias("completed_rows_cnt"),
+            F.count_distinct(distinct_key).alias("distinct_values_cnt"),
+            F.min("vn").alias("minimum_value"),
+            F.max("vn").alias("maximum_value"),
+            F.sum(F.col("vn") * F.col("n")).alias("sum_of_values"),
+            F.sum(F.when(F.col("vn").isNotNull(), F.col("n"))).alias("__k"),
+            F.percentile(F.col("b"), F.lit(0.5), F.col("n")).alias("median_value"),
         )
-        return _join_levels(level2, med)
+        return _final_levels(out)
     # Range-partition the distinct values once and pin them (with their
     # partition id) so that level 2 and the median read one materialisation;
     # the range partitioning also clusters equal decimals, so their merge
@@ -238,9 +227,12 @@ def _levels(
 
 
 def _join_levels(level2: DataFrame, med: DataFrame) -> DataFrame:
-    mean = F.col("sum_of_values").cast(MEAN_DECIMAL) / F.col("__k").cast("decimal(20,0)")
     cond = F.col("pe").eqNullSafe(F.col("mpe")) & (F.col("gid") == F.col("mgid"))
-    joined = level2.join(med, cond, "left")
+    return _final_levels(level2.join(med, cond, "left"))
+
+
+def _final_levels(joined: DataFrame) -> DataFrame:
+    mean = F.col("sum_of_values").cast(MEAN_DECIMAL) / F.col("__k").cast("decimal(20,0)")
     return joined.select(
         *KEYS,
         "rows_cnt",
