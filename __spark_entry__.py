@@ -311,6 +311,7 @@ def oracle_sql() -> dict[str, str]:
     whole = " UNION ALL ".join(_stored(_profile_sql(t)) for t in WHOLE)
     sql = {
         "profile_month": _stored(month),
+        "profile_month_range": _stored(month),
         "profile_week": _stored(week_events),
         "profile_day": _stored(_profile_sql("events", "ts", "day", rule="source")),
         "profile_tables": whole,

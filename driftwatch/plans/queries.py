@@ -60,6 +60,15 @@ def profile_month(spark, sf_dir):
     return present(to_statistics(p))
 
 
+def profile_month_range(spark, sf_dir):
+    """profile_month through the large-input path forced: range-partitioned
+    distinct values, checkpointed, medians selected from range partitions."""
+    p = profile_periods(
+        read(spark, sf_dir, "lineitem"), "lineitem", "l_shipdate", "month", report_dttm=STAMP, median_strategy="range"
+    )
+    return present(to_statistics(p))
+
+
 def profile_week(spark, sf_dir):
     """Weekly (Monday-Sunday) profiles of events, all weeks."""
     p = profile_periods(read(spark, sf_dir, "events"), "events", "ts", "week", report_dttm=STAMP)
@@ -372,6 +381,7 @@ def schedule_advance_v1(spark, sf_dir):
 
 REGISTRY = {
     "profile_month": profile_month,
+    "profile_month_range": profile_month_range,
     "profile_week": profile_week,
     "profile_day": profile_day,
     "profile_tables": profile_tables,
