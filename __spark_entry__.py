@@ -66,6 +66,8 @@ RUN_DATE = "1998-07-01"
 DATED = {"lineitem": "l_shipdate", "orders": "o_orderdate", "events": "ts"}
 WHOLE = ["customer", "supplier", "part", "nation", "region", "embeddings", "documents", "labels", "pages", "benchmark", "conversations"]
 ALL_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+# The description wording the deviations must reproduce
+# (the same text as driftwatch.config.TEMPLATES_RU, restated for the oracle).
 ZERO = "Дельта по показателю {m} не считаема, так как значение в одном из срезов = 0"
 DELTA = "Отклонение по столбцу {m} "
 DUPS = "Имеются полные дубликаты строк"
