@@ -282,15 +282,17 @@ def profile_many(
     spark = slices[0].df.sparkSession
     longs, dups = [], []
     cores = spark.sparkContext.defaultParallelism
+    prepared = [sl.prepare() for sl in slices]
+    splits = [p.rdd.getNumPartitions() for p in prepared]
+    # All slices run in the same stages after the union: spread the input
+    # only when the whole job is read in few splits (at most half as many as
+    # cores), since the unpivot multiplies rows by the number of columns; a
+    # large job already has about one split per core and is left as read.
+    spread = sum(splits) * 2 <= cores
     for t, sl in enumerate(slices):
-        sliced = sl.prepare()
-        if sliced.rdd.getNumPartitions() * 2 <= cores:
-            # An input read in few splits (few files or row groups) would run
-            # the unpivot, which multiplies its rows by the number of
-            # columns, on a fraction of the cores; spread it first.  Only
-            # when that at least doubles the parallelism: a large input
-            # already has about one split per core and is left as read.
-            sliced = sliced.repartition(cores)
+        sliced = prepared[t]
+        if spread:
+            sliced = sliced.repartition(max(1, cores // len(slices)))
         longs.append(_long(sliced, sl.specs, t))
         if duplicates == "source":
             dups.append(source_duplicates(sliced, sl.df.schema, t))
