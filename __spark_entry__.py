@@ -15,6 +15,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from driftwatch.plans import queries as Q
 
+# The corpus operators and their pipeline can be taken out; everything else works without them.
+try:
+    from driftwatch.llm import queries as llm_queries
+    from driftwatch.llm.oracle import ORACLE as LLM_ORACLE
+except ModuleNotFoundError as e:
+    if not (e.name or "").startswith("driftwatch.llm"):
+        raise
+    llm_queries, LLM_ORACLE = None, {}
+try:
+    import corpus_pipeline
+except ModuleNotFoundError as e:
+    if e.name != "corpus_pipeline" and not (e.name or "").startswith("driftwatch.llm"):
+        raise
+    corpus_pipeline = None
+
 SF_SMOKE = "/root/testdata/sf0.001"
 
 
@@ -24,7 +39,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(Q.REGISTRY)
+    return {**Q.REGISTRY, **(llm_queries.REGISTRY if llm_queries else {}), **({"pipeline": corpus_pipeline.run} if corpus_pipeline else {})}
 
 
 # ---------------------------------------------------------------------------
@@ -431,4 +446,4 @@ def oracle_sql() -> dict[str, str]:
         "CAST(CASE INTERVAL_TERM WHEN 1 THEN u + 1 WHEN 2 THEN u + 7 ELSE u + CAST(day(last_day(u)) AS INTEGER) END AS DATE) AS UPDATE_TABLE_DT, "
         "has_rows FROM s"
     )
-    return sql
+    return {**sql, **LLM_ORACLE, **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline and corpus_pipeline.ORACLE_SQL else {})}
