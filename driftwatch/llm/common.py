@@ -8,6 +8,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,7 +63,7 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = 4
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = np.nan_to_num(pa.compute.binary_length(batch.column(text)).to_numpy(zero_copy_only=False).astype(float))
+        sizes = np.nan_to_num(pc.binary_length(batch.column(text)).to_numpy(zero_copy_only=False).astype(float))
         part = (np.cumsum(sizes) // limit).astype(np.int64)
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
