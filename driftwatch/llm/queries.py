@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from driftwatch.llm import lines
+from driftwatch.llm import lines, pii
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -23,3 +23,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @registered
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_digest(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_digest(table(spark, sf_dir, "documents"))
