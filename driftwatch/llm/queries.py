@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from driftwatch.llm import langid, lines, packing, pii, topk
+from driftwatch.llm import langid, lines, mixing, packing, pii, topk
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -44,3 +44,8 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op5_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+@registered
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
