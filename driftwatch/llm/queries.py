@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from driftwatch.llm import langid, lines, mixing, packing, pii, topk
+from driftwatch.llm import langid, lines, mixing, packing, pii, sharding, topk
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -49,3 +49,8 @@ def op5_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@registered
+def op2_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_digest(table(spark, sf_dir, "documents"))
