@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from driftwatch.llm import langid, lines, mixing, packing, pii, sharding, topk
+from driftwatch.llm import langid, lines, mixing, packing, pii, sharding, spotsigs, topk
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -54,3 +54,8 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op2_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digest(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprint_digest(table(spark, sf_dir, "documents"))
