@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from driftwatch.llm import langid, lines, mixing, packing, pii, sharding, spotsigs, topk
+from driftwatch.llm import langid, lines, mixing, neardup, packing, pii, sharding, spotsigs, topk
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -59,3 +59,8 @@ def op2_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.fingerprint_digest(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op10_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
