@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from driftwatch.llm import langid, lines, mixing, neardup, packing, pii, sharding, spotsigs, topk
+from driftwatch.llm import langid, lines, mixing, neardup, packing, pii, sharding, spotsigs, substrings, topk
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -64,3 +64,8 @@ def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op10_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
+@registered
+def op6_bucket_refinement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
