@@ -24,6 +24,7 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +37,7 @@ LONG = 40
 #: Pieces of more code points are left out of the vocabulary.
 LONGEST = 12
 #: Words kept in a worker's dictionary at most.
-KEPT = 150_000
+KEPT = 300_000
 #: Added to each count; a letter outside the vocabulary has the probability of a piece never seen, times UNKNOWN.
 SMOOTH, UNKNOWN = 0.1, 0.01
 #: Evidence of neighbouring words is not independent: log likelihood ratios are divided by this before they become a score.
@@ -92,11 +93,49 @@ def piece_counts(train: DataFrame, proto: bytes) -> DataFrame:
     return rows.mapInArrow(run, "lang string, piece int, n long").groupBy("lang", "piece").agg(F.sum("n").alias("n"))
 
 
+class PieceTable:
+    """Ids of the pieces by a hash of their code points, looked up for many substrings at a time (open addressing)."""
+
+    BASE = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, pieces: dict[str, int]):
+        self.bits = max(4, (8 * len(pieces)).bit_length())
+        self.keys = np.zeros(1 << self.bits, np.uint64)
+        self.ids = np.full(1 << self.bits, -1, np.int64)
+        with np.errstate(over="ignore"):
+            for piece, i in pieces.items():
+                h = np.uint64(0)
+                for c in piece:
+                    h = self.extend(h, np.uint64(ord(c)))
+                slot = int(self._slot(h))
+                while self.ids[slot] >= 0:
+                    slot = (slot + 1) & (len(self.ids) - 1)
+                self.keys[slot], self.ids[slot] = h, i
+
+    def extend(self, h, code):  # type: ignore[no-untyped-def]
+        return (h + code + np.uint64(1)) * self.BASE ^ (h >> np.uint64(29))
+
+    def _slot(self, h):  # type: ignore[no-untyped-def]
+        return ((h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - self.bits)
+
+    def find(self, h: np.ndarray, miss: int) -> np.ndarray:
+        slot = self._slot(h).astype(np.int64)
+        ids = self.ids[slot]
+        open_ = np.flatnonzero((ids >= 0) & (self.keys[slot] != h))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & (len(self.ids) - 1)
+            ids[open_] = self.ids[slot[open_]]
+            open_ = open_[(ids[open_] >= 0) & (self.keys[slot[open_]] != h[open_])]
+        ids[ids < 0] = miss
+        return ids
+
+
 class Model:
     """Piece probabilities of each language; small and fixed in size by vocabulary and languages."""
 
     def __init__(self, langs: list[str], pieces: dict[str, int], probs: np.ndarray, unknown: np.ndarray):
         self.langs, self.pieces, self.probs, self.unknown = langs, pieces, probs, unknown
+        self.table = PieceTable(pieces)
 
 
 def train(rows: DataFrame, path: str) -> Model:
@@ -121,21 +160,20 @@ def word_scores(model: Model, words: list[str]) -> np.ndarray:
         by_length[len(w)].append(i)
     probs = np.vstack([model.probs, np.zeros((1, len(model.langs))), model.unknown[None]])
     none, unknown = len(model.pieces), len(model.pieces) + 1
-    find = model.pieces.get
+    table = model.table
     for n, group in by_length.items():
         marked = [MARK + words[i] for i in group]
         if n > LONG:
             for i, w in zip(group, marked):
-                out[i] = _long_word(probs, find, none, unknown, w)
+                out[i] = _long_word(probs, model.pieces.get, none, unknown, w)
             continue
-        sums = [np.ones((len(group), len(model.langs)))]
-        for end in range(1, n + 2):
-            total = np.zeros((len(group), len(model.langs)))
-            for a in range(max(0, end - LONGEST), end):
-                miss = unknown if a == end - 1 else none
-                ids = np.fromiter((find(w[a:end], miss) for w in marked), np.int64, len(group))
-                total += sums[a] * probs[ids]
-            sums.append(total)
+        codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(group), n + 1).T.astype(np.uint64)
+        sums = [np.ones((len(group), len(model.langs))), *[np.zeros((len(group), len(model.langs))) for _ in range(n + 1)]]
+        for a in range(n + 1):
+            h = np.zeros(len(group), np.uint64)
+            for end in range(a + 1, min(a + LONGEST, n + 1) + 1):
+                h = table.extend(h, codes[end - 1])
+                sums[end] += sums[a] * probs[table.find(h, unknown if end == a + 1 else none)]
         out[group] = np.log(sums[-1])
     return out
 
@@ -153,39 +191,67 @@ def _long_word(probs: np.ndarray, find, none: int, unknown: int, w: str) -> np.n
     return np.log(np.maximum(last[-1], 1e-300)) + scale
 
 
+class Scorer:
+    """Languages and scores of texts, with a dictionary of the words seen before."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.rows: dict[str, int] = {}
+        self.scores = np.zeros((0, len(model.langs)))
+
+    def __call__(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        langs, top = [], []
+        found = [WORDS.findall((t or "").lower()) for t in texts] if self.model.langs else [[] for _ in texts]
+        if len(self.rows) > KEPT:
+            self.rows, self.scores = {}, self.scores[:0]
+        new = list({w for words in found for w in words if w not in self.rows})
+        for k in range(0, len(new), 50_000):
+            part = new[k : k + 50_000]
+            base = len(self.rows)
+            self.rows.update(zip(part, range(base, base + len(part))))
+            self.scores = np.vstack([self.scores, word_scores(self.model, part)])
+        for words in found:
+            if not words:
+                langs.append("und")
+                top.append(0.0)
+                continue
+            total = self.scores[np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))].sum(axis=0)
+            best = int(total.argmax())
+            langs.append(self.model.langs[best])
+            top.append(float(1 / np.exp((total - total[best]) / TEMPER).sum()))
+        return langs, top
+
+
 def predict(df: DataFrame, model: Model) -> DataFrame:
     """``doc_id``, ``lang_pred`` and ``score`` (0 to 1, the tempered posterior of ``lang_pred``) of each row."""
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        rows: dict[str, int] = {}
-        scores = np.zeros((0, len(own.langs)))
+        scorer = Scorer(shared.value)
         for batch in slices(batches):
-            texts = [WORDS.findall((t or "").lower()) for t in batch.column("text").to_pylist()]
-            if len(rows) > KEPT:
-                rows, scores = {}, scores[:0]
-            new = list({w for words in texts for w in words if w not in rows}) if own.langs else []
-            for k in range(0, len(new), 50_000):
-                part = new[k : k + 50_000]
-                base = len(rows)
-                rows.update(zip(part, range(base, base + len(part))))
-                scores = np.vstack([scores, word_scores(own, part)])
-            langs, top = [], []
-            for words in texts:
-                if not words or not own.langs:
-                    langs.append("und")
-                    top.append(0.0)
-                    continue
-                total = scores[np.fromiter(map(rows.__getitem__, words), np.int64, len(words))].sum(axis=0)
-                best = int(total.argmax())
-                langs.append(own.langs[best])
-                top.append(float(1 / np.exp((total - total[best]) / TEMPER).sum()))
+            langs, top = scorer(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(langs, pa.string()), pa.array(top, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     return rekeyed(df, ("doc_id", "text")).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
+def of_known_language(df: DataFrame, model: Model, least: float) -> DataFrame:
+    """The rows of ``df`` whose text has a language with a score of ``least`` or more, with all their columns."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("boolean")
+    def told(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = Scorer(shared.value)
+        for batch in batches:
+            keep: list[bool] = []
+            for part in slices([pa.RecordBatch.from_arrays([pa.array(batch, pa.string(), from_pandas=True)], ["text"])]):
+                langs, top = scorer(part.column("text").to_pylist())
+                keep += [lang != "und" and score >= least for lang, score in zip(langs, top)]
+            yield pd.Series(keep)
+
+    return df.where(told(F.col("`text`")))
+
+
 def identify(df: DataFrame, path: str) -> DataFrame:
     """Learn from the rows that are not held out, predict all: ``doc_id, held_out, lang_pred, score``."""
     model = train(df.where(~held_out()), path)
