@@ -83,8 +83,8 @@ def clean_lines(df: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_D
 
 
 def _cleaned(rows: DataFrame, df: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
-    drops = dropped_lines(df, min_chars, min_docs).select(F.col("doc_id").alias("__doc"), "drops")
-    both = rows.join(drops, rows["doc_id"].eqNullSafe(drops["__doc"]), "left").drop("__doc").withColumnRenamed("drops", "__drops")
+    drops = dropped_lines(df, min_chars, min_docs).select(F.col("doc_id").alias("__doc"), F.col("drops").alias("__drops"))
+    both = rows.join(drops, rows["doc_id"].eqNullSafe(drops["__doc"]), "left").drop("__doc")
     schema = pa.schema([("text", pa.string()), ("n_lines", pa.int64()), ("n_dropped", pa.int64()), ("sha", pa.string())])
 
     @F.pandas_udf("text string, n_lines long, n_dropped long, sha string")
