@@ -69,6 +69,8 @@ TABLE_COLUMNS = {
 }
 # customer with a derived double that is NaN for every negative balance
 TABLE_COLUMNS["customer_sqrt"] = TABLE_COLUMNS["customer"] + [("acctbal_sqrt", "double")]
+TABLE_COLUMNS["lineitem_large"] = [("l_orderkey", "bigint"), ("large", "bigint")]
+TABLE_COLUMNS["events_nested"] = [("times", "array<timestamp_ntz>"), ("zeros", "array<double>"), ("below", "decimal(38,20)")]
 NUMERIC_TYPES = {"bigint", "int", "double", "float", "smallint", "tinyint", "boolean"}
 METRICS = ["rows_cnt", "completed_rows_cnt", "nulls_cnt", "distinct_values_cnt", "minimum_value", "maximum_value", "median_value", "average_value", "sum_of_values"]
 VALUE_METRICS = METRICS[4:]
@@ -89,7 +91,7 @@ DUPS = "Имеются полные дубликаты строк"
 
 
 def _is_num(t: str) -> bool:
-    return t in NUMERIC_TYPES
+    return t in NUMERIC_TYPES or t.startswith("decimal")
 
 
 def _ids(table: str, date_field: str | None, rule: str) -> dict[str, int]:
@@ -108,6 +110,11 @@ def _half_up_div(a: str, b: str) -> str:
     return f"(CASE WHEN ({a}) >= 0 THEN (2 * ({a}) + ({b})) // (2 * ({b})) ELSE -((2 * (-({a})) + ({b})) // (2 * ({b}))) END)"
 
 
+def _python_round(x: str) -> str:
+    """A float rounded to two places by its exact binary value."""
+    return f"CAST(format('{{:.2f}}', CAST({x} AS DOUBLE)) AS DOUBLE)"
+
+
 def _period(date_field: str | None, interval: str | None) -> tuple[str, str]:
     if date_field is None:
         return "CAST(NULL AS DATE)", "CAST(NULL AS DATE)"
@@ -149,15 +156,14 @@ def _profile_sql(
             s6 = f"sum(CAST({v} * 1000000 AS HUGEINT))"
             k = f"CAST(count({v}) AS HUGEINT)"
             q10 = _half_up_div(f"{s6} * 10000", f"NULLIF({k}, 0)")
-            q2 = _half_up_div(q10, "100000000")
             med = f"quantile_cont(TRY_CAST(trunc({c}) AS BIGINT), 0.5)"
             body = (
                 f", CAST(count(DISTINCT {v}) AS BIGINT) AS distinct_values_cnt"
-                f", CAST(CAST(min({v}) AS DECIMAL(19,2)) AS DOUBLE) AS minimum_value"
-                f", CAST(CAST(max({v}) AS DECIMAL(19,2)) AS DOUBLE) AS maximum_value"
-                f", CAST(CAST({med} AS DECIMAL(19,2)) AS DOUBLE) AS median_value"
-                f", CAST({q2} AS DOUBLE) / 100.0 AS average_value"
-                f", CAST(CAST(sum({v}) AS DECIMAL(19,2)) AS DOUBLE) AS sum_of_values"
+                f", {_python_round(f'min({v})')} AS minimum_value"
+                f", {_python_round(f'max({v})')} AS maximum_value"
+                f", {_python_round(med)} AS median_value"
+                f", {_python_round(f'CAST({q10} AS DOUBLE) / 10000000000.0')} AS average_value"
+                f", {_python_round(f'sum({v})')} AS sum_of_values"
                 f", CAST(min({v}) AS DOUBLE) AS w_minimum_value, CAST(max({v}) AS DOUBLE) AS w_maximum_value"
                 f", {med} AS w_median_value, CAST({q10} AS DOUBLE) / 10000000000.0 AS w_average_value"
                 f", CAST(sum({v}) AS DOUBLE) AS w_sum_of_values"
@@ -252,7 +258,7 @@ def _deviations_sql(profile: str, limits: str | None = None, v1: bool = False) -
     cols = []
     for m in METRICS:
         cols.append(f"d.{m}")
-        cols.append(f"CAST(CAST(d.delta_{m} AS DECIMAL(19,2)) AS DOUBLE) AS delta_{m}")
+        cols.append(f"CAST(CAST(d.delta_{m} AS DECIMAL(38,2)) AS DOUBLE) AS delta_{m}")
     extra = ""
     if v1:
         extra = (
@@ -339,6 +345,17 @@ def oracle_sql() -> dict[str, str]:
         ),
         "deviations_month": _deviations_sql(month),
         "profile_nan": _stored(_profile_sql("customer_sqrt", source="(SELECT *, sqrt(c_acctbal) AS acctbal_sqrt FROM customer)", label="customer")),
+        "profile_large_values": _stored(
+            _profile_sql("lineitem_large", source="(SELECT l_orderkey, l_orderkey * 1000000000000 AS large FROM lineitem)", label="lineitem")
+        ),
+        "profile_nested": _stored(
+            _profile_sql(
+                "events_nested", label="events",
+                source="(SELECT [TIMESTAMP '2024-01-01 00:00:00' + to_microseconds(event_id % 7)] AS times, "
+                "[CAST(event_id % 7 - (event_id % 7) % 2 AS DOUBLE)] AS zeros, "
+                "CAST(event_id % 3 AS DECIMAL(38,20)) - CAST('0.00000000000000000001' AS DECIMAL(38,20)) AS below FROM events)",
+            )
+        ),
         "nan_to_null": (
             "SELECT c_custkey, CASE WHEN isnan(sqrt(c_acctbal)) OR isinf(sqrt(c_acctbal)) THEN NULL ELSE sqrt(c_acctbal) END AS acctbal_sqrt FROM customer"
         ),

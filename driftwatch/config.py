@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -48,26 +47,15 @@ TEMPLATES_EN = {
 
 WORK_DECIMAL = "decimal(38,6)"
 MEAN_DECIMAL = "decimal(38,10)"
-STORE_DECIMAL = "decimal(19,2)"
+STORE_DECIMAL = "decimal(38,2)"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint dir; set a local one only when unset.
-
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only a bare local session (tests, bench) gets a temp folder.
-    """
+    """The session's checkpoint folder: ``spark.checkpoint.dir`` (shared by all executors), or a temporary one where that is unset."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    if not sc.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    path = tempfile.mkdtemp(prefix="driftwatch-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(path)
-    return path
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="driftwatch-scratch-"))
+    return sc.getCheckpointDir()
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

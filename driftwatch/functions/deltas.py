@@ -10,6 +10,24 @@ def round_half_even_2(x: Column) -> Column:
     return F.rint(x * F.lit(100.0)) / F.lit(100.0)
 
 
+def python_round_2(x: Column) -> Column:
+    """M4: Python's ``round(x, 2)`` of a float: the decimal nearest to its exact binary value, ties to even.
+
+    ``x * 100`` is split exactly into a double and its error, so 2.675 (a little less in binary) gives 2.67.
+    From 2**45 on doubles are about as coarse as cents and stay as they are.
+    """
+    x = x.cast("double")
+    h = x * F.lit(100.0)
+    c = x * F.lit(134217729.0)
+    hi = c - (c - x)
+    lo = x - hi
+    error = (hi * F.lit(100.0) - h) + lo * F.lit(100.0)
+    low = F.floor(h)
+    side = (h - low - F.lit(0.5)) + error
+    nearest = F.when(side > 0, low + 1).when(side < 0, low).otherwise(F.when(low % 2 == 0, low).otherwise(low + 1))
+    return F.when(F.abs(x) < F.lit(2.0**45), nearest.cast("double") / F.lit(100.0)).otherwise(x)
+
+
 def pct_delta(cur: Column, prev: Column, *, null_prev_zero_cur: float | None = None) -> Column:
     """M1: percent change between two doubles.
 

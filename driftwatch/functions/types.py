@@ -41,6 +41,23 @@ def median_value(c: Column) -> Column:
     return c.try_cast("bigint")
 
 
+def _canonical(c: Column, dtype: T.DataType) -> Column:
+    """Equal values (by Spark's own equality) get equal JSON, different ones different JSON."""
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return c + F.lit(0.0).cast(dtype)  # -0.0 equals 0.0
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(c, lambda x: _canonical(x, dtype.elementType))
+    if isinstance(dtype, T.StructType):
+        inner = F.struct(*[_canonical(c.getField(f.name), f.dataType).alias(f"f{i}") for i, f in enumerate(dtype.fields)])
+        return F.when(c.isNotNull(), inner)
+    if isinstance(dtype, T.MapType):
+        pair = T.StructType([T.StructField("key", dtype.keyType), T.StructField("value", dtype.valueType)])
+        return F.array_sort(_canonical(F.map_entries(c), T.ArrayType(pair)))
+    if isinstance(dtype, T.BinaryType):
+        return F.hex(c)
+    return c.cast("string")  # exact text: JSON would cut timestamps to milliseconds
+
+
 def text_value(c: Column, dtype: T.DataType) -> Column:
     """String form used to count distinct values of a non-numeric column."""
     if isinstance(dtype, T.StringType):
@@ -48,5 +65,5 @@ def text_value(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.BinaryType):
         return F.base64(c)
     if isinstance(dtype, _NESTED):
-        return F.to_json(c)
+        return F.to_json(_canonical(c, dtype), {"ignoreNullFields": "false"})
     return c.cast("string")

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import DEFAULT_LIMIT_PCT, METRICS, STORE_DECIMAL, TEMPLATES_RU, TEMPLATES_RU_V1, V1_MISSING_PREVIOUS_DATE
-from ..functions.deltas import exceeds, pct_delta, python_number_text
+from ..functions.deltas import exceeds, pct_delta, python_number_text, python_round_2
 from ..schemas import METRICS_TABLE
 from .history import join_previous
 from .limits import apply_limits
@@ -60,9 +60,9 @@ def _metrics_columns(out: DataFrame, stamp: dt.datetime) -> list:
         if f.name == "report_dttm":
             c = F.lit(stamp).cast("timestamp")
         elif f.name.startswith("delta_"):
-            c = F.col(f.name).cast(STORE_DECIMAL)
+            c = F.col(f.name).try_cast(STORE_DECIMAL)
         elif f.name in METRICS and not f.name.endswith("_cnt"):
-            c = F.col(f.name).cast(STORE_DECIMAL)
+            c = python_round_2(F.col(f.name)).try_cast(STORE_DECIMAL)
         else:
             c = F.col(f.name).cast(f.dataType)
         cols.append(c.alias(f.name))
@@ -83,7 +83,7 @@ def deviations(
 
     ``current``: working-precision profile rows.  ``history``: stored
     ``dq_table_statistics`` rows (may be empty).  ``limits``: rows of
-    ``dq_deviations_setup`` (may be None).  One lazy plan; no collect.
+    ``dq_deviations_setup`` (may be None).  A lazy plan over ``current``; no collect.
     """
     out = _deviation_frame(current, history, limits, templates, default_limit, null_prev_zero_cur)
     return out.select(*_metrics_columns(out, report_dttm or dt.datetime.now().replace(microsecond=0)))

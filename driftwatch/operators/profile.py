@@ -2,14 +2,17 @@
 
 Plan (two-level aggregate, one scan):
 
-    scan -> where(slice) -> unpivot to (period, column id, value)
-         -> groupBy(period, column, value)        level 1, combined map-side
-         -> groupBy(period, column)               level 2, algebraic metrics
-         -> exact distributed median (median.py)  from level-1 frequencies
+    scan -> where(slice) -> unpivot to (period, table, column, value)
+         -> groupBy(period, column, raw value)    combined map-side
+         -> groupBy(period, column, decimal)      combined map-side; texts end here as one row of counts
+         -> range partitions of the decimals, written once to the shared folder
+         -> groupBy(period, column)               algebraic metrics
+         -> exact distributed median (median.py)  from the decimals' frequencies
          -> join on (period, column)
 
-A value held by a third of all rows is combined before the first shuffle;
-level 2 only sees distinct values; nothing is collected to the driver.
+There is one plan for every size.  A value held by a third of all rows is
+combined before the first shuffle, and so are raw values that round alike
+before the range exchange; nothing is collected to the driver.
 """
 
 from __future__ import annotations
@@ -17,13 +20,14 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..config import MEAN_DECIMAL, STORE_DECIMAL, WORK_DECIMAL, ensure_checkpoint_dir, shuffle_partitions
+from ..config import MEAN_DECIMAL, STORE_DECIMAL, WORK_DECIMAL, shuffle_partitions
+from ..functions.deltas import python_round_2
 from ..functions.periods import normalise_interval, python_bounds, row_period_end, slice_day
 from ..functions.types import median_value, numeric_value, text_value
 from ..schemas import STATISTICS
+from ..sources.scratch import Scratch
 from .median import median_of_ranged
 from .structure import ColumnSpec, table_structure
 
@@ -35,13 +39,12 @@ def _q(name: str) -> Column:
 
 
 def _now() -> dt.datetime:
-    return dt.datetime.now().replace(microsecond=0)
+    return dt.datetime.now()
 
 
 # Weeks of a whole-table batch end on Sundays unless a schedule anchors them.
 DEFAULT_WEEK_ANCHOR = dt.date(1970, 1, 4)
-KEYS = ["pe", "gid"]
-GID_BASE = 100_000  # gid = table index * GID_BASE + column id
+KEYS = ["pe", "tid", "cid"]  # period end, table index, column id
 
 
 @dataclass
@@ -85,138 +88,85 @@ class Slice:
         return {"day": pe, "week": F.date_sub(pe, 6), "month": F.trunc(pe, "MM")}[self.interval_type]
 
 
-def _raw(c: Column, spec: ColumnSpec) -> tuple[Column, Column, Column, Column]:
-    """The column's value in one of four cheap, exactly-typed slots (rd, rl, rx, rs)."""
+def _raw(c: Column, spec: ColumnSpec) -> list[Column]:
+    """The column's value in cheap, exactly-typed slots: double, bigint, working decimal, text; and whether there is one.
+
+    A decimal is its working decimal and its truncation, all that any metric uses of it.
+    """
     nul = lambda t: F.lit(None).cast(t)
+    rd, rl, rx, rs = nul("double"), nul("bigint"), nul(WORK_DECIMAL), nul("string")
     if spec.klass == "text":
-        return nul("double"), nul("bigint"), nul("string"), text_value(c, spec.dtype)
-    if isinstance(spec.dtype, (T.DoubleType, T.FloatType)):
-        return c.cast("double"), nul("bigint"), nul("string"), nul("string")
-    if isinstance(spec.dtype, T.DecimalType):
-        return nul("double"), nul("bigint"), c.cast("string"), nul("string")
-    return nul("double"), c.cast("bigint"), nul("string"), nul("string")
+        rs = text_value(c, spec.dtype)
+    elif isinstance(spec.dtype, (T.DoubleType, T.FloatType)):
+        rd = c.cast("double")
+    elif isinstance(spec.dtype, T.DecimalType):
+        rl, rx = median_value(c), numeric_value(c)
+    else:
+        rl = c.cast("bigint")
+    return [x.alias(n) for n, x in zip(RAW, (rd, rl, rx, rs, c.isNotNull()))]
+
+
+RAW = ["rd", "rl", "rx", "rs", "rp"]
 
 
 def _long(sliced: DataFrame, specs: list[ColumnSpec], t: int) -> DataFrame:
     """Unpivot (Expand) to one row per (row, column) with the raw value in its slot.
 
-    The period and the global column id travel inside the struct, so after
-    the Expand they are plain attributes (never folded literals) and the
-    range partitioning below also serves the aggregation keyed by them.
+    The period and the keys travel inside the struct, so after the Expand
+    they are plain attributes, never folded literals.
     """
     structs = []
     for s in specs:
-        rd, rl, rx, rs = _raw(_q(s.name), s)
-        structs.append(
-            F.struct(
-                F.col("__pe").alias("pe"),
-                F.lit(t * GID_BASE + s.column_id).cast("int").alias("gid"),
-                rd.alias("rd"),
-                rl.alias("rl"),
-                rx.alias("rx"),
-                rs.alias("rs"),
-            ).alias(f"c{s.column_id}")
-        )
+        keys = [F.col("__pe").alias("pe"), F.lit(t).cast("int").alias("tid"), F.lit(s.column_id).cast("int").alias("cid")]
+        dec = [F.lit(isinstance(s.dtype, T.DecimalType)).alias("dec")]
+        structs.append(F.struct(*keys, *_raw(_q(s.name), s), *dec).alias(f"c{s.column_id}"))
     wide = sliced.select(*structs)
     return wide.unpivot([], [f"c{s.column_id}" for s in specs], "__k", "__s").select("__s.*")
 
 
-# Up to this many distinct values in a whole profile job, Spark's exact
-# ``percentile`` aggregate is used: no group can then hold more entries in its
-# buffer.  Above it, the range-partitioned selection (median.py) runs.
-PERCENTILE_MAX_VALUES = 2_000_000
-
-
-def _levels(
-    long: DataFrame,
-    median_partitions: int,
-    held: list,
-    strategy: str = "auto",
-    max_values: int = PERCENTILE_MAX_VALUES,
-) -> DataFrame:
-    """Level 1, level 2 and median for (table, period, column) groups.
-
-    Level 1 runs in two steps: a hash aggregation on the raw typed value
-    (map-side combined, no per-row decimal work), then, per distinct raw
-    value, the D6 decimal and the bigint truncation, merged per decimal.
-    ``strategy``: ``auto`` counts the distinct raw values (they are kept for
-    the next steps anyway) and picks ``percentile`` when the total is at most
-    ``max_values``, else ``range``; both are exact.
-    """
-    raw = long.groupBy(*KEYS, "rd", "rl", "rx", "rs").agg(F.count(F.lit(1)).alias("n"))
-    rd, rl, rx = F.col("rd"), F.col("rl"), F.col("rx")
-    vn = F.coalesce(numeric_value(rd), numeric_value(rl), numeric_value(rx))
-    b = F.coalesce(median_value(rd), rl, rx.try_cast("decimal(38,18)").try_cast("bigint"))
-    present = rd.isNotNull() | rl.isNotNull() | rx.isNotNull() | F.col("rs").isNotNull()
-    conv = raw.select(*KEYS, vn.alias("vn"), F.col("rs").alias("vt"), b.alias("b"), present.alias("p"), "n")
-    # Keep the (already combined) distinct values: the strategy count, the
-    # range sample and the shuffle (or both percentile branches) read them
-    # once.  Released when the final profile is pinned.
-    conv = conv.persist(StorageLevel.MEMORY_AND_DISK)
-    held.append(conv)
-    if strategy == "auto":
-        strategy = "percentile" if conv.count() <= max_values else "range"
-    if strategy not in ("percentile", "range"):
-        raise ValueError("median strategy must be 'auto', 'percentile' or 'range'")
+def _levels(long: DataFrame, median_partitions: int, scratch: Scratch) -> DataFrame:
+    """All metrics of the (period, table, column) groups."""
+    raw = long.groupBy(*KEYS, *RAW, "dec").agg(F.count(F.lit(1)).alias("n"))
+    rd, rl = F.col("rd"), F.col("rl")
+    # the working decimal and the truncation, once per distinct raw value
+    vn = F.when(F.col("dec"), F.col("rx")).otherwise(F.coalesce(numeric_value(rd), numeric_value(rl)))
+    conv = raw.select(*KEYS, vn.alias("vn"), F.coalesce(median_value(rd), rl).alias("b"), "rs", F.col("rp").alias("p"), "n")
+    # A value v (rounded to 6 dp) holds rows whose bigint truncation is
+    # trunc(v) or, for a row just below an integer, one step toward zero.
     bm = F.col("vn").try_cast("bigint")
-    level1_aggs = [
+    alt = bm - F.signum(F.col("vn")).cast("bigint")
+    merged = conv.groupBy(*KEYS, "vn").agg(
         F.sum("n").alias("n"),
         F.sum(F.when(F.col("p"), F.col("n")).otherwise(0)).alias("np"),
         F.sum(F.when(F.col("b") == bm, F.col("n")).otherwise(0)).alias("nbm"),
         F.sum(F.when(F.col("b").isNotNull(), F.col("n")).otherwise(0)).alias("nb"),
-    ]
-    # A value v (rounded to 6 dp) holds rows whose bigint truncation is
-    # trunc(v) or, for a row just below an integer, one step toward zero.
-    alt = bm - F.signum(F.col("vn")).cast("bigint")
-    if strategy == "percentile":
-        # One aggregation over the distinct raw values: each carries its exact
-        # bigint and row count, so the weighted exact percentile needs no
-        # merge by decimal; the distinct count is over the decimal (numeric
-        # columns) or the text (text columns), never both in one column.
-        distinct_key = F.coalesce(F.col("vn").cast("string"), F.col("vt"))
-        out = conv.groupBy(*KEYS).agg(
-            F.sum("n").alias("rows_cnt"),
-            F.sum(F.when(F.col("p"), F.col("n")).otherwise(0)).alias("completed_rows_cnt"),
-            F.count_distinct(distinct_key).alias("distinct_values_cnt"),
-            F.min("vn").alias("minimum_value"),
-            F.max("vn").alias("maximum_value"),
-            F.sum(F.col("vn") * F.col("n")).alias("sum_of_values"),
-            F.sum(F.when(F.col("vn").isNotNull(), F.col("n"))).alias("__k"),
-            F.percentile(F.col("b"), F.lit(0.5), F.col("n")).alias("median_value"),
-        )
-        return _final_levels(out)
-    # Range-partition the distinct values once and pin them (with their
-    # partition id) so that level 2 and the median read one materialisation;
-    # the range partitioning also clusters equal decimals, so their merge
-    # needs no further shuffle.
-    level1 = (
-        conv.repartitionByRange(median_partitions, *KEYS, "vn", "vt")
-        .groupBy(*KEYS, "vn", "vt")
-        .agg(*level1_aggs)
-        .withColumn("__pid", F.spark_partition_id())
+        F.count("rs").alias("nt"),  # raw rows hold distinct texts
     )
-    ensure_checkpoint_dir(long.sparkSession)
-    ranged = level1.checkpoint(eager=True)
+    # Pinned with the partition id, so that ids stay the same for both readers
+    # and after the loss of an executor.
+    ranged = scratch.pin(merged.repartitionByRange(median_partitions, *KEYS, "vn").withColumn("__pid", F.spark_partition_id()), "decimals")
     # One pass over the pinned rows: partials per (group, range partition)
-    # feed both level 2 and the median's rank offsets.  A decimal value lives
-    # in exactly one range partition, so distinct counts add up.
+    # feed both level 2 and the median's rank offsets.  A decimal is one row.
+    product = F.try_multiply(F.col("vn"), F.col("n"))
     parts = ranged.groupBy(*KEYS, "__pid").agg(
         F.sum("n").alias("rows_cnt"),
         F.sum("np").alias("completed_rows_cnt"),
-        (F.count("vn") + F.count("vt")).alias("distinct_values_cnt"),
+        (F.count("vn") + F.sum("nt")).alias("distinct_values_cnt"),
         F.min("vn").alias("minimum_value"),
         F.max("vn").alias("maximum_value"),
-        F.sum(F.col("vn") * F.col("n")).alias("sum_of_values"),
+        F.try_sum(product).alias("sum_of_values"),
         F.sum(F.when(F.col("vn").isNotNull(), F.col("n"))).alias("__k"),
+        F.max(F.col("vn").isNotNull() & product.isNull()).alias("__over"),
         F.sum("nb").alias("__pc"),
     )
+    over = F.col("__over") | (F.col("__k").isNotNull() & F.col("sum_of_values").isNull())
     level2 = parts.groupBy(*KEYS).agg(
         F.sum("rows_cnt").alias("rows_cnt"),
         F.sum("completed_rows_cnt").alias("completed_rows_cnt"),
         F.sum("distinct_values_cnt").alias("distinct_values_cnt"),
         F.min("minimum_value").alias("minimum_value"),
         F.max("maximum_value").alias("maximum_value"),
-        F.sum("sum_of_values").alias("sum_of_values"),
+        F.when(~F.max(over), F.try_sum("sum_of_values")).alias("sum_of_values"),  # NULL where it does not fit
         F.sum("__k").alias("__k"),
     )
     numeric = ranged.withColumn("main", bm).withColumn("alt", alt)
@@ -227,12 +177,14 @@ def _levels(
 
 
 def _join_levels(level2: DataFrame, med: DataFrame) -> DataFrame:
-    cond = F.col("pe").eqNullSafe(F.col("mpe")) & (F.col("gid") == F.col("mgid"))
+    cond = F.col("pe").eqNullSafe(F.col("mpe")) & (F.col("tid") == F.col("mtid")) & (F.col("cid") == F.col("mcid"))
     return _final_levels(level2.join(med, cond, "left"))
 
 
 def _final_levels(joined: DataFrame) -> DataFrame:
-    mean = F.col("sum_of_values").cast(MEAN_DECIMAL) / F.col("__k").cast("decimal(20,0)")
+    k = F.col("__k").cast("decimal(20,0)")
+    total = F.col("sum_of_values")
+    mean = F.coalesce(total.try_cast(MEAN_DECIMAL) / k, F.try_divide(total, k).try_cast(MEAN_DECIMAL))
     return joined.select(
         *KEYS,
         "rows_cnt",
@@ -260,7 +212,7 @@ def source_duplicates(sliced: DataFrame, schema: T.StructType, t: int = 0) -> Da
     return groups.groupBy("__pe").agg(F.sum(F.col("count") - 1).alias("dublicates_cnt")).withColumn("__t", F.lit(t))
 
 
-def _lookup(pairs: list[tuple[int, Column]], key: Column) -> Column:
+def _lookup(pairs: list[tuple], key: Column) -> Column:
     return F.element_at(F.create_map(*[x for k, v in pairs for x in (F.lit(k), v)]), key)
 
 
@@ -270,7 +222,6 @@ def profile_many(
     duplicates: str = "profile",
     report_dttm: dt.datetime | None = None,
     median_partitions: int | None = None,
-    median_strategy: str = "auto",
 ) -> DataFrame:
     """Profiles of several tables and periods in one job (C1 + C2).
 
@@ -281,52 +232,50 @@ def profile_many(
         raise ValueError("nothing to profile")
     spark = slices[0].df.sparkSession
     longs, dups = [], []
-    cores = spark.sparkContext.defaultParallelism
-    prepared = [sl.prepare() for sl in slices]
-    splits = [p.rdd.getNumPartitions() for p in prepared]
-    # All slices run in the same stages after the union: spread the input
-    # only when the whole job is read in few splits (at most half as many as
-    # cores), since the unpivot multiplies rows by the number of columns; a
-    # large job already has about one split per core and is left as read.
-    spread = sum(splits) * 2 <= cores
     for t, sl in enumerate(slices):
-        sliced = prepared[t]
-        if spread:
-            sliced = sliced.repartition(max(1, cores // len(slices)))
+        sliced = sl.prepare()
         longs.append(_long(sliced, sl.specs, t))
         if duplicates == "source":
             dups.append(source_duplicates(sliced, sl.df.schema, t))
     long = longs[0]
     for other in longs[1:]:
         long = long.unionByName(other)
-    held: list[DataFrame] = []
-    levels = _levels(long, median_partitions or shuffle_partitions(spark), held, median_strategy)
+    with Scratch(spark, "profile") as scratch:
+        levels = _levels(long, median_partitions or shuffle_partitions(spark), scratch)
+        # The profile is small (periods x columns) and read several times
+        # (deviations, history pool, storage): it is pinned, and the decimals
+        # that it was computed from are deleted.
+        return _labelled(levels, slices, dups, report_dttm).checkpoint(eager=True)
+
+
+def _labelled(levels: DataFrame, slices: list[Slice], dups: list[DataFrame], report_dttm: dt.datetime | None) -> DataFrame:
+    """The profile rows: metrics with names, types, comments, periods, duplicates and the run stamp."""
     if dups:
         dup_df = dups[0]
         for other in dups[1:]:
             dup_df = dup_df.unionByName(other)
         dup_df = dup_df.select(F.col("__t").alias("d__t"), F.col("__pe").alias("d__pe"), "dublicates_cnt")
-        cond = ((F.col("gid") / F.lit(GID_BASE)).cast("int") == F.col("d__t")) & F.col("pe").eqNullSafe(F.col("d__pe"))
+        cond = (F.col("tid") == F.col("d__t")) & F.col("pe").eqNullSafe(F.col("d__pe"))
         levels = levels.join(dup_df, cond, "left")
         dup = F.coalesce(F.col("dublicates_cnt"), F.lit(0)).cast("long")
     else:
         # v2 counted duplicates among profile rows, which the column id makes unique.
         dup = F.lit(0).cast("long")
-    key = F.col("gid")
-    meta = [(t * GID_BASE + s.column_id, s) for t, sl in enumerate(slices) for s in sl.specs]
+    key = F.concat_ws(":", F.col("tid").cast("string"), F.col("cid").cast("string"))
+    meta = [(f"{t}:{s.column_id}", s) for t, sl in enumerate(slices) for s in sl.specs]
     name = _lookup([(k, F.lit(s.name)) for k, s in meta], key)
     label = _lookup([(k, F.lit(s.data_type)) for k, s in meta], key)
     comment = _lookup([(k, F.lit(s.comment).cast("string")) for k, s in meta], key)
-    tcol = (F.col("gid") / F.lit(GID_BASE)).cast("int")
+    tcol = F.col("tid")
     table = _lookup([(t, F.lit(sl.table_name)) for t, sl in enumerate(slices)], tcol)
     interval = _lookup([(t, F.lit(sl.interval_type).cast("string")) for t, sl in enumerate(slices)], tcol)
     start = F.lit(None).cast("date")
     for t, sl in enumerate(slices):
         start = F.when(tcol == t, sl.start_of(F.col("pe"))).otherwise(start)
-    out = levels.select(
+    return levels.select(
         table.alias("table_name"),
         name.alias("column_name"),
-        (F.col("gid") % F.lit(GID_BASE)).cast("long").alias("column_id"),
+        F.col("cid").cast("long").alias("column_id"),
         label.alias("data_type"),
         comment.alias("comment"),
         start.alias("start_of_calculation_period"),
@@ -344,14 +293,6 @@ def profile_many(
         dup.alias("dublicates_cnt"),
         F.lit(report_dttm or _now()).cast("timestamp").alias("report_dttm"),
     )
-    # The profile is small (periods x columns) and read several times
-    # (deviations, history pool, storage): pin it once, then release the
-    # level-1 values it was computed from.
-    ensure_checkpoint_dir(spark)
-    pinned = out.checkpoint(eager=True)
-    for df in held:
-        df.unpersist()
-    return pinned
 
 
 def profile_periods(
@@ -399,60 +340,13 @@ def sorted_profile(profile: DataFrame) -> DataFrame:
 
 
 def to_statistics(profile: DataFrame) -> DataFrame:
-    """M4: the stored form: values rounded half-up to decimal(19,2)."""
+    """M4: the stored form: values rounded as Python rounds floats to two places."""
     cols = []
     for f in STATISTICS.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, T.DecimalType):
-            c = c.cast(STORE_DECIMAL)
+            c = python_round_2(c).try_cast(STORE_DECIMAL)
         else:
             c = c.cast(f.dataType)
         cols.append(c.alias(f.name))
     return profile.select(*cols)
-
-
-def profile_union_form(df: DataFrame, table_name: str, date_field: str, interval_type: str, end: dt.date) -> DataFrame:
-    """U1/U2 in the original shape: one aggregate per column, ``UNION ALL``.
-
-    Kept as a cross-check of the two-level plan (tests); it scans the table
-    once per column and keeps each column's distinct values in one buffer.
-    """
-    interval = normalise_interval(interval_type)
-    lo, hi = python_bounds(end, interval)
-    specs = table_structure(df.schema, date_field, "v2")
-    day = slice_day(_q(date_field), df.schema[date_field].dataType)
-    sliced = df.where(day.between(F.lit(lo), F.lit(hi)))
-    parts = []
-    for s in specs:
-        c = _q(s.name)
-        if s.klass == "numeric":
-            v = numeric_value(c)
-            aggs = [
-                F.count_distinct(v).alias("distinct_values_cnt"),
-                F.min(v).alias("minimum_value"),
-                F.max(v).alias("maximum_value"),
-                F.percentile(median_value(c), F.lit(0.5)).alias("median_value"),
-                F.avg(v).alias("average_value"),
-                F.sum(v).alias("sum_of_values"),
-            ]
-        else:
-            aggs = [F.count_distinct(text_value(c, s.dtype)).alias("distinct_values_cnt")] + [
-                F.lit(None).cast(t).alias(n)
-                for n, t in [
-                    ("minimum_value", WORK_DECIMAL),
-                    ("maximum_value", WORK_DECIMAL),
-                    ("median_value", "double"),
-                    ("average_value", MEAN_DECIMAL),
-                    ("sum_of_values", WORK_DECIMAL),
-                ]
-            ]
-        part = sliced.groupBy(F.lit(s.name).alias("column_name")).agg(
-            F.count(F.lit(1)).alias("rows_cnt"), F.count(c).alias("completed_rows_cnt"), *aggs
-        )
-        parts.append(part.withColumn("column_id", F.lit(s.column_id).cast("long")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("nulls_cnt", F.col("rows_cnt") - F.col("completed_rows_cnt")).withColumn(
-        "end_of_calculation_period", F.lit(hi)
-    )

@@ -10,7 +10,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..config import OPEN_END
+from ..config import METRICS, OPEN_END
 from ..functions.deltas import nan_to_null
 from ..functions.periods import slice_day
 from ..operators.deviations import deviations, deviations_v1
@@ -61,11 +61,8 @@ def profile_month(spark, sf_dir):
 
 
 def profile_month_range(spark, sf_dir):
-    """profile_month through the large-input path forced: range-partitioned
-    distinct values, checkpointed, medians selected from range partitions."""
-    p = profile_periods(
-        read(spark, sf_dir, "lineitem"), "lineitem", "l_shipdate", "month", report_dttm=STAMP, median_strategy="range"
-    )
+    """profile_month with many more range partitions than groups need, so that medians span several of them."""
+    p = profile_periods(read(spark, sf_dir, "lineitem"), "lineitem", "l_shipdate", "month", report_dttm=STAMP, median_partitions=97)
     return present(to_statistics(p))
 
 
@@ -103,6 +100,25 @@ def profile_nan(spark, sf_dir):
     return present(to_statistics(profile_many([Slice(_customer_sqrt(spark, sf_dir), "customer")], report_dttm=STAMP)))
 
 
+def profile_large_values(spark, sf_dir):
+    """M4, A10: keys scaled so that sums pass 1e17 (decimal(19,2) would not hold them)."""
+    li = read(spark, sf_dir, "lineitem").select("l_orderkey", (F.col("l_orderkey") * F.lit(1_000_000_000_000)).alias("large"))
+    return present(to_statistics(profile_many([Slice(li, "lineitem")], report_dttm=STAMP)))
+
+
+def profile_nested(spark, sf_dir):
+    """Arrays of timestamps a microsecond apart, arrays with -0.0, and decimals of scale 20 just below an integer."""
+    ev = read(spark, sf_dir, "events")
+    us = (F.col("event_id") % 7).cast("int")
+    small = (F.col("event_id") % 3).cast("decimal(3,0)")
+    df = ev.select(
+        F.array(F.make_timestamp_ntz(F.lit(2024), F.lit(1), F.lit(1), F.lit(0), F.lit(0), (us / F.lit(1_000_000)).cast("decimal(16,6)"))).alias("times"),
+        F.array(F.when(us == 0, F.lit(-0.0)).otherwise(us.cast("double") - us % 2)).alias("zeros"),
+        (small - F.lit("0.00000000000000000001").cast("decimal(21,20)")).cast("decimal(38,20)").alias("below"),
+    )
+    return present(to_statistics(profile_many([Slice(df, "events")], report_dttm=STAMP)))
+
+
 def nan_to_null_q(spark, sf_dir):
     """NaN and infinity become NULL."""
     return _customer_sqrt(spark, sf_dir).select("c_custkey", nan_to_null(F.col("acctbal_sqrt")).alias("acctbal_sqrt"))
@@ -171,7 +187,7 @@ def derived_limits(spark, sf_dir) -> DataFrame:
         F.explode(F.array(*[F.lit(n) for n in names])).alias("column_name"), "lo", "hi"
     )
     d = lambda x: F.lit(x).cast("decimal(19,2)")
-    metrics = ("rows_cnt", "completed_rows_cnt", "nulls_cnt", "distinct_values_cnt", "minimum_value", "maximum_value", "median_value", "average_value", "sum_of_values")
+    metrics = METRICS
     v1 = span.select(
         F.lit("lineitem").alias("table_name"), "column_name",
         *[d(5).alias(f"{m}_limit") for m in metrics],
@@ -387,6 +403,8 @@ REGISTRY = {
     "profile_tables": profile_tables,
     "profile_orders_month_dups": profile_orders_month_dups,
     "profile_nan": profile_nan,
+    "profile_large_values": profile_large_values,
+    "profile_nested": profile_nested,
     "nan_to_null": nan_to_null_q,
     "source_duplicates": source_duplicates_all,
     "table_structure": table_structure,

@@ -10,6 +10,10 @@ from pyspark.sql import types as T
 from .config import METRICS
 
 D192 = T.DecimalType(19, 2)
+# Values and deltas: a sum of keys grows with the square of the rows, past the 17 digits of decimal(19,2).
+D382 = T.DecimalType(38, 2)
+
+# The tables' and columns' names below must equal the original's.
 
 STATISTICS = T.StructType(
     [
@@ -25,11 +29,11 @@ STATISTICS = T.StructType(
         T.StructField("completed_rows_cnt", T.LongType()),
         T.StructField("nulls_cnt", T.LongType()),
         T.StructField("distinct_values_cnt", T.LongType()),
-        T.StructField("minimum_value", D192),
-        T.StructField("maximum_value", D192),
-        T.StructField("median_value", D192),
-        T.StructField("average_value", D192),
-        T.StructField("sum_of_values", D192),
+        T.StructField("minimum_value", D382),
+        T.StructField("maximum_value", D382),
+        T.StructField("median_value", D382),
+        T.StructField("average_value", D382),
+        T.StructField("sum_of_values", D382),
         T.StructField("dublicates_cnt", T.LongType()),
         T.StructField("report_dttm", T.TimestampType()),
     ]
@@ -54,9 +58,9 @@ LIMITS = T.StructType(
 def _metric_fields():
     out = []
     for m in METRICS:
-        kind = T.LongType() if m.endswith("_cnt") else D192
+        kind = T.LongType() if m.endswith("_cnt") else D382
         out.append(T.StructField(m, kind))
-        out.append(T.StructField(f"delta_{m}", D192))
+        out.append(T.StructField(f"delta_{m}", D382))
     return out
 
 

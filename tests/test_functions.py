@@ -114,3 +114,16 @@ def test_week_period_of_rows(spark):
     df = spark.createDataFrame([(d,) for d in days], "d date")
     got = [r.e for r in df.select(row_period_end(F.col("d"), "week", anchor).alias("e")).collect()]
     assert got == [D(2024, 1, 7), D(2024, 1, 7), D(2024, 1, 14), D(2024, 1, 14), D(2023, 12, 31)]
+
+
+def test_storage_rounding_is_pythons(spark):
+    import random
+
+    from driftwatch.functions.deltas import python_round_2
+
+    rng = random.Random(3)
+    xs = [2.675, 0.125, 0.375, 1.115, 1.005, -2.675, 0.0, -0.005, 1e-9, 6e16, 1e300, 2.0**45 - 0.25]
+    xs += [rng.randrange(-10**7, 10**7) / 1000 for _ in range(3000)] + [rng.uniform(-1, 1) * 10 ** rng.randrange(13) for _ in range(3000)]
+    rows = spark.createDataFrame([(x,) for x in xs], "x double").select("x", python_round_2(F.col("x")).alias("r")).collect()
+    bad = [(r.x, r.r, round(r.x, 2)) for r in rows if r.r != round(r.x, 2)]
+    assert not bad, bad[:5]
