@@ -80,6 +80,7 @@ STAMP_2 = "2024-03-02 12:00:00"
 STAMP_2_OPEN = "2024-03-02 12:00:01"
 STAMP_OPEN = "2024-03-01 12:00:01"
 RUN_DATE = "1998-07-01"
+RUN_DATE_BETWEEN = "2001-11-01"
 DATED = {"lineitem": "l_shipdate", "orders": "o_orderdate", "events": "ts"}
 WHOLE = ["customer", "supplier", "part", "nation", "region", "embeddings", "documents", "labels", "pages", "benchmark", "conversations"]
 ALL_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -296,21 +297,23 @@ def _first_last() -> str:
     )
 
 
-def _schedule_steps() -> str:
+STEP = (
+    "CAST(CASE INTERVAL_TYPE WHEN 'day' THEN check_dt + INTERVAL 1 DAY WHEN 'week' THEN check_dt + INTERVAL 7 DAY "
+    "ELSE check_dt + INTERVAL 1 MONTH END AS DATE)"
+)
+
+
+def _schedule_steps(run_dt: str = "CAST(last_day + 1 AS DATE)") -> str:
     setup = (
-        f"SELECT TABLE_NAME, TABLE_DATE_FIELD, 'day' AS INTERVAL_TYPE, CAST(first_day + 1 AS DATE) AS first_check, CAST(last_day + 1 AS DATE) AS run_dt FROM fl "
-        f"UNION ALL SELECT TABLE_NAME, TABLE_DATE_FIELD, 'week', CAST(first_day + 7 AS DATE), CAST(last_day + 1 AS DATE) FROM fl "
-        f"UNION ALL SELECT TABLE_NAME, TABLE_DATE_FIELD, 'month', last_day(first_day), CAST(last_day + 1 AS DATE) FROM fl"
-    )
-    step = (
-        "CAST(CASE INTERVAL_TYPE WHEN 'day' THEN check_dt + INTERVAL 1 DAY WHEN 'week' THEN check_dt + INTERVAL 7 DAY "
-        "ELSE check_dt + INTERVAL 1 MONTH END AS DATE)"
+        f"SELECT TABLE_NAME, TABLE_DATE_FIELD, 'day' AS INTERVAL_TYPE, CAST(first_day + 1 AS DATE) AS first_check, {run_dt} AS run_dt FROM fl "
+        f"UNION ALL SELECT TABLE_NAME, TABLE_DATE_FIELD, 'week', CAST(first_day + 7 AS DATE), {run_dt} FROM fl "
+        f"UNION ALL SELECT TABLE_NAME, TABLE_DATE_FIELD, 'month', last_day(first_day), {run_dt} FROM fl"
     )
     return (
         f"WITH RECURSIVE fl AS ({_first_last()}), setup AS ({setup}), "
         "steps(TABLE_NAME, TABLE_DATE_FIELD, INTERVAL_TYPE, check_no, check_dt, run_dt) AS ("
         "SELECT TABLE_NAME, TABLE_DATE_FIELD, INTERVAL_TYPE, 0, first_check, run_dt FROM setup UNION ALL "
-        f"SELECT TABLE_NAME, TABLE_DATE_FIELD, INTERVAL_TYPE, check_no + 1, {step}, run_dt FROM steps WHERE check_dt <= run_dt) "
+        f"SELECT TABLE_NAME, TABLE_DATE_FIELD, INTERVAL_TYPE, check_no + 1, {STEP}, run_dt FROM steps WHERE check_dt <= run_dt) "
     )
 
 
@@ -426,7 +429,7 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["due_checks_latest"] = _schedule_steps() + (
         f", lg AS ({log}) SELECT TABLE_NAME, TABLE_DATE_FIELD, NEXT_CHECK_DT, INTERVAL_TYPE FROM (SELECT *, row_number() OVER "
-        f"(PARTITION BY TABLE_NAME, INTERVAL_TYPE ORDER BY NEXT_CHECK_DT DESC) AS rn FROM lg) x WHERE rn = 1 AND NEXT_CHECK_DT <= DATE '{RUN_DATE}'"
+        f"(PARTITION BY TABLE_NAME, INTERVAL_TYPE ORDER BY NEXT_CHECK_DT DESC) AS rn FROM lg) x WHERE rn = 1 AND NEXT_CHECK_DT <= DATE '{RUN_DATE_BETWEEN}'"
     )
     sql["due_checks_all"] = _schedule_steps() + (
         f", lg AS ({log}) SELECT TABLE_NAME, TABLE_DATE_FIELD, NEXT_CHECK_DT, INTERVAL_TYPE FROM (SELECT *, row_number() OVER "
@@ -439,6 +442,33 @@ def oracle_sql() -> dict[str, str]:
         "SELECT 'reference' AS mode, count(*) AS checked_tables FROM r UNION ALL "
         f"SELECT 'latest' AS mode, count(*) AS checked_tables FROM l WHERE m <= DATE '{RUN_DATE}'"
     )
+    sql["advanced_states"] = _schedule_steps(f"DATE '{RUN_DATE}'") + (
+        ", n AS (SELECT *, " + STEP + " AS next_dt FROM steps WHERE check_dt <= run_dt) "
+        "SELECT TABLE_NAME, TABLE_DATE_FIELD, max(next_dt) AS NEXT_CHECK_DT, INTERVAL_TYPE FROM n GROUP BY ALL"
+    )
+    sql["catch_up_profile"] = f"SELECT * FROM ({_stored(week_events)}) s WHERE end_of_calculation_period BETWEEN DATE '2024-01-07' AND DATE '2024-01-21'"
+    sql["profile_one_month"] = f"SELECT * FROM ({_stored(month)}) s WHERE end_of_calculation_period = DATE '1996-02-29'"
+    day_events = _profile_sql("events", "ts", "day", rule="source")
+    sql["profile_one_day"] = f"SELECT * FROM ({_stored(day_events)}) s WHERE end_of_calculation_period = DATE '2024-01-10'"
+    twice = "(SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderkey % 50 = 0)"
+    sql["deviations_orders_dups"] = _deviations_sql(_profile_sql("orders", "o_orderdate", "month", dups=True, source=twice))
+    sql["infinity_to_null"] = "SELECT c_custkey, CASE WHEN c_custkey % 7 > 1 THEN c_acctbal END AS value FROM customer"
+    sql["parse_dates"] = (
+        "SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) "
+        "WHEN 1 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + INTERVAL '10 hours 20 minutes 30 seconds' END AS parsed FROM orders"
+    )
+    lims = " UNION ALL ".join(
+        f"SELECT 'events' AS table_name, '{c}' AS column_name, "
+        + ", ".join(f"CAST({'NULL' if m == 'sum_of_values' else 33.5} AS DECIMAL(19,2)) AS {m}_limit" for m in METRICS)
+        + ", TIMESTAMP '2024-01-01' AS period_from_dttm"
+        for c in ("event_id", "user_id", "value")
+    )
+    sql["limits_open"] = _deviations_sql(day_events, lims, v1=True)
+    # update dates from the first day to the last day that have rows; the check date of each lies 3 days later
+    checked = (
+        "(SELECT * FROM events WHERE CAST(ts AS DATE) IN (SELECT CAST(ts AS DATE) + 3 FROM events WHERE CAST(ts AS DATE) <= (SELECT max(CAST(ts AS DATE)) FROM events)))"
+    )
+    sql["run_v1_days"] = _deviations_sql(_profile_sql("events", "ts", "day", rule="source", source=checked), v1=True)
     sql["day_view"] = "SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS report_date, * FROM events"
     sql["table_freshness"] = " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, max({f}) AS last_value, max(CAST({f} AS DATE)) AS last_day FROM {t}" for t, f in DATED.items()

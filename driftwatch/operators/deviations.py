@@ -10,7 +10,7 @@ from ..config import DEFAULT_LIMIT_PCT, METRICS, STORE_DECIMAL, TEMPLATES_RU, TE
 from ..functions.deltas import exceeds, pct_delta, python_number_text, python_round_2
 from ..schemas import METRICS_TABLE
 from .history import join_previous
-from .limits import apply_limits
+from .limits import apply_limits, limits_open
 from .versions import open_versions
 
 
@@ -86,7 +86,7 @@ def deviations(
     ``dq_deviations_setup`` (may be None).  A lazy plan over ``current``; no collect.
     """
     out = _deviation_frame(current, history, limits, templates, default_limit, null_prev_zero_cur)
-    return out.select(*_metrics_columns(out, report_dttm or dt.datetime.now().replace(microsecond=0)))
+    return out.select(*_metrics_columns(out, report_dttm or dt.datetime.now()))
 
 
 def deviations_v1(
@@ -101,7 +101,9 @@ def deviations_v1(
 ) -> DataFrame:
     """The v1 result rows: M2 null rule, v1 wording, ``comparison_dt`` (N6) and
     an open version (V2: valid from ``report_dttm`` + 1 s to 2100-01-01)."""
-    stamp = report_dttm or dt.datetime.now().replace(microsecond=0)
+    stamp = report_dttm or dt.datetime.now()
+    if limits is not None and "period_to_dt" in limits.columns:  # versions; the open one counts
+        limits = limits_open(limits).withColumn("period_from_dttm", F.lit(None).cast("timestamp"))
     out = _deviation_frame(current, history, limits, templates, default_limit, 100.0)
     cols = _metrics_columns(out, stamp) + [
         F.coalesce(F.col("prev_end"), F.lit(comparison_default).cast("date")).alias("comparison_dt"),

@@ -7,9 +7,9 @@ works on it as a DataFrame; the run loop only collects the due rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ..functions.periods import max_steps, nth_check, period_end, period_start, slice_day, v1_step
+from ..functions.periods import check_to_end, max_steps, nth_check, parse_schedule_date, period_end, period_start, slice_day, v1_step
 
 
 def _lit_date(d) -> Column:
@@ -61,18 +61,27 @@ def catch_up(due: DataFrame, current_date) -> DataFrame:
     steps = steps.withColumn("check_dt", _check_column(it, first, F.col("check_no")))
     steps = steps.withColumn("next_check_dt", _check_column(it, first, F.col("check_no") + 1))
     steps = steps.where(F.col("check_dt") <= cur)
-    end = F.date_sub(F.col("check_dt"), 1)
-    return steps.select(
+    return with_bounds(steps)
+
+
+def with_bounds(checks: DataFrame) -> DataFrame:
+    """D1 + D2: checks (check_dt, INTERVAL_TYPE) with the bounds of the period that each covers."""
+    it = F.col("INTERVAL_TYPE")
+    end = check_to_end(F.col("check_dt"))
+    by_interval = lambda f: F.when(it == "month", f(end, "month")).when(it == "week", f(end, "week")).otherwise(f(end, "day"))
+    return checks.select(
         "*",
         end.alias("history_end"),
-        F.when(it == "month", period_start(end, "month"))
-        .when(it == "week", period_start(end, "week"))
-        .otherwise(end)
-        .alias("start_of_calculation_period"),
-        F.when(it == "month", period_end(end, "month")).otherwise(end).alias("end_of_calculation_period"),
+        by_interval(period_start).alias("start_of_calculation_period"),
+        by_interval(period_end).alias("end_of_calculation_period"),
     )
 
 
+def count_due(setup: DataFrame, current_date, mode: str = "latest") -> DataFrame:
+    """How many (table, interval) pairs are due."""
+    return due_checks(setup, current_date, mode).agg(F.count(F.lit(1)).alias("checked_tables"))
+
+
 def advanced_states(due: DataFrame, current_date) -> DataFrame:
     """The state row appended after catching up: first check date > current_date."""
     steps = catch_up(due, current_date)
@@ -87,24 +96,33 @@ def table_freshness(df: DataFrame, date_field: str) -> DataFrame:
     return df.agg(F.max(F.col(date_field)).alias("last_value"), F.max(day).alias("last_day"))
 
 
+def v1_dates(setup_v1: DataFrame) -> DataFrame:
+    """The schedule's dates as dates, also where they were written as text."""
+    out = setup_v1
+    for c in ("UPDATE_TABLE_DT", "NEXT_CHECK_DT"):
+        if isinstance(setup_v1.schema[c].dataType, T.StringType):
+            out = out.withColumn(c, parse_schedule_date(F.col(c)).cast("date"))
+        else:
+            out = out.withColumn(c, F.col(c).cast("date"))
+    return out
+
+
 def fresh_tables(setup_v1: DataFrame, freshness: DataFrame) -> DataFrame:
     """schedule rows whose recorded update date <= the table's latest day.
 
     ``freshness``: (TABLE_NM, last_day) for every table, e.g. from ``table_freshness``.
     """
-    return setup_v1.join(freshness, "TABLE_NM").where(F.col("UPDATE_TABLE_DT") <= F.col("last_day"))
+    return v1_dates(setup_v1).join(freshness, "TABLE_NM").where(F.col("UPDATE_TABLE_DT") <= F.col("last_day"))
 
 
 def slice_exists(days: DataFrame, df: DataFrame, date_field: str, day_col: str = "day") -> DataFrame:
     """flag each candidate day with whether the table has rows on it.
 
-    A semi-join against the distinct days of the table, instead of one
-    ``LIMIT 3`` probe query per day.
+    One left join against the distinct days of the table, which reads its
+    date column once, instead of one ``LIMIT 3`` probe query per day.
     """
-    present = df.select(slice_day(F.col(date_field), df.schema[date_field].dataType).alias("__d")).distinct()
-    hit = days.join(present, days[day_col] == present["__d"], "left_semi").withColumn("has_rows", F.lit(True))
-    miss = days.join(present, days[day_col] == present["__d"], "left_anti").withColumn("has_rows", F.lit(False))
-    return hit.unionByName(miss)
+    present = df.select(slice_day(F.col(date_field), df.schema[date_field].dataType).alias("__d")).where("__d is not null").distinct()
+    return days.join(present, days[day_col] == present["__d"], "left").withColumn("has_rows", F.col("__d").isNotNull()).drop("__d")
 
 
 def v1_steps(setup_v1: DataFrame, last_day: str = "last_day") -> DataFrame:
@@ -117,7 +135,8 @@ def v1_steps(setup_v1: DataFrame, last_day: str = "last_day") -> DataFrame:
     """
     last = F.col(last_day)
     code = F.col("INTERVAL_TERM")
-    start_u, start_c = F.col("UPDATE_TABLE_DT").cast("date"), F.col("NEXT_CHECK_DT").cast("date")
+    setup_v1 = v1_dates(setup_v1)
+    start_u, start_c = F.col("UPDATE_TABLE_DT"), F.col("NEXT_CHECK_DT")
     bound = F.greatest(F.datediff(last, start_u), F.lit(0)) + 1
 
     def walk(start: Column) -> Column:

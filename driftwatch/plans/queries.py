@@ -12,21 +12,35 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..config import METRICS, OPEN_END
 from ..functions.deltas import nan_to_null
-from ..functions.periods import slice_day
+from ..functions.periods import parse_schedule_date, slice_day
 from ..operators.deviations import deviations, deviations_v1
 from ..operators.history import join_previous, previous_snapshot
-from ..operators.profile import Slice, profile_many, profile_periods, source_duplicates, to_statistics
-from ..operators.schedule import catch_up, due_checks, fresh_tables, slice_exists, table_freshness, v1_state_log, v1_steps
+from ..operators.profile import Slice, profile_many, profile_period, profile_periods, sorted_profile, source_duplicates, to_statistics
+from ..operators.schedule import (
+    advanced_states,
+    catch_up,
+    count_due,
+    due_checks,
+    fresh_tables,
+    slice_exists,
+    table_freshness,
+    v1_state_log,
+    v1_steps,
+    with_bounds,
+)
 from ..operators.structure import structure_frame
 from ..operators.versions import merge_versions, relabel_table
 from ..schemas import LIMITS, SETUP
 from ..sources.tables import day_view
+from .run import run_v1
 
 # Fixed run stamps of the registered queries (K2: a parameter, never now()).
 STAMP = dt.datetime(2024, 3, 1, 12, 0, 0)
 STAMP_2 = dt.datetime(2024, 3, 2, 12, 0, 0)
 RUN_DATE = dt.date(1998, 7, 1)
 RUN_DATE_MID_END = dt.date(1998, 7, 14)
+RUN_DATE_BETWEEN = dt.date(2001, 11, 1)  # after the last check of some pairs, before that of others
+CATCH_UP = (dt.date(2024, 1, 7), dt.date(2024, 1, 21))
 RUN_DATE_LATE = dt.date(2030, 1, 1)
 
 DATED = {"lineitem": "l_shipdate", "orders": "o_orderdate", "events": "ts"}
@@ -222,11 +236,12 @@ def deviations_day_v1(spark, sf_dir):
 
 def scd2_versions(spark, sf_dir):
     """V1 + V2: two runs of the monthly deviations as versions of one result table."""
-    first = deviations(_lineitem_months(spark, sf_dir), None, None, report_dttm=STAMP)
+    months = _lineitem_months(spark, sf_dir)
+    first = deviations(months, None, None, report_dttm=STAMP)
     stored = first.withColumn("period_from_dt", F.lit(STAMP).cast("timestamp")).withColumn(
         "period_to_dt", F.lit(OPEN_END).cast("timestamp")
     )
-    again = deviations(_lineitem_months(spark, sf_dir), None, None, report_dttm=STAMP_2)
+    again = deviations(months, None, None, report_dttm=STAMP_2)
     merged = merge_versions(stored, again, STAMP_2)
     return present(merged.select(
         "table_name", "column_name", "end_of_calculation_period", "rows_cnt", "delta_rows_cnt",
@@ -244,14 +259,8 @@ def period_bounds(spark, sf_dir):
     """D1 + D2: for a check the day after every ship day: bounds per interval."""
     li = read(spark, sf_dir, "lineitem")
     checks = li.select(F.date_add(F.to_date("l_shipdate"), 1).alias("check_dt")).distinct()
-    rows = checks.select("check_dt", F.explode(F.array(F.lit("day"), F.lit("week"), F.lit("month"))).alias("interval_type"))
-    end = F.date_sub("check_dt", 1)
-    return rows.select(
-        "check_dt", "interval_type", end.alias("history_end"),
-        F.when(F.col("interval_type") == "day", end).when(F.col("interval_type") == "week", F.date_sub(end, 6))
-        .otherwise(F.trunc(end, "MM")).alias("start_of_calculation_period"),
-        F.when(F.col("interval_type") == "month", F.last_day(end)).otherwise(end).alias("end_of_calculation_period"),
-    )
+    rows = checks.select("check_dt", F.explode(F.array(F.lit("day"), F.lit("week"), F.lit("month"))).alias("INTERVAL_TYPE"))
+    return with_bounds(rows).withColumnRenamed("INTERVAL_TYPE", "interval_type")
 
 
 def derived_setup(spark, sf_dir) -> DataFrame:
@@ -304,8 +313,82 @@ def due_checks_reference(spark, sf_dir):
 
 
 def due_checks_latest(spark, sf_dir):
-    """W3 + F3, latest state first (the default)."""
-    return due_checks(_state_log(spark, sf_dir), RUN_DATE, mode="latest")
+    """W3 + F3, latest state first (the default): some pairs are due, others not yet."""
+    return due_checks(_state_log(spark, sf_dir), RUN_DATE_BETWEEN, mode="latest")
+
+
+def advanced_states_q(spark, sf_dir):
+    """The state row that each pair gets after catching up to the run date."""
+    return advanced_states(due_checks(derived_setup(spark, sf_dir), RUN_DATE, mode="latest"), RUN_DATE)
+
+
+def catch_up_profile(spark, sf_dir):
+    """V4: every period that a weekly schedule of events missed, profiled in one job between literal bounds (F1)."""
+    p = profile_periods(read(spark, sf_dir, "events"), "events", "ts", "week", CATCH_UP[0], CATCH_UP[1], anchor_end=CATCH_UP[0], report_dttm=STAMP)
+    return present(to_statistics(p))
+
+
+def profile_one_month(spark, sf_dir):
+    """One month of lineitem (a check on the 15th covers the whole month)."""
+    p = profile_period(read(spark, sf_dir, "lineitem"), "lineitem", "l_shipdate", "month", dt.date(1996, 2, 14), report_dttm=STAMP)
+    return present(to_statistics(p))
+
+
+def profile_one_day(spark, sf_dir):
+    """One day of events, v1 column ids; in order of presentation (O2)."""
+    p = profile_period(read(spark, sf_dir, "events"), "events", "ts", "day", dt.date(2024, 1, 10), column_id="source", report_dttm=STAMP)
+    return present(to_statistics(sorted_profile(p)))
+
+
+def deviations_orders_dups(spark, sf_dir):
+    """Monthly deviations of orders where every 50th order stands twice."""
+    orders = read(spark, sf_dir, "orders")
+    twice = orders.unionByName(orders.where(F.col("o_orderkey") % 50 == 0))
+    p = profile_periods(twice, "orders", "o_orderdate", "month", duplicates="source", report_dttm=STAMP)
+    return present(deviations(p, None, None, report_dttm=STAMP))
+
+
+def infinity_to_null(spark, sf_dir):
+    """Infinite values become NULL."""
+    value = F.when(F.col("c_custkey") % 7 == 0, F.lit(float("inf"))).when(F.col("c_custkey") % 7 == 1, F.lit(float("-inf"))).otherwise(F.col("c_acctbal"))
+    return read(spark, sf_dir, "customer").select("c_custkey", nan_to_null(value).alias("value"))
+
+
+def parse_dates(spark, sf_dir):
+    """Schedule dates written with or without a time part, and some that are no dates."""
+    key = F.col("o_orderkey") % 3
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    text = F.when(key == 0, day).when(key == 1, F.concat(day, F.lit(" 10:20:30"))).otherwise(F.concat(F.lit("n/a "), day))
+    return read(spark, sf_dir, "orders").select("o_orderkey", parse_schedule_date(text).cast("timestamp_ntz").alias("parsed"))
+
+
+def derived_limits_v1(spark, sf_dir) -> DataFrame:
+    """Versions of limits for the columns of events: a closed version and an open one, which leaves a cell NULL."""
+    span = read(spark, sf_dir, "events").agg(F.max("ts").cast("timestamp").alias("hi")).select(F.explode(F.array(*[F.lit(c) for c in ("event_id", "user_id", "value")])).alias("column_name"), "hi")
+    d = lambda x: F.lit(x).cast("decimal(19,2)")
+    closed = span.select(F.lit("events").alias("table_name"), "column_name", *[d(1).alias(f"{m}_limit") for m in METRICS], F.col("hi").alias("period_to_dt"))
+    opened = span.select(
+        F.lit("events").alias("table_name"), "column_name",
+        *[d(None if m == "sum_of_values" else 33.5).alias(f"{m}_limit") for m in METRICS], F.lit(OPEN_END).cast("timestamp").alias("period_to_dt"),
+    )
+    return closed.unionByName(opened)
+
+
+def limits_open_q(spark, sf_dir):
+    """daily v1 deviations of events against the open version of versioned limits."""
+    p = profile_periods(read(spark, sf_dir, "events"), "events", "ts", "day", column_id="source", report_dttm=STAMP)
+    return present(deviations_v1(p, None, derived_limits_v1(spark, sf_dir), report_dttm=STAMP))
+
+
+def run_v1_days(spark, sf_dir):
+    """V6: the v1 run on events: update dates are probed, the check dates (3 days later here, and as text) are profiled."""
+    ev = read(spark, sf_dir, "events")
+    first = ev.agg(F.min(F.to_date("ts")).alias("d"))
+    setup = first.select(
+        F.lit("events").alias("TABLE_NM"), F.lit("ts").alias("TABLE_REPORT_DT_NM"), F.date_format(F.date_add("d", 3), "yyyy-MM-dd").alias("NEXT_CHECK_DT"),
+        F.lit(1).alias("INTERVAL_TERM"), F.date_format("d", "yyyy-MM-dd HH:mm:ss").alias("UPDATE_TABLE_DT"),
+    )
+    return present(run_v1(spark, setup, source=lambda name: read(spark, sf_dir, name), now=STAMP).results)
 
 
 def due_checks_all(spark, sf_dir):
@@ -316,8 +399,8 @@ def due_checks_all(spark, sf_dir):
 def checked_tables_q(spark, sf_dir):
     """How many (table, interval) pairs each mode finds due on the run date."""
     log = _state_log(spark, sf_dir)
-    ref = due_checks(log, RUN_DATE, mode="reference").agg(F.count(F.lit(1)).alias("checked_tables")).withColumn("mode", F.lit("reference"))
-    lat = due_checks(log, RUN_DATE, mode="latest").agg(F.count(F.lit(1)).alias("checked_tables")).withColumn("mode", F.lit("latest"))
+    ref = count_due(log, RUN_DATE, mode="reference").withColumn("mode", F.lit("reference"))
+    lat = count_due(log, RUN_DATE, mode="latest").withColumn("mode", F.lit("latest"))
     return ref.unionByName(lat).select("mode", "checked_tables")
 
 
@@ -339,12 +422,10 @@ def _fresh_inputs(spark, sf_dir):
     fr = None
     for t, f in DATED.items():
         df = read(spark, sf_dir, t)
-        r = table_freshness(df, f).select(
-            F.lit(t).alias("TABLE_NM"), "last_day",
-            F.lit(f).alias("TABLE_REPORT_DT_NM"),
+        day = slice_day(F.col(f), df.schema[f].dataType)
+        r = df.agg(F.min(day).alias("first_day"), F.max(day).alias("last_day")).select(
+            F.lit(t).alias("TABLE_NM"), F.lit(f).alias("TABLE_REPORT_DT_NM"), "first_day", "last_day"
         )
-        first = df.agg(F.min(slice_day(F.col(f), df.schema[f].dataType)).alias("first_day")).withColumn("TABLE_NM", F.lit(t))
-        r = r.join(first, "TABLE_NM")
         fr = r if fr is None else fr.unionByName(r)
     return fr
 
@@ -421,6 +502,15 @@ REGISTRY = {
     "due_checks": due_checks_reference,
     "due_checks_latest": due_checks_latest,
     "due_checks_all": due_checks_all,
+    "advanced_states": advanced_states_q,
+    "catch_up_profile": catch_up_profile,
+    "profile_one_month": profile_one_month,
+    "profile_one_day": profile_one_day,
+    "deviations_orders_dups": deviations_orders_dups,
+    "infinity_to_null": infinity_to_null,
+    "parse_dates": parse_dates,
+    "limits_open": limits_open_q,
+    "run_v1_days": run_v1_days,
     "checked_tables": checked_tables_q,
     "day_view": day_view_events,
     "table_freshness": freshness,

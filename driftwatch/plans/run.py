@@ -13,15 +13,16 @@ import datetime as dt
 from dataclasses import dataclass
 from typing import Callable
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import DEFAULT_LIMIT_PCT, TEMPLATES_RU
 from ..operators.deviations import deviations
 from ..operators.profile import Slice, profile_many, profile_period, to_statistics
-from ..operators.schedule import advanced_states, catch_up, due_checks
+from ..operators.schedule import advanced_states, catch_up, count_due, due_checks
 from ..schemas import LIMITS, METRICS_TABLE, SETUP, STATISTICS
-from ..sources.sinks import align
+from ..sources.scratch import Scratch
+from ..sources.sinks import align, append, append_path
 
 
 @dataclass
@@ -48,12 +49,19 @@ class Store:
 
     def append(self, df: DataFrame, which: str) -> None:
         name = getattr(self, which)
-        schema = {"setup": SETUP, "statistics": STATISTICS, "limits": LIMITS, "metrics": METRICS_TABLE}[which]
-        out = align(df, schema)
         if self.by_path:
-            out.write.mode("append").parquet(name)
+            schema = {"setup": SETUP, "statistics": STATISTICS, "limits": LIMITS, "metrics": METRICS_TABLE}[which]
+            append_path(df, name, schema, "table_name" if which == "statistics" else None)
         else:
-            out.write.mode("append").insertInto(name)
+            append(df, name)
+
+
+class ChecksFailed(RuntimeError):
+    """Some tables could not be checked; all others were stored and advanced.  ``errors``: table name -> exception."""
+
+    def __init__(self, errors: dict[str, Exception]):
+        super().__init__("; ".join(f"{t}: {type(e).__name__}: {str(e)[:300]}" for t, e in sorted(errors.items())))
+        self.errors = errors
 
 
 def run_checks(
@@ -71,63 +79,72 @@ def run_checks(
 ) -> int:
     """V5: run all due checks as of ``current_date``; returns the number of (table, interval) pairs run.
 
-    ``source(name)`` gives a table's DataFrame (default ``spark.table``).
+    ``source(name)`` gives a table's DataFrame (default ``spark.table``).  A
+    table that fails leaves the others' results: they are stored and their
+    schedules advanced, then ``ChecksFailed`` names the failed ones.
     """
     store = store or Store()
     source = source or spark.table
-    stamp = report_dttm or dt.datetime.now().replace(microsecond=0)
+    stamp = report_dttm or dt.datetime.now()
     due = due_checks(store.read(spark, "setup"), current_date, mode)
-    checks = catch_up(due, current_date).orderBy("TABLE_NAME", "INTERVAL_TYPE", "check_no").collect()
-    due_rows = due.collect()
-    if not due_rows:
+    checks = catch_up(due, current_date)
+    # one row per due pair: its first and last missed period
+    pair = ["TABLE_NAME", "TABLE_DATE_FIELD", "INTERVAL_TYPE"]
+    spans = checks.groupBy(*pair).agg(
+        F.min("end_of_calculation_period").alias("first_end"), F.max("end_of_calculation_period").alias("last_end"), F.min("history_end").alias("anchor_end")
+    ).orderBy(*pair).collect()
+    if not spans:
         return 0
+    errors: dict[str, Exception] = {}
+
+    def store_run(current: DataFrame, at: dt.datetime) -> None:
+        names = [r.table_name for r in current.select("table_name").distinct().collect()]
+        history = store.read(spark, "statistics").where(F.col("table_name").isin(names))
+        dev = deviations(current, history, store.read(spark, "limits"), report_dttm=at, templates=templates, default_limit=default_limit)
+        # Deviations read the stored history, so they are written first.
+        store.append(dev, "metrics")
+        store.append(to_statistics(current), "statistics")
+
+    def batch_of(rows: list) -> None:
+        slices = [Slice(source(r.TABLE_NAME), r.TABLE_NAME, r.TABLE_DATE_FIELD, r.INTERVAL_TYPE, r.first_end, r.last_end, r.anchor_end) for r in rows]
+        store_run(profile_many(slices, duplicates=duplicates, report_dttm=stamp), stamp)
+
+    def loop_of(rows: list) -> None:
+        own = checks.where(F.col("TABLE_NAME").isin([r.TABLE_NAME for r in rows])).orderBy("TABLE_NAME", "INTERVAL_TYPE", "check_no")
+        for n, c in enumerate(own.toLocalIterator()):
+            # Distinct stamps, a microsecond apart, keep the loop's snapshots ordered like real runs.
+            at = stamp + dt.timedelta(microseconds=n)
+            store_run(profile_period(source(c.TABLE_NAME), c.TABLE_NAME, c.TABLE_DATE_FIELD, c.INTERVAL_TYPE, c.history_end, duplicates=duplicates, report_dttm=at), at)
+
+    tables: dict[str, list] = {}
+    for r in spans:
+        tables.setdefault(r.TABLE_NAME, []).append(r)
+    done = False
     if batch:
-        slices = []
-        for row in due_rows:
-            mine = [c for c in checks if c.TABLE_NAME == row.TABLE_NAME and c.INTERVAL_TYPE == row.INTERVAL_TYPE]
-            if not mine:
-                continue
-            slices.append(
-                Slice(
-                    source(row.TABLE_NAME),
-                    row.TABLE_NAME,
-                    row.TABLE_DATE_FIELD,
-                    row.INTERVAL_TYPE,
-                    first_end=mine[0].end_of_calculation_period,
-                    last_end=mine[-1].end_of_calculation_period,
-                    anchor_end=mine[0].history_end,
-                )
-            )
-        if slices:
-            current = profile_many(slices, duplicates=duplicates, report_dttm=stamp)
-            history = store.read(spark, "statistics")
-            limits = store.read(spark, "limits")
-            dev = deviations(current, history, limits, report_dttm=stamp, templates=templates, default_limit=default_limit)
-            # Deviations read the stored history, so they are written first.
-            store.append(dev, "metrics")
-            store.append(to_statistics(current), "statistics")
-    else:
-        for n, c in enumerate(checks):
-            # Distinct stamps keep the loop's snapshots ordered like real runs.
-            st = stamp + dt.timedelta(seconds=n)
-            current = profile_period(
-                source(c.TABLE_NAME), c.TABLE_NAME, c.TABLE_DATE_FIELD, c.INTERVAL_TYPE, c.history_end,
-                duplicates=duplicates, report_dttm=st,
-            )
-            dev = deviations(
-                current, store.read(spark, "statistics"), store.read(spark, "limits"),
-                report_dttm=st, templates=templates, default_limit=default_limit,
-            )
-            store.append(dev, "metrics")
-            store.append(to_statistics(current), "statistics")
-    store.append(advanced_states(due, current_date), "setup")
-    return len(due_rows)
+        try:  # all tables in one job; nothing is stored before the profile is there
+            batch_of(spans)
+            done = True
+        except (PySparkException, ValueError) as e:
+            if len(tables) == 1:
+                errors[spans[0].TABLE_NAME] = e
+                done = True
+    if not done:  # table by table, so that one failure is one table's
+        for name, rows in tables.items():
+            try:
+                (batch_of if batch else loop_of)(rows)
+            except (PySparkException, ValueError) as e:
+                errors[name] = e
+    ok = [name for name in tables if name not in errors]
+    if ok:
+        store.append(advanced_states(due.where(F.col("TABLE_NAME").isin(ok)), current_date), "setup")
+    if errors:
+        raise ChecksFailed(errors)
+    return len(spans)
 
 
 def checked_tables(spark: SparkSession, current_date: dt.date, store: Store | None = None, mode: str = "latest") -> DataFrame:
-    """How many (table, interval) pairs are due."""
-    store = store or Store()
-    return due_checks(store.read(spark, "setup"), current_date, mode).agg(F.count(F.lit(1)).alias("checked_tables"))
+    """How many (table, interval) pairs are due in the stored schedule."""
+    return count_due((store or Store()).read(spark, "setup"), current_date, mode)
 
 
 # -- v1 -----------------------------------------------------------------------------
@@ -157,7 +174,10 @@ def run_v1(
     UPDATE_TABLE_DT.  Freshness gate (F5) -> visited dates (D4, D5) -> slice
     probe (F6) -> single-day profiles of the days with rows (A13, v1 column
     ids) -> v1 deviations (M2, N6) -> a new version of the result table
-    (V1 + V2).  The driver loops over schedule rows only.
+    (V1 + V2).  The probe looks at the update date, the profile covers the
+    check date of the same step, as in the original; dates may be text (D6).
+    Limits with versions (``period_to_dt``) count by their open version (F7).
+    The driver loops over tables only.  ``store_v1`` writes the outcome.
     """
     from ..operators.deviations import deviations_v1
     from ..operators.profile import Slice, profile_many, to_statistics
@@ -166,7 +186,7 @@ def run_v1(
     from ..functions.periods import slice_day
 
     source = source or spark.table
-    stamp = now or dt.datetime.now().replace(microsecond=0)
+    stamp = now or dt.datetime.now()
     tables = [(r.TABLE_NM, r.TABLE_REPORT_DT_NM) for r in setup_v1.select("TABLE_NM", "TABLE_REPORT_DT_NM").distinct().collect()]
     fresh_rows, logs, slices = None, None, []
     for name, field in tables:
@@ -177,7 +197,7 @@ def run_v1(
         flagged = slice_exists(v1_steps(mine, "last_day"), df, field, day_col="UPDATE_TABLE_DT")
         log = v1_state_log(flagged)
         logs = log if logs is None else logs.unionByName(log)
-        days = flagged.where("has_rows").select(F.col("UPDATE_TABLE_DT").alias("__day")).distinct()
+        days = flagged.where("has_rows").select(F.col("NEXT_CHECK_DT").alias("__day")).distinct()
         only_checked = df.join(days, slice_day(F.col(field), df.schema[field].dataType) == days["__day"], "left_semi")
         slices.append(Slice(only_checked, name, field, "day", column_id="source"))
     checked = fresh_rows.count() if fresh_rows is not None else 0
@@ -191,3 +211,16 @@ def run_v1(
     else:
         results = merge_versions(stored_results, rows.drop("period_from_dt", "period_to_dt"), stamp)
     return V1Result(checked, logs, to_statistics(current), results)
+
+
+def store_v1(result: V1Result, state: str, statistics: str, results: str) -> None:
+    """Write a v1 run to path-addressed tables: state log and statistics are appended, the versioned results replaced.
+
+    The next version is written aside first: it reads the table that it replaces.
+    """
+    spark = result.results.sparkSession
+    with Scratch(spark, "v1") as scratch:
+        version = scratch.pin(result.results, "results")
+        result.state_log.write.mode("append").parquet(state)
+        append_path(result.statistics, statistics, STATISTICS, "table_name")
+        version.write.mode("overwrite").parquet(results)

@@ -19,6 +19,10 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+# A check reads the stored history of its own tables only.
+PARTITIONED = {"dq_table_statistics": "table_name"}
+
+
 def create_tables(spark: SparkSession, database: str | None = None, location: str | None = None) -> list[str]:
     """``CREATE TABLE IF NOT EXISTS … USING parquet`` for the four tables."""
     names = []
@@ -26,7 +30,8 @@ def create_tables(spark: SparkSession, database: str | None = None, location: st
         full = f"{database}.{name}" if database else name
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         loc = f" LOCATION '{location.rstrip('/')}/{name}'" if location else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({cols}) USING parquet{loc}")
+        by = f" PARTITIONED BY ({PARTITIONED[name]})" if name in PARTITIONED else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({cols}) USING parquet{by}{loc}")
         names.append(full)
     return names
 
@@ -38,9 +43,10 @@ def append(df: DataFrame, table: str) -> None:
     align(df, target).write.mode("append").insertInto(table)
 
 
-def append_path(df: DataFrame, path: str, schema: T.StructType) -> None:
-    """S4 for path-addressed parquet tables (tests, object stores without a catalog)."""
-    align(df, schema).write.mode("append").parquet(path)
+def append_path(df: DataFrame, path: str, schema: T.StructType, partition: str | None = None) -> None:
+    """S4 for path-addressed parquet tables (object stores without a catalog)."""
+    out = align(df, schema).write.mode("append")
+    (out.partitionBy(partition) if partition else out).parquet(path)
 
 
 def nan_safe(df: DataFrame) -> DataFrame:

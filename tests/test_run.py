@@ -62,10 +62,61 @@ def test_run_v1(spark):
     log = sorted(res.state_log.collect(), key=lambda r: r.step)
     assert [r.UPDATE_TABLE_DT for r in log] == [D(2024, 1, d) for d in (26, 27, 28, 29, 30, 31)]
     days = sorted({r.end_of_calculation_period for r in res.statistics.collect()})
-    assert days == [D(2024, 1, d) for d in (25, 26, 27, 28, 29, 30)]
+    assert days == [D(2024, 1, d) for d in (26, 27, 28, 29, 30)]  # the check dates of the steps; 01-31 has no rows
     rows = res.results.collect()
-    assert {r.comparison_dt for r in rows if r.end_of_calculation_period == D(2024, 1, 25)} == {D(2000, 1, 1)}
-    assert {r.comparison_dt for r in rows if r.end_of_calculation_period == D(2024, 1, 26)} == {D(2024, 1, 25)}
+    assert {r.comparison_dt for r in rows if r.end_of_calculation_period == D(2024, 1, 26)} == {D(2000, 1, 1)}
+    assert {r.comparison_dt for r in rows if r.end_of_calculation_period == D(2024, 1, 27)} == {D(2024, 1, 26)}
     assert {r.period_to_dt for r in rows} == {dt.datetime(2100, 1, 1)}
     again = run_v1(spark, setup, source=_source(spark), now=now + dt.timedelta(hours=1), stored_results=res.results)
     assert again.results.where(F.col("period_to_dt") == now + dt.timedelta(hours=1)).count() == len(rows)
+
+
+def test_one_failing_table_leaves_the_others_stored_and_advanced(spark, workdir):
+    import pytest
+
+    from driftwatch.plans.run import ChecksFailed
+
+    store = _store(workdir)
+    spark.createDataFrame([("events", "ts", D(2024, 1, 15), "week"), ("missing", "ts", D(2024, 1, 15), "week")], SETUP).write.parquet(store.setup)
+    with pytest.raises(ChecksFailed) as failed:
+        run_checks(spark, D(2024, 1, 22), store=store, source=_source(spark))
+    assert list(failed.value.errors) == ["missing"]
+    assert {r.table_name for r in store.read(spark, "statistics").collect()} == {"events"}
+    assert store.read(spark, "metrics").count() == 2 * 5
+    states = {(r.TABLE_NAME, r.NEXT_CHECK_DT) for r in store.read(spark, "setup").collect()}
+    assert ("events", D(2024, 1, 29)) in states and [t for t, _ in states].count("missing") == 1
+
+
+def test_run_v1_profiles_the_check_date_and_stores(spark, workdir):
+    from driftwatch.plans.run import run_v1, store_v1
+
+    setup = spark.createDataFrame([("events", "ts", "2024-01-20", 1, "2024-01-10 00:00:00")], "TABLE_NM string, TABLE_REPORT_DT_NM string, NEXT_CHECK_DT string, INTERVAL_TERM int, UPDATE_TABLE_DT string")
+    at = [os.path.join(workdir, x) for x in ("state", "stats", "results")]
+    for hour in (8, 9):
+        stored = None if hour == 8 else spark.read.parquet(at[2])
+        res = run_v1(spark, setup, source=_source(spark), now=dt.datetime(2024, 2, 1, hour), stored_results=stored)
+        store_v1(res, *at)
+    days = {r.end_of_calculation_period for r in spark.read.parquet(at[1]).collect()}
+    assert min(days) == D(2024, 1, 20)  # the probe started on 01-10, the profiles on the check date
+    results = spark.read.parquet(at[2])
+    assert results.where("period_to_dt = '2100-01-01'").count() * 2 == results.count() > 0
+    assert spark.read.parquet(at[0]).count() == 2 * 21
+
+
+def test_slice_probe_reads_the_table_once(spark):
+    from driftwatch.operators.schedule import slice_exists
+
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    days = spark.range(5).select(F.date_add(F.lit(D(2024, 1, 28)), F.col("id").cast("int")).alias("day"))
+    out = slice_exists(days, ev, "ts")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "NestedLoop" not in plan
+    assert sorted((r.day.day, r.has_rows) for r in out.collect()) == [(1, False), (28, True), (29, True), (30, True), (31, False)]
+
+
+def test_schedule_queries_have_no_nested_loop_join(spark):
+    from driftwatch.plans import queries as Q
+
+    for name in ("fresh_tables", "schedule_advance_v1"):
+        plan = Q.REGISTRY[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
