@@ -1,42 +0,0 @@
-"""Column-expression building blocks (pure functions returning ``Column``)."""
-
-from .deltas import exceeds, nan_to_null, pct_delta, python_number_text, round_half_even_2
-from .periods import (
-    check_to_end,
-    max_steps,
-    normalise_interval,
-    nth_check,
-    parse_schedule_date,
-    period_end,
-    period_start,
-    python_bounds,
-    row_period_end,
-    slice_day,
-    v1_step,
-)
-from .types import base_type, column_class, data_type_label, median_value, numeric_value, text_value
-
-__all__ = [
-    "base_type",
-    "check_to_end",
-    "column_class",
-    "data_type_label",
-    "exceeds",
-    "max_steps",
-    "median_value",
-    "nan_to_null",
-    "normalise_interval",
-    "nth_check",
-    "numeric_value",
-    "parse_schedule_date",
-    "pct_delta",
-    "period_end",
-    "period_start",
-    "python_bounds",
-    "python_number_text",
-    "round_half_even_2",
-    "row_period_end",
-    "slice_day",
-    "text_value",
-    "v1_step",
-]

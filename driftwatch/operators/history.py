@@ -47,23 +47,25 @@ def snapshot_links(current: DataFrame, history: DataFrame) -> DataFrame:
     as history, exactly as a loop that stores each period before the next.
     """
     cur_keys = current.select(*SNAPSHOT).distinct()
-    hist_keys = history.select(*SNAPSHOT).join(
-        cur_keys.select("table_name", "interval_type").distinct(), ["table_name", "interval_type"], "left_semi"
+    tables = cur_keys.select(F.col("table_name").alias("__t"), F.col("interval_type").alias("__i")).distinct()
+    same = (F.col("table_name") == F.col("__t")) & F.col("interval_type").eqNullSafe(F.col("__i"))
+    keys = cur_keys.unionByName(history.select(*SNAPSHOT).join(tables, same, "left_semi"))
+    # A whole-table profile has no period: its snapshots follow one another by their run stamps.
+    dated = F.col("end_of_calculation_period").isNotNull()
+    latest = keys.groupBy("table_name", "interval_type", "end_of_calculation_period", F.when(~dated, F.col("report_dttm")).alias("__run")).agg(
+        F.max("report_dttm").alias("__stamp")
     )
-    latest = (
-        cur_keys.unionByName(hist_keys)
-        .groupBy("table_name", "interval_type", "end_of_calculation_period")
-        .agg(F.max("report_dttm").alias("__stamp"))
-    )
-    w = Window.partitionBy("table_name", "interval_type").orderBy("end_of_calculation_period")
+    w = Window.partitionBy("table_name", "interval_type", F.col("end_of_calculation_period").isNull()).orderBy("end_of_calculation_period", "__run")
     links = latest.select(
-        "table_name",
-        "interval_type",
-        "end_of_calculation_period",
+        *[F.col(c).alias(f"__{c}") for c in SNAPSHOT[:3]],
+        "__run",
         F.lag("end_of_calculation_period").over(w).alias("prev_end"),
         F.lag("__stamp").over(w).alias("prev_dttm"),
     )
-    return cur_keys.join(links, ["table_name", "interval_type", "end_of_calculation_period"], "left")
+    cond = F.when(~dated, F.col("report_dttm")).eqNullSafe(F.col("__run"))
+    for c in SNAPSHOT[:3]:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return cur_keys.join(links, cond, "left").select(*SNAPSHOT, "prev_end", "prev_dttm")
 
 
 def _null_safe(keys: list[str], left: DataFrame, right: DataFrame) -> Column:
@@ -87,7 +89,11 @@ def join_previous(current: DataFrame, history: DataFrame | None = None) -> DataF
     # Earlier periods of this batch count as stored history, rounded as stored.
     pool = stored.unionByName(to_statistics(current))
     links = snapshot_links(current, pool)
-    cur = current.join(links, SNAPSHOT, "left")
+    links = links.select(*[F.col(c).alias(f"__{c}") for c in SNAPSHOT], "prev_end", "prev_dttm")
+    cond = F.lit(True)
+    for c in SNAPSHOT:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    cur = current.join(links, cond, "left").drop(*[f"__{c}" for c in SNAPSHOT])
     prev = pool.select(
         *JOIN_KEYS,
         "interval_type",

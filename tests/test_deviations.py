@@ -181,3 +181,20 @@ def test_gap_and_new_column(spark):
     assert d["value"].delta_rows_cnt is None
     # event_id keeps its v2 id (0) and still finds its previous value
     assert d["event_id"].delta_rows_cnt is not None
+
+
+def test_whole_table_profile_is_compared_with_its_last_run(spark):
+    import datetime as dt
+
+    from driftwatch.operators.deviations import deviations
+    from driftwatch.operators.profile import profile_table, to_statistics
+
+    df = spark.createDataFrame([(1.0,), (2.0,)], "v double")
+    stamps = [dt.datetime(2024, 1, d) for d in (1, 2, 3)]
+    history = None
+    for rows, stamp in zip((2, 3, 6), stamps):
+        one = profile_table(df.unionByName(df).unionByName(df).limit(rows), "t", report_dttm=stamp)
+        out = deviations(one, history, None, report_dttm=stamp).collect()
+        assert len(out) == 1 and out[0].delta_rows_cnt == {2: None, 3: 50, 6: 100}[rows]
+        stored = to_statistics(one)
+        history = stored if history is None else history.unionByName(stored)

@@ -3,8 +3,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from driftwatch.functions import exceeds, nan_to_null, nth_check, pct_delta, python_number_text, v1_step
-from driftwatch.functions.periods import python_bounds, row_period_end
+from driftwatch.functions.deltas import exceeds, nan_to_null, pct_delta, python_number_text
+from driftwatch.functions.periods import nth_check, python_bounds, row_period_end, v1_step
 
 D = dt.date
 
@@ -40,7 +40,7 @@ def test_half_even_rounding_like_numpy(spark):
 
     vals = [0.125, 2.675, 1.005, 33.335, 12.345]
     df = spark.createDataFrame([(v,) for v in vals], "x double")
-    from driftwatch.functions import round_half_even_2
+    from driftwatch.functions.deltas import round_half_even_2
 
     got = [r.r for r in df.select(round_half_even_2(F.col("x")).alias("r")).collect()]
     assert got == [float(np.round(np.float64(v), 2)) for v in vals]

@@ -124,7 +124,7 @@ def test_create_tables_and_append(spark, workdir):
 
 
 def test_parse_schedule_date(spark):
-    from driftwatch.functions import parse_schedule_date
+    from driftwatch.functions.periods import parse_schedule_date
 
     df = spark.createDataFrame([("2024-01-05 10:11:12",), ("2024-01-05",), ("garbage",)], "s string")
     got = [r.t for r in df.select(parse_schedule_date(F.col("s")).alias("t")).collect()]
