@@ -9,26 +9,30 @@ arithmetic) so that the two cross-check each other.
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from driftwatch.plans import queries as Q
 
+
+
+def _there(module: str) -> bool:
+    try:
+        return importlib.util.find_spec(module) is not None
+    except ModuleNotFoundError:
+        return False
+
+
 # The corpus operators and their pipeline can be taken out; everything else works without them.
-try:
+llm_queries, LLM_ORACLE, corpus_pipeline = None, {}, None
+if _there("driftwatch.llm.queries"):
     from driftwatch.llm import queries as llm_queries
     from driftwatch.llm.oracle import ORACLE as LLM_ORACLE
-except ModuleNotFoundError as e:
-    if not (e.name or "").startswith("driftwatch.llm"):
-        raise
-    llm_queries, LLM_ORACLE = None, {}
-try:
-    import corpus_pipeline
-except ModuleNotFoundError as e:
-    if e.name != "corpus_pipeline" and not (e.name or "").startswith("driftwatch.llm"):
-        raise
-    corpus_pipeline = None
+
+    if _there("corpus_pipeline"):
+        import corpus_pipeline
 
 SF_SMOKE = "/root/testdata/sf0.001"
 
