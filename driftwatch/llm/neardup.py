@@ -8,7 +8,7 @@ other paths within so large a group make up for).  Small nodes are compared exha
 is compared in blocks: all its classes against those that do not yet share the node's prevailing component.  Nothing is
 capped, dropped or sampled.
 
-In a small node, classes without a partner of likely similarity (by ``FUNCTIONS`` minwise tokens, more than four standard deviations
+In a node or block, classes without a partner of likely similarity (by ``FUNCTIONS`` minwise tokens, more than four standard deviations
 below the threshold) are left out first; all links are confirmed on full sets.  A node returns a spanning forest of its links, not
 its pairs.  Links become components on Spark; nothing of them reaches the driver.
 
@@ -35,7 +35,7 @@ TREES, DEPTH = 8, 3
 #: Minwise tokens of a set: those of all trees and levels, and more for the estimate.
 FUNCTIONS = 40
 CAP = 512
-BLOCK = 256
+BLOCK = 512
 #: Trees whose links are found first; the others then meet only classes of different components.
 FIRST = 2
 #: The estimate may lie so far below the threshold.
@@ -121,27 +121,23 @@ def by_group(df: DataFrame, key: str, f: Callable[[pa.Table], pa.RecordBatch | N
     return df.repartition(partitions(df.sparkSession), key).sortWithinPartitions(key).mapInArrow(run, schema)
 
 
-def likely(nodes: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """The rows of small ``nodes`` (node, tree, id) that have a likely partner in their node."""
+def likely(blocks: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """The rows of ``blocks`` (block, id, label, asks) with a likely partner: in their block, of another label, one of the two asking."""
     least = (threshold - MARGIN) * FUNCTIONS
 
     def keep(group: pa.Table) -> pa.RecordBatch | None:
         sigs = np.frombuffer(b"".join(group["sig"].to_pylist()), np.int64).reshape(-1, FUNCTIONS)
-        if len(sigs) == 2:
-            if (sigs[0] == sigs[1]).sum() < least:
-                return None
-            near = np.ones(2, bool)
-        else:
-            near = np.zeros(len(sigs), bool)
-            for i in range(len(sigs) - 1):
-                hit = (sigs[i + 1 :] == sigs[i]).sum(axis=1) >= least
-                near[i] |= hit.any()
-                near[i + 1 :] |= hit
-        own = group.select(["node", "tree", "id"]).filter(pa.array(near)).combine_chunks()
+        labels = group["label"].to_numpy()
+        near = np.zeros(len(sigs), bool)
+        for i in np.flatnonzero(group["asks"].to_numpy()).tolist():
+            hit = ((sigs == sigs[i]).sum(axis=1) >= least) & (labels != labels[i])
+            near[i] |= hit.any()
+            near |= hit
+        own = group.select(["block", "id", "label", "asks"]).filter(pa.array(near)).combine_chunks()
         return own.to_batches()[0] if own.num_rows else None
 
-    rows = nodes.join(classes.select("id", "sig"), "id").select("node", "tree", "id", "sig")
-    return by_group(rows, "node", keep, "node long, tree int, id long")
+    rows = blocks.join(classes.select("id", "sig"), "id").select("block", "id", "label", "asks", "sig")
+    return by_group(rows, "block", keep, "block long, id long, label long, asks boolean")
 
 
 def links_within(ids: np.ndarray, labels: np.ndarray, asks: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -204,21 +200,29 @@ def small_blocks(nodes: DataFrame) -> DataFrame:
 
 
 def large_blocks(nodes: DataFrame, first: bool) -> DataFrame:
-    """Blocks of the large nodes (node, id, label): some rows ask (first: one block of them; then: all that are not of the prevailing label) all others."""
+    """Blocks of the large nodes (node, id, label): some rows ask (first: one block of them; then: all that are not of the prevailing
+    label) and meet each other and all others.
+
+    Asking rows are dealt to parts i, the others to parts k; there is a block for each two parts i <= j and for each i and k.
+    """
     label = nodes.groupBy("node", "label").agg(F.count(F.lit(1)).alias("c"))
     top = label.groupBy("node").agg(F.sum("c").alias("m"), F.max(F.struct("c", "label")).alias("top")).select("node", "m", F.col("top.label").alias("top"), (F.col("m") - F.col("top.c")).alias("other"))
     rows = nodes.join(top.where("other > 0"), "node")
-    parts = F.ceil(F.col("m") / BLOCK).cast("int")
+    parts = lambda n: F.greatest(F.ceil(n / BLOCK), F.lit(1)).cast("int")
     deal = lambda salt, n: F.pmod(F.xxhash64(F.lit(salt), "node", "id"), n).cast("int")
     if first:
-        asks, ask_parts = deal(1, parts) == 0, F.lit(1)
+        asks, n_asks, n_rest = deal(1, parts(F.col("m"))) == 0, F.lit(1), parts(F.col("m"))
     else:
-        asks, ask_parts = F.col("label") != F.col("top"), F.ceil(F.col("other") / BLOCK).cast("int")
-    each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    rows = rows.select("node", "id", "label", asks.alias("asks"), parts.alias("parts"), ask_parts.alias("ask_parts"))
-    asking = rows.where("asks").withColumn("i", deal(2, F.col("ask_parts"))).withColumn("j", each(F.col("parts")))
-    asked = rows.withColumn("asks", F.lit(False)).withColumn("j", deal(3, F.col("parts"))).withColumn("i", each(F.col("ask_parts")))
-    return asking.unionByName(asked).select(F.xxhash64("node", "i", "j").alias("block"), "id", "label", "asks")
+        asks, n_asks, n_rest = F.col("label") != F.col("top"), parts(F.col("other")), parts(F.col("m") - F.col("other"))
+    rows = rows.select("node", "id", "label", asks.alias("asks"), n_asks.alias("n_asks"), n_rest.alias("n_rest"))
+    each = lambda n: F.sequence(F.lit(0), n - 1)
+    i, k = deal(2, F.col("n_asks")), deal(3, F.col("n_rest"))
+    pair = lambda j: F.struct(F.least(i, j).alias("i"), F.greatest(i, j).alias("j"), F.lit(True).alias("both"))
+    mixed = lambda x, y: F.struct(x.alias("i"), y.alias("j"), F.lit(False).alias("both"))
+    asking = F.concat(F.transform(each(F.col("n_asks")), pair), F.transform(each(F.col("n_rest")), lambda j: mixed(i, j)))
+    asked = F.transform(each(F.col("n_asks")), lambda j: mixed(j, k))
+    rows = rows.withColumn("at", F.explode(F.when(F.col("asks"), asking).otherwise(asked)))
+    return rows.select(F.xxhash64("node", "at.i", "at.j", "at.both").alias("block"), "id", "label", "asks")
 
 
 def class_sets(df: DataFrame, needed: DataFrame, words: int) -> DataFrame:
@@ -252,18 +256,22 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80) -> DataFra
     classes = scratch.pin(named.groupBy("f").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")), "classes")
     # a class is named by its smallest doc_id; a document of several texts can name several, and each is compared by all its sets
     nodes = tree_nodes(classes, scratch)
-    small = scratch.pin(likely(nodes.where("not large").drop("large"), classes, percent / 100), "small")
-    large = nodes.where("large").drop("large")
+    itself = F.col("id").alias("label")
+    every = F.lit(True).alias("asks")
+    small = likely(nodes.where("not large").select(F.col("node").alias("block"), "id", itself, every), classes, percent / 100)
+    trees = nodes.where("not large").select("node", "tree").distinct()
+    small = scratch.pin(small.select(F.col("block").alias("node"), "id").join(trees, "node"), "small")
+    large = nodes.where("large").select("node", "id")
     needed = small.select("id").unionByName(large.select("id")).distinct()
     sets = scratch.pin(class_sets(df, needed, words), "sets")
-    itself = F.col("id").alias("label")
-    blocks = small_blocks(small.where(F.col("tree") < FIRST).select("node", "id", itself)).unionByName(large_blocks(large.select("node", "id", itself), True))
-    repeated = repeated_ids(named, classes)
-    links = scratch.pin(confirmed(blocks, sets, percent).unionByName(repeated), "links1")
+    blocks = likely(large_blocks(large.select("node", "id", itself), True), classes, percent / 100)
+    blocks = small_blocks(small.where(F.col("tree") < FIRST).select("node", "id", itself)).unionByName(blocks)
+    links = scratch.pin(confirmed(blocks, sets, percent).unionByName(repeated_ids(named, classes)), "links1")
     found = components(links, scratch, "first")
     label = lambda t: t.join(found, t["id"] == found["v"], "left").select("node", "id", F.coalesce("root", "id").alias("label"))
     small, large = scratch.pin(label(small), "small2"), scratch.pin(label(large), "large2")
-    more = confirmed(small_blocks(small).unionByName(large_blocks(large, False)), sets, percent)
+    blocks = likely(large_blocks(large, False), classes, percent / 100)
+    more = confirmed(small_blocks(small).unionByName(blocks), sets, percent)
     links = scratch.pin(links.unionByName(more), "links2")
     scratch.drop("sets", "nodes", "small", "small2", "large2")
     roots = scratch.pin(components(links, scratch, "second"), "roots")
