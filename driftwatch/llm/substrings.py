@@ -18,7 +18,7 @@ exchange serves all three reads of it.
 
 Defined cases: a null or empty text has no bytes; rows with a null ``doc_id`` neither lose bytes nor cover any; rows that share a
 ``doc_id`` are one document, so they don't cover each other; texts below ``SPAN`` bytes stay whole; very long texts are
-worked on like others; an empty table gives no rows; other columns are not read.
+worked on like others (below 4 GiB each); an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +38,8 @@ from driftwatch.llm.shingles import _VALUE, _powers
 SPAN, GRAM = 50, 16
 #: Bytes of text in a group of documents, and in what is worked on at a time.
 GROUP, SLICE = 4 << 20, 1 << 20
+#: Sets of buckets for each shuffle partition; a task works on one at a time.
+TASKS = 4
 #: Bytes of segments refined at a time (at least one bucket).
 REFINED = 2 << 20
 #: A bucket that so many groups have (one with several documents counts twice) is split.
@@ -257,6 +260,7 @@ def _sent(rows: DataFrame, shared: DataFrame, tasks: int) -> DataFrame:
                     entry[3] += entry[2]
                     entry[0], entry[2] = doc, [(t, p, n)]
         grp = key[0].as_py()
+        squeeze = zstandard.ZstdCompressor(level=3)
         entries = list(found.items())
         task = np.array([e[1] >> 24 for _, e in entries], np.uint64) % np.uint64(tasks)
         out = []
@@ -265,7 +269,8 @@ def _sent(rows: DataFrame, shared: DataFrame, tasks: int) -> DataFrame:
             own = [entries[i] for i in order[a:b].tolist()]
             places = [(e[0], *place, e[1], i) for i, (_, e) in enumerate(own) for place in e[2]]
             doc, row, start, windows, keys, which = (list(x) for x in zip(*places))
-            out.append((int(task[order[a]]), grp, _i64(doc), _i64(row), _i64(start), _i64(windows), np.array(keys, "<u8").tobytes(), b"".join(own[i][0] for i in which), None))
+            content = squeeze.compress(b"".join(own[i][0] for i in which))
+            out.append((int(task[order[a]]), grp, _i64(doc), *(np.array(x, "<u4").tobytes() for x in (row, start, windows)), _packed(np.array(keys, np.uint64)), content, None))
         covered = [(t, p, n + SPAN - 1) for _, e in entries for t, p, n in e[3]]
         if covered:
             out.append((grp % tasks, grp, None, None, None, None, None, None, _i64(covered)))
@@ -289,8 +294,9 @@ def _spans(sent: DataFrame) -> DataFrame:
                 out.setdefault(grp, []).append(np.frombuffer(covered, "<i8").reshape(-1, 3))
                 continue
             at = 0
-            numbers = [np.frombuffer(x, "<i8").tolist() for x in (docs, rows, starts, windows)]
-            for doc, row, start, n, key in zip(*numbers, np.frombuffer(keys, "<u8").tolist()):
+            content = zstandard.decompress(content)
+            numbers = [np.frombuffer(x, "<u4").tolist() for x in (rows, starts, windows)]
+            for doc, row, start, n, key in zip(np.frombuffer(docs, "<i8").tolist(), *numbers, _unpacked(keys).tolist()):
                 own = content[at : at + n + SPAN - 1]
                 at += n + SPAN - 1
                 entry = by_content.get(own)
@@ -369,7 +375,7 @@ def remove_repeats(df: DataFrame, group: int = GROUP, split: int = SPLIT, text:
     """
     content = F.coalesce(F.col("`text`"), F.lit(""))
     total = df.agg(F.sum(F.octet_length(content))).first()[0] or 0
-    groups, tasks = max(1, -(-total // group)), partitions(df.sparkSession)
+    groups, tasks = max(1, -(-total // group)), TASKS * partitions(df.sparkSession)
     rid = F.xxhash64(F.col("`doc_id`"), content)
     rows = df.select(F.col("`doc_id`").cast("long").alias("doc_id"), content.alias("text"), rid.alias("rid"), F.pmod(F.xxhash64(rid), F.lit(groups)).cast("int").alias("grp"))
     shared = _shared(_held(rows, tasks), split)
