@@ -20,6 +20,7 @@ order of their texts; a single row is its own neighbour.  An empty table gives n
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -108,11 +109,12 @@ def _group(key: str, bounds: list[int]) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(max(1, len(bounds)).bit_length() + 1)), first, halve, lambda x: x["lo"])
 
 
-def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """``rows`` (k, text and others) with ``next_<c>`` for each of ``columns``: those of the next row in order of k descending, then text.
+def with_next(rows: DataFrame, columns: list[str], prepare: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``prepare(rows)`` (k, text and others) with ``next_<c>`` for each of ``columns``: those of the next row in order of k descending, then text.
 
-    Ranges of k are the groups of a window; each group also gets the first row of the range after it.  The driver sees the
-    bounds and the first k of each range: a number for each group.
+    Ranges of k are the groups of a window; each group also gets the first row of the range after it.  ``prepare`` is applied
+    when those rows have joined, so that it sees each row once.  The driver sees the bounds and the first k of each range: a
+    number for each group.
     """
     spark = rows.sparkSession
     n = GROUPS * partitions(spark)
@@ -127,7 +129,7 @@ def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
     copies = rows.join(local, "k").withColumn("at", F.row_number().over(first)).where("at = 1").drop("at")
     both = grouped.withColumn("copy", F.lit(False)).unionByName(copies.withColumn("copy", F.lit(True)))
     order = Window.partitionBy("group").orderBy("copy", F.desc("k"), "text")
-    return both.withColumns({f"next_{c}": F.lead(c).over(order) for c in columns}).where("not copy").drop("copy", "group")
+    return prepare(both).withColumns({f"next_{c}": F.lead(c).over(order) for c in columns}).where("not copy").drop("copy", "group")
 
 
 def fingerprint_digest(df: DataFrame) -> DataFrame:
@@ -137,7 +139,7 @@ def fingerprint_digest(df: DataFrame) -> DataFrame:
     """
     text = F.coalesce(F.col("`text`"), F.lit(""))
     rows = df.select(F.col("`doc_id`").alias("doc_id"), F.coalesce(F.col("`doc_id`").cast("long"), F.lit(-(2**63))).alias("k"), text.alias("text"))
-    rows = with_next(with_signatures(rows, "text", "words", "signatures"), ["text", "signatures"])
+    rows = with_next(rows, ["text", "signatures"], lambda df: with_signatures(df, "text", "words", "signatures"))
     third = F.floor(F.col("n_chars") / 3).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - third).cast("int")), F.substring("next_text", F.lit(1), third))
     rows = rows.withColumn("n_chars", F.length("text").cast("long")).withColumn("edited", edited).drop("text", "next_text")
