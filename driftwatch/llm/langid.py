@@ -10,7 +10,8 @@ are summed by Spark; what reaches the driver has at most one number for each pie
 
 Prediction is a map over the rows and shuffles nothing.  Words of one length are scored together as arrays; a bounded
 dictionary keeps the scores of words seen before.  Words over ``LONG`` letters run through the same recurrence one by one,
-rescaled at each step, in time linear in their length.
+in time linear in their length.  Both ways rescale the sums of each language by themselves, so that no likelihood becomes 0,
+whatever the word's length and however rare its letters.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; so is every text when nothing was learned;
 equal likelihoods go to the language first in code point order; a null ``doc_id`` passes through (and is not held out);
@@ -34,6 +35,8 @@ from driftwatch.llm.common import rekeyed, slices
 MARK = "▁"
 WORDS = re.compile(r"[^\W\d_]+")
 LONG = 40
+#: Letters between two rescalings of the arrays; a letter's least probability to the power of STEP + 1 is far from underflow.
+STEP = 8
 #: Pieces of more code points are left out of the vocabulary.
 LONGEST = 12
 #: Words kept in a worker's dictionary at most.
@@ -169,26 +172,31 @@ def word_scores(model: Model, words: list[str]) -> np.ndarray:
             continue
         codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(group), n + 1).T.astype(np.uint64)
         sums = [np.ones((len(group), len(model.langs))), *[np.zeros((len(group), len(model.langs))) for _ in range(n + 1)]]
+        scale = np.zeros((len(group), len(model.langs)))
         for a in range(n + 1):
+            if a and a % STEP == 0:
+                top = sums[a]
+                scale += np.log(top)
+                for end in range(n + 1, a - 1, -1):  # ends not reached yet hold 0
+                    sums[end] = sums[end] / top
             h = np.zeros(len(group), np.uint64)
             for end in range(a + 1, min(a + LONGEST, n + 1) + 1):
                 h = table.extend(h, codes[end - 1])
                 sums[end] += sums[a] * probs[table.find(h, unknown if end == a + 1 else none)]
-        out[group] = np.log(sums[-1])
+        out[group] = np.log(sums[-1]) + scale
     return out
 
 
 def _long_word(probs: np.ndarray, find, none: int, unknown: int, w: str) -> np.ndarray:  # type: ignore[no-untyped-def]
     last = [np.ones(probs.shape[1])]  # the sums of the latest LONGEST ends, divided by exp(scale)
-    scale = 0.0
+    scale = np.zeros(probs.shape[1])
     for end in range(1, len(w) + 1):
         total = np.zeros(probs.shape[1])
         for a in range(max(0, end - LONGEST), end):
             total += last[a - end] * probs[find(w[a:end], unknown if a == end - 1 else none)]
         last = [*last[-LONGEST + 1 :], total]
-        top = total.max()
-        last, scale = [x / top for x in last], scale + np.log(top)
-    return np.log(np.maximum(last[-1], 1e-300)) + scale
+        last, scale = [x / total for x in last], scale + np.log(total)
+    return scale
 
 
 class Scorer:

@@ -49,6 +49,24 @@ def test_long_words_follow_the_same_recurrence(monkeypatch):
     assert np.isfinite(langid.word_scores(model, ["ab" * 50_000])).all()
 
 
+def test_rare_letters_do_not_underflow(monkeypatch):
+    """Letters outside the vocabulary or never seen, in runs below and above LONG: finite sums, and the same by both ways."""
+    pieces = {p: i for i, p in enumerate(["▁", "a", "b", "ab", "q"])}
+    counts = np.array([[2e9, 6e7], [1e9, 3e7], [5e8, 2e7], [3e8, 9e6], [0, 1e3]]) + langid.SMOOTH
+    probs = counts / counts.sum(axis=0)
+    model = langid.Model(["x", "y"], pieces, probs, probs.min(axis=0) * langid.UNKNOWN)
+    words = ["é" * 27, "é" * 30, "é" * 40, "q" * 39, "ab" * 10 + "é" * 20, "q" * 41, "é" * 200]
+    got = langid.word_scores(model, words)
+    assert np.isfinite(got).all()
+    assert np.allclose(got[2], np.log(probs[0]) + 40 * np.log(model.unknown))
+    assert np.allclose(got[3], np.log(probs[0]) + 39 * np.log(probs[4]))
+    assert np.allclose(got[6], np.log(probs[0]) + 200 * np.log(model.unknown))
+    monkeypatch.setattr(langid, "LONG", 0)
+    assert np.allclose(langid.word_scores(model, words), got)
+    (lang,), (score,) = langid.Scorer(model)(["ab ab " * 20 + "é" * 40])
+    assert lang in model.langs and 0.25 <= score <= 1
+
+
 def test_counts_cover_all_training_rows(spark):
     import sentencepiece
 
