@@ -37,8 +37,6 @@ WORDS = re.compile(r"[^\W\d_]+")
 LONG = 40
 #: Letters between two rescalings of the arrays; a letter's least probability to the power of STEP + 1 is far from underflow.
 STEP = 8
-#: Pieces of more code points are left out of the vocabulary.
-LONGEST = 12
 #: Words kept in a worker's dictionary at most.
 KEPT = 300_000
 #: Added to each count; a letter outside the vocabulary has the probability of a piece never seen, times UNKNOWN.
@@ -139,13 +137,14 @@ class Model:
     def __init__(self, langs: list[str], pieces: dict[str, int], probs: np.ndarray, unknown: np.ndarray):
         self.langs, self.pieces, self.probs, self.unknown = langs, pieces, probs, unknown
         self.table = PieceTable(pieces)
+        self.longest = max(map(len, pieces), default=1)
 
 
 def train(rows: DataFrame, path: str) -> Model:
     proto, names = vocabulary(path)
     counts = piece_counts(rows, proto).collect()  # at most pieces x languages
     langs = sorted({r.lang for r in counts})
-    ids = {p: i for i, p in enumerate(names) if p and len(p) <= LONGEST}
+    ids = {p: i for i, p in enumerate(names) if p}
     table = np.full((len(names), len(langs)), SMOOTH)
     at = {lang: k for k, lang in enumerate(langs)}
     for r in counts:
@@ -168,7 +167,7 @@ def word_scores(model: Model, words: list[str]) -> np.ndarray:
         marked = [MARK + words[i] for i in group]
         if n > LONG:
             for i, w in zip(group, marked):
-                out[i] = _long_word(probs, model.pieces.get, none, unknown, w)
+                out[i] = _long_word(probs, model.pieces.get, none, unknown, model.longest, w)
             continue
         codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(group), n + 1).T.astype(np.uint64)
         sums = [np.ones((len(group), len(model.langs))), *[np.zeros((len(group), len(model.langs))) for _ in range(n + 1)]]
@@ -180,21 +179,21 @@ def word_scores(model: Model, words: list[str]) -> np.ndarray:
                 for end in range(n + 1, a - 1, -1):  # ends not reached yet hold 0
                     sums[end] = sums[end] / top
             h = np.zeros(len(group), np.uint64)
-            for end in range(a + 1, min(a + LONGEST, n + 1) + 1):
+            for end in range(a + 1, min(a + model.longest, n + 1) + 1):
                 h = table.extend(h, codes[end - 1])
                 sums[end] += sums[a] * probs[table.find(h, unknown if end == a + 1 else none)]
         out[group] = np.log(sums[-1]) + scale
     return out
 
 
-def _long_word(probs: np.ndarray, find, none: int, unknown: int, w: str) -> np.ndarray:  # type: ignore[no-untyped-def]
-    last = [np.ones(probs.shape[1])]  # the sums of the latest LONGEST ends, divided by exp(scale)
+def _long_word(probs: np.ndarray, find, none: int, unknown: int, longest: int, w: str) -> np.ndarray:  # type: ignore[no-untyped-def]
+    last = [np.ones(probs.shape[1])]  # the sums of the latest ``longest`` ends, divided by exp(scale)
     scale = np.zeros(probs.shape[1])
     for end in range(1, len(w) + 1):
         total = np.zeros(probs.shape[1])
-        for a in range(max(0, end - LONGEST), end):
+        for a in range(max(0, end - longest), end):
             total += last[a - end] * probs[find(w[a:end], unknown if a == end - 1 else none)]
-        last = [*last[-LONGEST + 1 :], total]
+        last = [*last, total][-longest:]
         last, scale = [x / total for x in last], scale + np.log(total)
     return scale
 

@@ -67,6 +67,20 @@ def test_rare_letters_do_not_underflow(monkeypatch):
     assert lang in model.langs and 0.25 <= score <= 1
 
 
+def test_long_pieces_are_learned_and_summed(spark, monkeypatch):
+    names = [p for p in langid.vocabulary(PATH)[1] if p]
+    rows = [("an international organization", "en"), ("une organisation", "fr")]
+    model = langid.train(spark.createDataFrame(rows, "text string, lang string"), PATH)
+    assert set(model.pieces) == set(names) and model.longest == max(map(len, names)) > 12
+    k = model.pieces["▁international"]
+    assert model.probs[k, 0] > 5 * model.probs[k, 1]
+    words = ["international", "internationally", "communication"]
+    got = langid.word_scores(model, words)
+    assert np.allclose(got, [brute_word(model, w) for w in words])
+    monkeypatch.setattr(langid, "LONG", 0)
+    assert np.allclose(langid.word_scores(model, words), got)
+
+
 def test_counts_cover_all_training_rows(spark):
     import sentencepiece
 
