@@ -3,10 +3,11 @@
 Documents of equal sets are one class, and the classes are joined.  In each of ``TREES`` independent trees a class goes to
 the node of its minwise token under the tree's hash function; nodes of more than ``CAP`` classes branch again by the next
 function's token, down to ``DEPTH`` levels.  Two sets of Jaccard index J share a node with probability J at the first level, so
-``TREES`` = 8 leave out a link of J = 0.85 with probability 0.15**8 = 2.6e-7 (of more than one level: a few 1e-3, which the many
-other paths within so large a group make up for).  Small nodes are compared exhaustively; what is still large at the last level
-is compared in blocks: all its classes against those that do not yet share the node's prevailing component.  Nothing is
-capped, dropped or sampled.
+``TREES`` = 8 leave out a link of J = 0.85 with probability 0.15**8 = 2.6e-7.  Where they share a large node they must also agree on
+the next tokens; classes that reach a large node at the first level of any tree therefore go through ``FURTHER`` = 12 more trees.  A
+link is left out with probability (1 - J)**8 + (1 - J**3)**20 at most: 2.6e-7 at 0.85, 3.1e-6 at 0.8.  Small nodes are compared
+exhaustively; what is still large at the last level is compared in blocks: all its classes against those that do not yet share
+the node's prevailing component.  Nothing is capped, dropped or sampled.
 
 In a node or block, classes without a partner of likely similarity (by ``FUNCTIONS`` minwise tokens, more than four standard deviations
 below the threshold) are left out first; all links are confirmed on full sets.  A node returns a spanning forest of its links, not
@@ -31,9 +32,9 @@ from driftwatch.llm.common import Scratch, partitions, rekeyed, slices
 from driftwatch.llm.components import components
 from driftwatch.llm.shingles import shingle_sets
 
-TREES, DEPTH = 8, 3
-#: Minwise tokens of a set: those of all trees and levels, and more for the estimate.
-FUNCTIONS = 40
+TREES, FURTHER, DEPTH = 8, 12, 3
+#: Minwise tokens of a set: those of all trees and levels.
+FUNCTIONS = (TREES + FURTHER) * DEPTH
 CAP = 512
 BLOCK = 512
 #: Trees whose links are found first; the others then meet only classes of different components.
@@ -66,37 +67,46 @@ def signatures(df: DataFrame, words: int) -> DataFrame:
     return rekeyed(df, ("doc_id", "text")).mapInArrow(run, "doc_id long, n long, f binary, sig binary")
 
 
-def path_tokens(classes: DataFrame) -> DataFrame:
-    """(id, tree, t0, t1, t2): the tokens that each class (id, sig) selects in each tree, level by level."""
+def path_tokens(classes: DataFrame, trees: range) -> DataFrame:
+    """(id, tree, t0, t1, t2): the tokens that each class (id, sig) selects in each of ``trees``, level by level."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("id").to_numpy()
             tokens = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.int64).reshape(len(ids), FUNCTIONS)
-            for tree in range(TREES):
+            for tree in trees:
                 own = [tokens[:, tree * DEPTH + level] for level in range(DEPTH)]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, np.full(len(ids), tree, np.int32), *own)], ["id", "tree", "t0", "t1", "t2"])
 
     return classes.select("id", "sig").mapInArrow(run, "id long, tree int, t0 long, t1 long, t2 long")
 
 
-def tree_nodes(classes: DataFrame, scratch: Scratch) -> DataFrame:
-    """(node, tree, id, large): the nodes of two or more classes in which each class ends."""
-    rows = path_tokens(classes).withColumn("node", F.xxhash64("tree", "t0"))
-    out = None
+def tree_nodes(classes: DataFrame, trees: range, scratch: Scratch, name: str) -> tuple[DataFrame, DataFrame]:
+    """(node, tree, id, large): the nodes of two or more classes in which each class ends; (id): the classes in large nodes of the first level."""
+    rows = path_tokens(classes, trees).withColumn("node", F.xxhash64("tree", "t0"))
+    out = crowd = None
     for level in range(DEPTH):
-        rows = scratch.pin(rows, f"level{level}")
+        rows = scratch.pin(rows, f"{name}level{level}")
         sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-        sizes = scratch.pin(sizes, f"sizes{level}")
+        sizes = scratch.pin(sizes, f"{name}sizes{level}")
         rows = rows.join(sizes, "node")
+        if crowd is None:
+            crowd = scratch.pin(rows.where(F.col("m") > CAP).select("id").distinct(), f"{name}crowd")
         last = level == DEPTH - 1
         done = rows.where(F.lit(last) | (F.col("m") <= CAP)).select("node", "tree", "id", (F.col("m") > CAP).alias("large"))
         out = done if out is None else out.unionByName(done)
         if not last:
             rows = rows.where(F.col("m") > CAP).drop("m").withColumn("node", F.xxhash64("node", F.lit(level), f"t{level + 1}"))
-    nodes = scratch.pin(out, "nodes")
-    scratch.drop(*[f"{x}{k}" for k in range(DEPTH) for x in ("level", "sizes")])
-    return nodes
+    nodes = scratch.pin(out, f"{name}nodes")
+    scratch.drop(*[f"{name}{x}{k}" for k in range(DEPTH) for x in ("level", "sizes")])
+    return nodes, crowd
+
+
+def all_nodes(classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, tree, id, large) of the first trees, and of further ones for the classes that reach large nodes in any of them."""
+    nodes, crowd = tree_nodes(classes, range(TREES), scratch, "")
+    more, _ = tree_nodes(classes.join(crowd, "id", "left_semi"), range(TREES, TREES + FURTHER), scratch, "more_")
+    return nodes.unionByName(more)
 
 
 def by_group(df: DataFrame, key: str, f: Callable[[pa.Table], pa.RecordBatch | None], schema: str) -> DataFrame:
@@ -255,16 +265,16 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80) -> DataFra
     named = rows.where("doc_id is not null and n > 0")
     classes = scratch.pin(named.groupBy("f").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")), "classes")
     # a class is named by its smallest doc_id; a document of several texts can name several, and each is compared by all its sets
-    nodes = tree_nodes(classes, scratch)
+    nodes = all_nodes(classes, scratch)
     itself = F.col("id").alias("label")
     every = F.lit(True).alias("asks")
     small = likely(nodes.where("not large").select(F.col("node").alias("block"), "id", itself, every), classes, percent / 100)
     trees = nodes.where("not large").select("node", "tree").distinct()
     small = scratch.pin(small.select(F.col("block").alias("node"), "id").join(trees, "node"), "small")
-    large = nodes.where("large").select("node", "id")
+    large = nodes.where("large").select("node", "tree", "id")
     needed = small.select("id").unionByName(large.select("id")).distinct()
     sets = scratch.pin(class_sets(df, needed, words), "sets")
-    blocks = likely(large_blocks(large.select("node", "id", itself), True), classes, percent / 100)
+    blocks = likely(large_blocks(large.where(F.col("tree") < TREES).select("node", "id", itself), True), classes, percent / 100)
     blocks = small_blocks(small.where(F.col("tree") < FIRST).select("node", "id", itself)).unionByName(blocks)
     links = scratch.pin(confirmed(blocks, sets, percent).unionByName(repeated_ids(named, classes)), "links1")
     found = components(links, scratch, "first")
@@ -273,7 +283,7 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80) -> DataFra
     blocks = likely(large_blocks(large, False), classes, percent / 100)
     more = confirmed(small_blocks(small).unionByName(blocks), sets, percent)
     links = scratch.pin(links.unionByName(more), "links2")
-    scratch.drop("sets", "nodes", "small", "small2", "large2")
+    scratch.drop("sets", "nodes", "crowd", "more_nodes", "more_crowd", "small", "small2", "large2")
     roots = scratch.pin(components(links, scratch, "second"), "roots")
     ids = classes.select("f", "id").join(roots, F.col("id") == F.col("v"), "left").select("f", F.coalesce("root", "id").alias("component_id"))
     ids = scratch.pin(ids, "ids")

@@ -101,6 +101,25 @@ def test_large_nodes_and_chains(spark, monkeypatch):
     check(neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect(), rows, 3, 85)
 
 
+def test_classes_of_large_nodes_meet_in_further_trees(spark, monkeypatch):
+    """All share the first level's tokens; one pair agrees on the second level's in one of the further trees only."""
+    monkeypatch.setattr(neardup, "CAP", 4)
+    tokens = np.random.default_rng(3).integers(0, 1 << 62, (30, neardup.FUNCTIONS)).astype(np.uint64)
+    tokens[:, :: neardup.DEPTH] = 7
+    tokens[11, -2] = tokens[12, -2] = 8
+    lone = np.random.default_rng(4).integers(0, 1 << 62, (2, neardup.FUNCTIONS)).astype(np.uint64)
+    lone[:, 0] = 9  # a pair in a small node: no further trees
+    rows = [(i, bytearray(x.tobytes())) for i, x in enumerate([*tokens, *lone])]
+    nodes = neardup.all_nodes(spark.createDataFrame(rows, "id long, sig binary"), Scratch(spark, "t")).collect()
+    groups = {}
+    for r in nodes:
+        groups.setdefault((r.tree, r.node), set()).add(r.id)
+    assert {11, 12} in groups.values() and {30, 31} in groups.values()
+    assert {r.tree for r in nodes if r.id >= 30} == {0}
+    for j, least in ((0.85, 3e-7), (0.8, 3.2e-6)):
+        assert (1 - j) ** neardup.TREES + (1 - j**neardup.DEPTH) ** (neardup.TREES + neardup.FURTHER) < least
+
+
 def test_defined_cases(spark):
     long = " ".join(f"w{i}" for i in range(60_000))
     rows = [(None, "a b c d"), (None, "a b c d"), (1, None), (2, ""), (3, " \n"), (4, "a b"), (5, "A B"), (6, long), (7, long + " x"), (8, "a b c d"), (9, "a b c d"), (9, "q r s t"), (10, "q r s t"), (11, "q r s t")]
