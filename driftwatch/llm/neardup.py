@@ -9,8 +9,9 @@ link is left out with probability (1 - J)**8 + (1 - J**3)**20 at most: 2.6e-7 at
 exhaustively; what is still large at the last level is compared in blocks: all its classes against those that do not yet share
 the node's prevailing component.  Nothing is capped, dropped or sampled.
 
-In a node or block, classes without a partner of likely similarity (by ``FUNCTIONS`` minwise tokens, more than four standard deviations
-below the threshold) are left out first; all links are confirmed on full sets.  A node returns a spanning forest of its links, not
+In a node or block, classes without a possible partner are left out first.  The test is exact: a sketch holds, for each of 2 to 4
+buckets a token, whether an odd number of the set's tokens fall into it; where the sketches of two sets differ, at least one token is in
+one set only, which bounds their intersection.  So no link is lost by it; all links are confirmed on full sets.  A node returns a spanning forest of its links, not
 its pairs.  Links become components on Spark; nothing of them reaches the driver.
 
 Defined cases: a null or empty text has the empty set and is linked with nothing; rows with a null ``doc_id`` are linked with
@@ -39,13 +40,32 @@ CAP = 512
 BLOCK = 512
 #: Trees whose links are found first; the others then meet only classes of different components.
 FIRST = 2
-#: The estimate may lie so far below the threshold.
-MARGIN = 0.25
+#: Buckets of a sketch at most (larger sets are only told apart less well).
+BUCKETS = 1 << 20
 _ODD = np.random.default_rng(20240229).integers(0, 1 << 63, FUNCTIONS).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+_BUCKET = np.uint64(0xD6E8FEB86659FD93)
+
+
+def sketches(flat: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """The parities of the tokens in each bucket, of sets (not empty) that follow each other in ``flat``.
+
+    There are 8, 16, 32, ... buckets, at least two a token; a sketch of half the buckets is the exclusive or of its halves.
+    """
+    buckets = np.minimum(np.left_shift(1, np.maximum(3, np.ceil(np.log2(2 * sizes)).astype(np.int64))), BUCKETS)
+    ends = np.cumsum(buckets)
+    at = ((flat * _BUCKET) >> np.uint64(32)).astype(np.int64) & np.repeat(buckets - 1, sizes)
+    odd = np.bincount(at + np.repeat(ends - buckets, sizes), minlength=int(ends[-1])) & 1
+    packed = np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+    return [packed[(e - b) // 8 : e // 8] for b, e in zip(buckets.tolist(), ends.tolist())]
+
+
+def folded(sketch: bytes, width: int) -> np.ndarray:
+    """The sketch of ``width`` bytes."""
+    return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint8).reshape(-1, width), axis=0)
 
 
 def signatures(df: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n, f, sig): size, digest and minwise tokens of each row's set (null where it is empty)."""
+    """(doc_id, n, f, sig, sketch): size, digest, minwise tokens and sketch of each row's set (null where it is empty)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=1 << 20):
@@ -60,11 +80,14 @@ def signatures(df: DataFrame, words: int) -> DataFrame:
                     tokens[:, k] = np.minimum.reduceat(flat * odd, starts)
             digests: list = [None] * len(sets)
             sigs: list = [None] * len(sets)
+            parities: list = [None] * len(sets)
+            own = sketches(flat, sizes[full]) if len(full) else []
             for k, i in enumerate(full.tolist()):
-                digests[i], sigs[i] = xxhash.xxh3_128_digest(sets[i].tobytes()), tokens[k].tobytes()
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(sizes), pa.array(digests, pa.binary()), pa.array(sigs, pa.binary())], ["doc_id", "n", "f", "sig"])
+                digests[i], sigs[i], parities[i] = xxhash.xxh3_128_digest(sets[i].tobytes()), tokens[k].tobytes(), own[k]
+            columns = [batch.column("doc_id").cast(pa.int64()), pa.array(sizes), *[pa.array(x, pa.binary()) for x in (digests, sigs, parities)]]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "f", "sig", "sketch"])
 
-    return rekeyed(df, ("doc_id", "text")).mapInArrow(run, "doc_id long, n long, f binary, sig binary")
+    return rekeyed(df, ("doc_id", "text")).mapInArrow(run, "doc_id long, n long, f binary, sig binary, sketch binary")
 
 
 def path_tokens(classes: DataFrame, trees: range) -> DataFrame:
@@ -131,22 +154,38 @@ def by_group(df: DataFrame, key: str, f: Callable[[pa.Table], pa.RecordBatch | N
     return df.repartition(partitions(df.sparkSession), key).sortWithinPartitions(key).mapInArrow(run, schema)
 
 
-def likely(blocks: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """The rows of ``blocks`` (block, id, label, asks) with a likely partner: in their block, of another label, one of the two asking."""
-    least = (threshold - MARGIN) * FUNCTIONS
+def with_partner(sizes: np.ndarray, sketch: list[bytes], labels: np.ndarray, asks: np.ndarray, percent: int) -> np.ndarray:
+    """Whether a row's sketch leaves a link possible with a row of another label, one of the two asking; true for all rows with links."""
+    near = np.zeros(len(sizes), bool)
+    widths = np.array([len(x) for x in sketch], np.int64)
+    for width in np.unique(widths).tolist():
+        level = widths == width
+        rows = np.flatnonzero((widths >= width) & (percent * sizes <= 100 * sizes[level].max()))
+        bits = np.stack([folded(sketch[j], width) for j in rows.tolist()])
+        bits = bits.view(np.uint64) if width >= 8 else bits
+        wider = asks[rows] & ~level[rows]  # those that ask rows that do not
+        for asking, theirs in ((True, np.ones(len(rows), bool)), (False, wider)):
+            others, own = rows[theirs], bits[theirs]
+            for k in np.flatnonzero(level[rows] & (asks[rows] == asking)).tolist() if len(others) else []:
+                i = rows[k]
+                total = sizes[others] + sizes[i]
+                apart = np.bitwise_count(own ^ bits[k]).sum(axis=1, dtype=np.int64)
+                both = np.minimum(np.minimum(sizes[others], sizes[i]), (total - apart) // 2)
+                hit = (100 * both >= percent * (total - both)) & (labels[others] != labels[i])
+                near[i] |= hit.any()
+                near[others[hit]] = True
+    return near
+
+
+def possible(blocks: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``blocks`` (block, id, label, asks) with a possible partner: in their block, of another label, one of the two asking."""
 
     def keep(group: pa.Table) -> pa.RecordBatch | None:
-        sigs = np.frombuffer(b"".join(group["sig"].to_pylist()), np.int64).reshape(-1, FUNCTIONS)
-        labels = group["label"].to_numpy()
-        near = np.zeros(len(sigs), bool)
-        for i in np.flatnonzero(group["asks"].to_numpy()).tolist():
-            hit = ((sigs == sigs[i]).sum(axis=1) >= least) & (labels != labels[i])
-            near[i] |= hit.any()
-            near |= hit
+        near = with_partner(group["n"].to_numpy(), group["sketch"].to_pylist(), group["label"].to_numpy(), group["asks"].to_numpy(), percent)
         own = group.select(["block", "id", "label", "asks"]).filter(pa.array(near)).combine_chunks()
         return own.to_batches()[0] if own.num_rows else None
 
-    rows = blocks.join(classes.select("id", "sig"), "id").select("block", "id", "label", "asks", "sig")
+    rows = blocks.join(classes.select("id", "n", "sketch"), "id").select("block", "id", "label", "asks", "n", "sketch")
     return by_group(rows, "block", keep, "block long, id long, label long, asks boolean")
 
 
@@ -263,24 +302,24 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80) -> DataFra
     scratch = Scratch(df.sparkSession, "neardup")
     rows = scratch.pin(signatures(df, words), "rows")
     named = rows.where("doc_id is not null and n > 0")
-    classes = scratch.pin(named.groupBy("f").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")), "classes")
+    classes = scratch.pin(named.groupBy("f").agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("n", "sig", "sketch")]), "classes")
     # a class is named by its smallest doc_id; a document of several texts can name several, and each is compared by all its sets
     nodes = all_nodes(classes, scratch)
     itself = F.col("id").alias("label")
     every = F.lit(True).alias("asks")
-    small = likely(nodes.where("not large").select(F.col("node").alias("block"), "id", itself, every), classes, percent / 100)
+    small = possible(nodes.where("not large").select(F.col("node").alias("block"), "id", itself, every), classes, percent)
     trees = nodes.where("not large").select("node", "tree").distinct()
     small = scratch.pin(small.select(F.col("block").alias("node"), "id").join(trees, "node"), "small")
     large = nodes.where("large").select("node", "tree", "id")
     needed = small.select("id").unionByName(large.select("id")).distinct()
     sets = scratch.pin(class_sets(df, needed, words), "sets")
-    blocks = likely(large_blocks(large.where(F.col("tree") < TREES).select("node", "id", itself), True), classes, percent / 100)
+    blocks = possible(large_blocks(large.where(F.col("tree") < TREES).select("node", "id", itself), True), classes, percent)
     blocks = small_blocks(small.where(F.col("tree") < FIRST).select("node", "id", itself)).unionByName(blocks)
     links = scratch.pin(confirmed(blocks, sets, percent).unionByName(repeated_ids(named, classes)), "links1")
     found = components(links, scratch, "first")
     label = lambda t: t.join(found, t["id"] == found["v"], "left").select("node", "id", F.coalesce("root", "id").alias("label"))
     small, large = scratch.pin(label(small), "small2"), scratch.pin(label(large), "large2")
-    blocks = likely(large_blocks(large, False), classes, percent / 100)
+    blocks = possible(large_blocks(large, False), classes, percent)
     more = confirmed(small_blocks(small).unionByName(blocks), sets, percent)
     links = scratch.pin(links.unionByName(more), "links2")
     scratch.drop("sets", "nodes", "crowd", "more_nodes", "more_crowd", "small", "small2", "large2")

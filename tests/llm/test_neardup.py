@@ -120,6 +120,28 @@ def test_classes_of_large_nodes_meet_in_further_trees(spark, monkeypatch):
         assert (1 - j) ** neardup.TREES + (1 - j**neardup.DEPTH) ** (neardup.TREES + neardup.FURTHER) < least
 
 
+def test_the_filter_keeps_all_links():
+    """Pairs at the threshold, of all sizes and each with its own tokens, among rows that ask and rows that do not."""
+    rng = np.random.default_rng(5)
+    sets, labels = [], []
+    for k in range(1500):
+        both = 4 * int(rng.integers(1, 30))  # 80 percent: one token of its own for each four in common
+        own = rng.integers(0, 1 << 63, both + both // 4).astype(np.uint64) * np.uint64(2)
+        cut = int(rng.integers(0, both // 4 + 1))
+        sets += [own[: both + cut], np.concatenate([own[:both], own[both + cut :]])]
+    sizes = np.array([len(s) for s in sets])
+    sketch = neardup.sketches(np.concatenate(sets), sizes)
+    assert [len(x) for x in sketch] == [max(8, 1 << int(2 * n - 1).bit_length()) // 8 for n in sizes.tolist()]
+    for a in range(0, len(sets), 2):
+        at, pair = np.arange(a, a + 2), [[True, True], [True, False], [False, True], [False, False]][a // 2 % 4]
+        near = neardup.with_partner(sizes[at], [sketch[i] for i in at], at, np.array(pair), 80)
+        assert near.tolist() == [any(pair)] * 2
+    far = [rng.integers(0, 1 << 63, 300).astype(np.uint64) * np.uint64(2) for _ in range(50)]
+    far += [np.concatenate([far[0][:200], far[1][:100]])]
+    n = np.array([len(s) for s in far])
+    assert not neardup.with_partner(n, neardup.sketches(np.concatenate(far), n), np.arange(51), np.ones(51, bool), 80).any()
+
+
 def test_defined_cases(spark):
     long = " ".join(f"w{i}" for i in range(60_000))
     rows = [(None, "a b c d"), (None, "a b c d"), (1, None), (2, ""), (3, " \n"), (4, "a b"), (5, "A B"), (6, long), (7, long + " x"), (8, "a b c d"), (9, "a b c d"), (9, "q r s t"), (10, "q r s t"), (11, "q r s t")]
