@@ -32,6 +32,15 @@ from driftwatch.llm.common import rekeyed
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "secret")
 BASE = KINDS[:4]
 
+#: Characters of an IBAN after country code and check digits, by country.
+IBAN_REST = {
+    11: "NO", 12: "BE", 14: "DK FI FK FO GL NL SD", 15: "MK SI", 16: "AT BA EE KZ LT LU MN XK", 17: "CH HR LI LV",
+    18: "BG BH CR DE GB GE IE ME RS VA", 19: "AE GI IL IQ OM SO TL", 20: "AD CZ ES MD PK RO SA SE SK TN VG", 21: "LY PT ST",
+    22: "IS TR", 23: "BI DJ FR GR IT MC MR SM", 24: "AL AZ BY CY DO GT HN HU LB NI PL SV", 25: "BR EG PS QA UA", 26: "JO KW MU YE",
+    27: "MT SC", 28: "LC", 29: "RU",
+}
+_IBANS = "|".join(rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n}}}+(?![A-Za-z0-9])" for n, c in IBAN_REST.items())
+
 _LOCAL = "A-Za-z0-9._%+-"
 PATTERNS = {
     "email": rf"(?:(?<![{_LOCAL}])|\G)[{_LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -39,7 +48,8 @@ PATTERNS = {
     # a maximal run of 12 to 19 digits with single separators, and no other run
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){11,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    # of the country's length, so that what follows a space is not taken in; then without spaces; then any (other codes)
+    "iban": rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{_IBANS}|[A-Z0-9]{{15,34}}+(?![A-Za-z0-9])|[A-Z0-9]{{4}}(?:\x20?[A-Z0-9]){{11,30}}+(?![A-Za-z0-9]))",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "secret": r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|[0-9a-f]{40})(?![A-Za-z0-9])",
 }

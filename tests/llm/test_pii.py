@@ -71,6 +71,15 @@ def test_added_kinds_and_context(spark):
     assert got == {1: "iban:5:32", 2: "", 3: "ssn:4:15", 4: "", 5: "secret:6:26"}
 
 
+def test_ibans_before_words_and_numbers(spark):
+    ibans = ["DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "FR1420041010050500013M02606", "NO93 8601 1117 947"]
+    after = [" Bank", " Please", " EUR 500", " 500", " DE", " AB12 X", ".", "", "\nKonto"]
+    rows = [(i, f"é {x}{y}") for i, (x, y) in enumerate((x, y) for x in ibans for y in after)]
+    got = {r.doc_id: r.spans for r in pii_digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        assert f"iban:2:{2 + len(ibans[i // len(after)])}" in got[i].split(","), (text, got[i])
+
+
 def test_nulls_repeats_and_clashing_columns(spark):
     rows = [(None, "a@b.cc", "x"), (7, "a@b.cc", None), (7, "a@b.cc", None), (8, None, "y")]
     got = pii_digest(spark.createDataFrame(rows, "doc_id long, text string, found string")).collect()
