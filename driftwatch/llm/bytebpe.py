@@ -34,7 +34,7 @@ PIECE = 1 << 16
 RUN = 1 << 12
 
 # The characters that ``\s`` means, and letters, digits and marks whose classes no version of Unicode changes.
-_WHITE = "\t-\r \x85\xa0  -     　"
+_WHITE = "".join(map(chr, [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 _LETTER = "A-Za-zぁ-ゖァ-ヺ一-龥가-힣"
 _DIGIT = "0-9"
 _MARK = "!-/:-@\\[-`{-~、。「」！，？"
