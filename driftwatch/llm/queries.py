@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from driftwatch.llm import bytebpe, langid, lines, mixing, neardup, packing, pii, sharding, spotsigs, substrings, topk
+from driftwatch.llm import bytebpe, langid, lines, mixing, neardup, packing, pii, repair, sharding, spotsigs, substrings, topk
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -74,3 +74,8 @@ def op6_bucket_refinement(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.codec_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@registered
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(table(spark, sf_dir, "conversations"))
