@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from driftwatch.llm import bytebpe, langid, lines, mixing, neardup, packing, pii, repair, sharding, spotsigs, substrings, topk
+from driftwatch.llm import bytebpe, langid, lines, mixing, neardup, packing, pii, repair, sharding, spotsigs, substrings, topk, trie
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -79,3 +79,8 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(table(spark, sf_dir, "conversations"))
+
+
+@registered
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
