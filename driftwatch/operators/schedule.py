@@ -100,6 +100,8 @@ def v1_dates(setup_v1: DataFrame) -> DataFrame:
     """The schedule's dates as dates, also where they were written as text."""
     out = setup_v1
     for c in ("UPDATE_TABLE_DT", "NEXT_CHECK_DT"):
+        if c not in setup_v1.columns:
+            continue
         if isinstance(setup_v1.schema[c].dataType, T.StringType):
             out = out.withColumn(c, parse_schedule_date(F.col(c)).cast("date"))
         else:

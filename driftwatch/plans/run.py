@@ -4,7 +4,7 @@ The only driver loop is over due (table, interval) rows; each table's data
 work is a Spark job.  ``batch=True`` (default) profiles all due tables and all
 their missed periods in one job (C1 + C2); ``batch=False`` reproduces the
 original's period-by-period loop, each period seeing the previous one's
-stored profile.  Both give the same rows (tests check it).
+profile as it will be stored.  Both give the same rows (tests check it).
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from ..operators.deviations import deviations
 from ..operators.profile import Slice, profile_many, profile_period, to_statistics
 from ..operators.schedule import advanced_states, catch_up, count_due, due_checks
 from ..schemas import LIMITS, METRICS_TABLE, SETUP, STATISTICS
+from ..sources.commit import Folder, Run, recover
 from ..sources.scratch import Scratch
 from ..sources.sinks import align, append, append_path
 
@@ -47,6 +48,14 @@ class Store:
                 return spark.createDataFrame([], schema)  # nothing written yet: an empty table
         return align(spark.table(name), schema)
 
+    def runs(self, spark: SparkSession) -> Folder:
+        """Where runs are staged: beside the rows of the metrics table, in a folder that its readers skip."""
+        at = self.metrics
+        if not self.by_path:
+            about = spark.sql(f"DESCRIBE TABLE EXTENDED {self.metrics}").where("col_name = 'Location'").first()
+            at = about.data_type
+        return Folder(spark, f"{at.rstrip('/')}/_runs")
+
     def append(self, df: DataFrame, which: str) -> None:
         name = getattr(self, which)
         if self.by_path:
@@ -80,12 +89,20 @@ def run_checks(
     """V5: run all due checks as of ``current_date``; returns the number of (table, interval) pairs run.
 
     ``source(name)`` gives a table's DataFrame (default ``spark.table``).  A
-    table that fails leaves the others' results: they are stored and their
+    table that fails (``PySparkException`` or ``ValueError``; any other error
+    ends the run) leaves the others' results: they are stored and their
     schedules advanced, then ``ChecksFailed`` names the failed ones.
+
+    All of a run's rows are staged and its manifest is published before any
+    table is written (``sources/commit.py``).  A run that fails before that
+    leaves nothing behind; one that fails later is finished by the next, which
+    adds only what is missing, so that every row is stored once.
     """
     store = store or Store()
     source = source or spark.table
     stamp = report_dttm or dt.datetime.now()
+    recover_store(spark, store)
+    folder = store.runs(spark)
     due = due_checks(store.read(spark, "setup"), current_date, mode)
     checks = catch_up(due, current_date)
     # one row per due pair: its first and last missed period
@@ -96,52 +113,71 @@ def run_checks(
     if not spans:
         return 0
     errors: dict[str, Exception] = {}
+    run = Run(folder)
 
-    def store_run(current: DataFrame, at: dt.datetime) -> None:
+    def results(current: DataFrame, at: dt.datetime, earlier: DataFrame | None = None) -> dict[str, DataFrame]:
         names = [r.table_name for r in current.select("table_name").distinct().collect()]
         history = store.read(spark, "statistics").where(F.col("table_name").isin(names))
+        if earlier is not None:  # of this run
+            history = history.unionByName(earlier.where(F.col("table_name").isin(names)))
         dev = deviations(current, history, store.read(spark, "limits"), report_dttm=at, templates=templates, default_limit=default_limit)
-        # Deviations read the stored history, so they are written first.
-        store.append(dev, "metrics")
-        store.append(to_statistics(current), "statistics")
+        return {"metrics": align(dev, METRICS_TABLE), "statistics": to_statistics(current)}
 
-    def batch_of(rows: list) -> None:
+    def batch_of(rows: list, part: str) -> None:
         slices = [Slice(source(r.TABLE_NAME), r.TABLE_NAME, r.TABLE_DATE_FIELD, r.INTERVAL_TYPE, r.first_end, r.last_end, r.anchor_end) for r in rows]
-        store_run(profile_many(slices, duplicates=duplicates, report_dttm=stamp), stamp)
+        run.stage(part, results(profile_many(slices, duplicates=duplicates, report_dttm=stamp), stamp))
 
-    def loop_of(rows: list) -> None:
+    def loop_of(rows: list, part: str) -> None:
         own = checks.where(F.col("TABLE_NAME").isin([r.TABLE_NAME for r in rows])).orderBy("TABLE_NAME", "INTERVAL_TYPE", "check_no")
-        for n, c in enumerate(own.toLocalIterator()):
-            # Distinct stamps, a microsecond apart, keep the loop's snapshots ordered like real runs.
-            at = stamp + dt.timedelta(microseconds=n)
-            store_run(profile_period(source(c.TABLE_NAME), c.TABLE_NAME, c.TABLE_DATE_FIELD, c.INTERVAL_TYPE, c.history_end, duplicates=duplicates, report_dttm=at), at)
+        earlier = None
+        before = {t: list(p) for t, p in run.parts.items()}
+        try:
+            for n, c in enumerate(own.toLocalIterator()):
+                # Distinct stamps, a microsecond apart, keep the loop's snapshots ordered like real runs.
+                at = stamp + dt.timedelta(microseconds=n)
+                current = profile_period(source(c.TABLE_NAME), c.TABLE_NAME, c.TABLE_DATE_FIELD, c.INTERVAL_TYPE, c.history_end, duplicates=duplicates, report_dttm=at)
+                staged = run.stage(f"{part}-{n}", results(current, at, earlier))["statistics"]
+                earlier = staged if earlier is None else earlier.unionByName(staged)
+        except BaseException:
+            run.parts = before  # a table is stored whole or not at all
+            raise
 
     tables: dict[str, list] = {}
     for r in spans:
         tables.setdefault(r.TABLE_NAME, []).append(r)
     done = False
     if batch:
-        try:  # all tables in one job; nothing is stored before the profile is there
-            batch_of(spans)
+        try:  # all tables in one job
+            batch_of(spans, "all")
             done = True
         except (PySparkException, ValueError) as e:
             if len(tables) == 1:
                 errors[spans[0].TABLE_NAME] = e
                 done = True
     if not done:  # table by table, so that one failure is one table's
-        for name, rows in tables.items():
+        for k, (name, rows) in enumerate(tables.items()):
             try:
-                (batch_of if batch else loop_of)(rows)
+                (batch_of if batch else loop_of)(rows, f"table{k}")
             except (PySparkException, ValueError) as e:
                 errors[name] = e
     ok = [name for name in tables if name not in errors]
     if ok:
-        store.append(advanced_states(due.where(F.col("TABLE_NAME").isin(ok)), current_date), "setup")
+        run.stage("next", {"setup": align(advanced_states(due.where(F.col("TABLE_NAME").isin(ok)), current_date), SETUP)})
+        run.publish()
+        run.apply(store.append)
+    else:
+        run.drop()
     if errors:
         raise ChecksFailed(errors)
     return len(spans)
 
 
+def recover_store(spark: SparkSession, store: Store | None = None) -> list[str]:
+    """Finish runs that were published but not stored whole; ``run_checks`` does so first."""
+    store = store or Store()
+    return recover(store.runs(spark), store.append, lambda which: store.read(spark, which))
+
+
 def checked_tables(spark: SparkSession, current_date: dt.date, store: Store | None = None, mode: str = "latest") -> DataFrame:
     """How many (table, interval) pairs are due in the stored schedule."""
     return count_due((store or Store()).read(spark, "setup"), current_date, mode)

@@ -20,8 +20,9 @@ def _norm(v):
 
 
 def test_keys_match():
-    assert set(E.queries()) == set(E.oracle_sql())
-    assert len(E.queries()) >= 20
+    core = set(E.Q.REGISTRY)  # the corpus operators' keys have tests of their own
+    assert core == set(E.oracle_sql()) & core and set(E.oracle_sql()) <= set(E.queries())
+    assert len(core) >= 40
 
 
 def test_entry_smoke(spark):

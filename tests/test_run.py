@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from driftwatch.plans.run import Store, checked_tables, run_checks
@@ -72,8 +73,6 @@ def test_run_v1(spark):
 
 
 def test_one_failing_table_leaves_the_others_stored_and_advanced(spark, workdir):
-    import pytest
-
     from driftwatch.plans.run import ChecksFailed
 
     store = _store(workdir)
@@ -120,3 +119,72 @@ def test_schedule_queries_have_no_nested_loop_join(spark):
     for name in ("fresh_tables", "schedule_advance_v1"):
         plan = Q.REGISTRY[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+TABLES = ["metrics", "statistics", "setup"]
+
+
+class Failing(Store):
+    """Fails once, before or after it appends to a table."""
+
+    at: tuple | None = None
+
+    def append(self, df, which):
+        if self.at == (which, "before"):
+            self.at = None
+            raise OSError("store lost")
+        super().append(df, which)
+        if self.at == (which, "after"):
+            self.at = None
+            raise OSError("store lost")
+
+
+@pytest.mark.parametrize("which,when,batch", [*((t, w, True) for t in TABLES for w in ("before", "after")), ("statistics", "before", False)])
+def test_a_failed_append_is_finished_by_the_next_run(spark, workdir, which, when, batch):
+    store = Failing(*(os.path.join(workdir, n) for n in ("setup", "stats", "limits", "metrics")), by_path=True)
+    spark.createDataFrame([("events", "ts", D(2024, 1, 15), "week")], SETUP).write.parquet(store.setup)
+    store.at = (which, when)
+    with pytest.raises(OSError):
+        run_checks(spark, D(2024, 1, 22), store=store, source=_source(spark), batch=batch, report_dttm=dt.datetime(2024, 1, 22))
+    assert run_checks(spark, D(2024, 1, 22), store=store, source=_source(spark), batch=batch, report_dttm=dt.datetime(2024, 1, 23)) == 0
+    for table in ("metrics", "statistics"):
+        rows = store.read(spark, table)
+        assert rows.count() == rows.dropDuplicates(["table_name", "column_name", "end_of_calculation_period"]).count() == 10
+        assert rows.where("report_dttm >= '2024-01-23'").count() == 0  # the first run's rows, not a second run's
+    assert sorted((r.NEXT_CHECK_DT for r in store.read(spark, "setup").collect())) == [D(2024, 1, 15), D(2024, 1, 29)]
+    assert store.runs(spark).names() == []
+
+
+def test_a_run_that_fails_before_its_manifest_leaves_nothing(spark, workdir, monkeypatch):
+    from driftwatch.sources.commit import Run
+
+    store = _store(workdir)
+    spark.createDataFrame([("events", "ts", D(2024, 1, 22), "week")], SETUP).write.parquet(store.setup)
+
+    def lost(self):
+        raise OSError("store lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(Run, "publish", lost)
+        with pytest.raises(OSError):
+            run_checks(spark, D(2024, 1, 22), store=store, source=_source(spark))
+    assert store.read(spark, "metrics").count() == store.read(spark, "statistics").count() == 0
+    assert run_checks(spark, D(2024, 1, 22), store=store, source=_source(spark)) == 1
+    assert store.read(spark, "metrics").count() == 5 and store.runs(spark).names() == []
+
+
+def test_catalog_store_runs_and_recovers(spark, workdir):
+    from driftwatch.sources.sinks import append, create_tables
+
+    names = create_tables(spark, location=workdir)
+    try:
+        store = Failing()
+        append(spark.createDataFrame([("events", "ts", D(2024, 1, 22), "week")], SETUP), "dq_setup_table")
+        store.at = ("statistics", "after")
+        with pytest.raises(OSError):
+            run_checks(spark, D(2024, 1, 22), store=store, source=_source(spark))
+        assert run_checks(spark, D(2024, 1, 22), store=store, source=_source(spark)) == 0
+        assert spark.table("dq_metrics").count() == spark.table("dq_table_statistics").count() == 5 and spark.table("dq_setup_table").count() == 2
+    finally:
+        for n in names:
+            spark.sql(f"DROP TABLE IF EXISTS {n}")
