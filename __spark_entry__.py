@@ -134,7 +134,7 @@ def _period(date_field: str | None, interval: str | None) -> tuple[str, str]:
 
 def _profile_sql(
     table: str, date_field: str | None = None, interval: str | None = None, rule: str = "v2", dups: bool = False,
-    source: str | None = None, label: str | None = None,
+    source: str | None = None, label: str | None = None, scale6: bool = False,
 ) -> str:
     """One SELECT per column (UNION ALL) with stored values and working values (w_*).
 
@@ -169,7 +169,13 @@ def _profile_sql(
                 f", {_python_round(med)} AS median_value"
                 f", {_python_round(f'CAST({q10} AS DOUBLE) / 10000000000.0')} AS average_value"
                 f", {_python_round(f'sum({v})')} AS sum_of_values"
-                f", CAST(min({v}) AS DOUBLE) AS w_minimum_value, CAST(max({v}) AS DOUBLE) AS w_maximum_value"
+                + (
+                    f", CAST(min({v}) AS DOUBLE) AS s_minimum_value, CAST(max({v}) AS DOUBLE) AS s_maximum_value"
+                    f", CAST(CAST({med} AS DECIMAL(38,6)) AS DOUBLE) AS s_median_value"
+                    f", CAST({_half_up_div(q10, '10000')} AS DOUBLE) / 1000000.0 AS s_average_value, CAST(sum({v}) AS DOUBLE) AS s_sum_of_values"
+                    if scale6 else ""
+                )
+                + f", CAST(min({v}) AS DOUBLE) AS w_minimum_value, CAST(max({v}) AS DOUBLE) AS w_maximum_value"
                 f", {med} AS w_median_value, CAST({q10} AS DOUBLE) / 10000000000.0 AS w_average_value"
                 f", CAST(sum({v}) AS DOUBLE) AS w_sum_of_values"
             )
@@ -177,7 +183,7 @@ def _profile_sql(
             nul = "CAST(NULL AS DOUBLE)"
             body = f", CAST(count(DISTINCT {c}) AS BIGINT) AS distinct_values_cnt" + "".join(
                 f", {nul} AS {m}" for m in VALUE_METRICS
-            ) + "".join(f", {nul} AS w_{m}" for m in VALUE_METRICS)
+            ) + "".join(f", {nul} AS s_{m}" for m in VALUE_METRICS if scale6) + "".join(f", {nul} AS w_{m}" for m in VALUE_METRICS)
         parts.append(f"{head}{body}, __pe FROM {src} GROUP BY __pe")
     union = " UNION ALL ".join(parts)
     if not dups:
@@ -213,9 +219,9 @@ def _delta(cur: str, prev: str, v1: bool = False) -> str:
     )
 
 
-def _joined(profile: str) -> str:
+def _joined(profile: str, scale6: bool = False) -> str:
     """Current rows with the previous snapshot's stored values (prev_*) and its end."""
-    prev_cols = ", ".join(f"CAST(pv.{m} AS DOUBLE) AS prev_{m}" for m in METRICS)
+    prev_cols = ", ".join(f"CAST(pv.{'s_' if scale6 and m in VALUE_METRICS else ''}{m} AS DOUBLE) AS prev_{m}" for m in METRICS)
     return (
         f"WITH p AS ({profile}), "
         "snaps AS (SELECT DISTINCT table_name, interval_type, end_of_calculation_period AS e FROM p), "
@@ -233,8 +239,8 @@ def _numtext(x: str) -> str:
     return f"regexp_replace(CAST(CAST({x} AS DECIMAL(38,2)) AS VARCHAR), '0$', '')"
 
 
-def _deviations_sql(profile: str, limits: str | None = None, v1: bool = False) -> str:
-    j = _joined(profile)
+def _deviations_sql(profile: str, limits: str | None = None, v1: bool = False, scale6: bool = False) -> str:
+    j = _joined(profile, scale6)
     if limits:
         lim_cols = ", ".join(f"coalesce(lm.{m}_limit, CAST(10 AS DECIMAL(19,2))) AS lim_{m}" for m in METRICS)
         base = (
@@ -473,6 +479,20 @@ def oracle_sql() -> dict[str, str]:
         "(SELECT * FROM events WHERE CAST(ts AS DATE) IN (SELECT CAST(ts AS DATE) + 3 FROM events WHERE CAST(ts AS DATE) <= (SELECT max(CAST(ts AS DATE)) FROM events)))"
     )
     sql["run_v1_days"] = _deviations_sql(_profile_sql("events", "ts", "day", rule="source", source=checked), v1=True)
+    weeks_1 = f"SELECT * FROM ({_deviations_sql(week_events)}) w WHERE end_of_calculation_period <= DATE '2024-01-14'"
+    weeks_2 = f"SELECT * FROM ({_deviations_sql(week_events)}) w WHERE end_of_calculation_period <= DATE '2024-01-28'"
+    sql["run_checks"] = f"SELECT * FROM ({weeks_2}) e UNION ALL SELECT * FROM ({_deviations_sql(month)}) l"
+    sql["run_checks_recovered"] = (
+        "SELECT table_name, column_name, interval_type, end_of_calculation_period, CAST(1 AS BIGINT) AS in_metrics, CAST(1 AS BIGINT) AS in_statistics "
+        f"FROM (SELECT * FROM ({weeks_1}) e UNION ALL SELECT * FROM ({_deviations_sql(month)}) l) r"
+    )
+    sql["profile_from_days"] = _stored(month)
+    sql["profile_schedules"] = " UNION ALL ".join(_stored(_profile_sql("events", "ts", i, dups=True)) for i in ("day", "week", "month"))
+    sql["profile_text_dates"] = (
+        "SELECT * FROM (" + _stored(_profile_sql("lineitem", "l_shipdate", "month", source="(SELECT * FROM lineitem WHERE l_orderkey % 5 <> 2)"))
+        + ") s WHERE end_of_calculation_period = DATE '1996-02-29'"
+    )
+    sql["deviations_week_scale6"] = _deviations_sql(_profile_sql("events", "ts", "week", scale6=True), scale6=True)
     sql["day_view"] = "SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS report_date, * FROM events"
     sql["table_freshness"] = " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, max({f}) AS last_value, max(CAST({f} AS DATE)) AS last_day FROM {t}" for t, f in DATED.items()

@@ -48,13 +48,17 @@ TEMPLATES_EN = {
 WORK_DECIMAL = "decimal(38,6)"
 MEAN_DECIMAL = "decimal(38,10)"
 STORE_DECIMAL = "decimal(38,2)"
+STORE_DECIMAL_6 = "decimal(38,6)"  # M5 option: the previous value keeps the working precision
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder: ``spark.checkpoint.dir`` (shared by all executors), or a temporary one where that is unset."""
+    """The session's checkpoint folder: ``spark.checkpoint.dir`` (shared by all executors), or a temporary one on a local master that sets none."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="driftwatch-scratch-"))
+        found = spark.conf.get("spark.checkpoint.dir", None)
+        if not found and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(found or tempfile.mkdtemp(prefix="driftwatch-scratch-"))
     return sc.getCheckpointDir()
 
 

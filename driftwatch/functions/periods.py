@@ -132,3 +132,42 @@ def slice_day(c: Column, dtype) -> Column:
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return F.to_date(c)
     return F.try_to_date(c.cast("string"))
+
+
+def text_day_range(c: Column, lo: dt.date, hi: dt.date) -> Column:
+    """Holds for every text that ``slice_day`` takes for a day from lo to hi, and for few others; made of comparisons that a scan takes.
+
+    A day's text is ``y-m-d``, ``y-m`` or ``y`` with or without leading zeros of month and day, and with anything after it; what may stand before
+    it (white space, control characters, a sign, zeros) sorts before ``1`` or after ``~``.
+    """
+    if not 1000 <= lo.year <= hi.year <= 9999:
+        return F.lit(True)
+    between = lambda a, b: (c >= F.lit(a)) & (c < F.lit(b))
+    if lo.year < hi.year:
+        inside = between(str(lo.year), str(hi.year + 1) if hi.year < 9999 else ":")
+    else:
+        y, a, b = lo.year, lo.month, hi.month
+        inside = between(f"{y}" if a == 1 else f"{y}-{a:02d}", f"{y}-{b + 1:02d}")
+        if a <= 9:
+            inside = inside | between(f"{y}-{a}", f"{y}-{b + 1}" if b < 9 else f"{y}-:")
+    return inside | (c < F.lit("1")) | (c >= F.lit("\x7f"))
+
+
+# -- D4 without a fold ---------------------------------------------------------
+def v1_nth(start: Column, k: Column, interval: str) -> Column:
+    """The date after ``k`` v1 steps from ``start``.
+
+    A step of a month's length keeps the day of the month until the next month is shorter than that; then it carries over once, to the
+    1st, 2nd or 3rd of the month after, which every month has.  That month is at most 24 months off (a February without the 29th).
+    """
+    interval = normalise_interval(interval)
+    if interval == "day":
+        return F.date_add(start, k)
+    if interval == "week":
+        return F.date_add(start, k * 7)
+    first, dom = F.trunc(start, "MM"), F.dayofmonth(start)
+    length = lambda j: F.dayofmonth(F.last_day(F.add_months(first, j)))
+    carry = F.get(F.filter(F.sequence(F.lit(1), F.lit(24)), lambda j: length(j) < dom), F.lit(0))
+    plain = F.date_add(F.add_months(first, k), dom - 1)
+    carried = F.date_add(F.add_months(first, k + 1), dom - length(carry) - 1)
+    return F.when(carry.isNull() | (k < carry), plain).otherwise(carried)

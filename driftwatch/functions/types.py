@@ -67,3 +67,8 @@ def text_value(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, _NESTED):
         return F.to_json(_canonical(c, dtype), {"ignoreNullFields": "false"})
     return c.cast("string")
+
+
+def text_key(text: Column) -> Column:
+    """The text's bytes, or the SHA-256 of a long one; with the length beside it, the key of the text."""
+    return F.when(F.octet_length(text) <= 32, F.encode(text, "UTF-8")).otherwise(F.unhex(F.sha2(text, 256)))

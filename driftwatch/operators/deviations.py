@@ -28,9 +28,10 @@ def _deviation_frame(
     templates: dict,
     default_limit,
     null_prev_zero_cur: float | None,
+    store_scale: int = 2,
 ) -> DataFrame:
     """All deviation columns (deltas, flags, text) next to the joined rows."""
-    rows = apply_limits(join_previous(current, history), limits, default_limit)
+    rows = apply_limits(join_previous(current, history, store_scale), limits, default_limit)
     zero, tmpl_delta, dup_text, sep = templates["zero"], templates["delta"], templates["duplicates"], templates["sep"]
     out = rows
     parts, flags = [], []
@@ -78,14 +79,16 @@ def deviations(
     templates: dict = TEMPLATES_RU,
     default_limit=DEFAULT_LIMIT_PCT,
     null_prev_zero_cur: float | None = None,
+    store_scale: int = 2,
 ) -> DataFrame:
     """Rows of ``dq_metrics`` for every row of ``current`` (any number of periods).
 
     ``current``: working-precision profile rows.  ``history``: stored
     ``dq_table_statistics`` rows (may be empty).  ``limits``: rows of
-    ``dq_deviations_setup`` (may be None).  A lazy plan over ``current``; no collect.
+    ``dq_deviations_setup`` (may be None).  ``store_scale``: decimal places of
+    stored values (M5; with 6 an unchanged small mean is no deviation).  A lazy plan over ``current``; no collect.
     """
-    out = _deviation_frame(current, history, limits, templates, default_limit, null_prev_zero_cur)
+    out = _deviation_frame(current, history, limits, templates, default_limit, null_prev_zero_cur, store_scale)
     return out.select(*_metrics_columns(out, report_dttm or dt.datetime.now()))
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import METRICS
-from ..schemas import STATISTICS
+from ..schemas import STATISTICS, statistics_schema
 from .profile import to_statistics
 
 SNAPSHOT = ["table_name", "interval_type", "end_of_calculation_period", "report_dttm"]
@@ -76,18 +76,19 @@ def _null_safe(keys: list[str], left: DataFrame, right: DataFrame) -> Column:
     return cond
 
 
-def join_previous(current: DataFrame, history: DataFrame | None = None) -> DataFrame:
+def join_previous(current: DataFrame, history: DataFrame | None = None, store_scale: int = 2) -> DataFrame:
     """J1 over any number of snapshots: current rows plus ``prev_<metric>``.
 
-    Previous values are the stored ones (decimal(19,2)) as doubles (M5); the
+    Previous values are the stored ones (two decimal places, or ``store_scale``) as doubles (M5); the
     join on (table, column, id, type, comment) is NULL-safe (N4), so a column
     without a comment still finds its previous value.
     """
     spark = current.sparkSession
-    history = history if history is not None else spark.createDataFrame([], STATISTICS)
-    stored = history.select(*[f.name for f in STATISTICS.fields])
+    schema = statistics_schema(store_scale)
+    history = history if history is not None else spark.createDataFrame([], schema)
+    stored = history.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     # Earlier periods of this batch count as stored history, rounded as stored.
-    pool = stored.unionByName(to_statistics(current))
+    pool = stored.unionByName(to_statistics(current, store_scale))
     links = snapshot_links(current, pool)
     links = links.select(*[F.col(c).alias(f"__{c}") for c in SNAPSHOT], "prev_end", "prev_dttm")
     cond = F.lit(True)

@@ -3,13 +3,18 @@
 Plan (two-level aggregate, one scan):
 
     scan -> where(slice) -> unpivot to (period, table, column, value)
-         -> groupBy(period, column, raw value)    combined map-side
+         -> groupBy(period, column, raw value)    combined map-side; long texts by their digests
          -> groupBy(period, column, decimal)      combined map-side; texts end here as one row of counts
          -> range partitions of the decimals, written once to the shared folder
          -> groupBy(period, column)               algebraic metrics
          -> exact distributed median (median.py)  from the decimals' frequencies
          -> join on (period, column)
 
+Several schedules of one table share one scan: its values are counted by day
+first, and each day's counts are expanded to all periods that hold the day
+(``value_counts``, ``_merged_days``).  The same counts by day can be stored
+and merged later, without the rows (``operators/state.py``).
+
 There is one plan for every size.  A value held by a third of all rows is
 combined before the first shuffle, and so are raw values that round alike
 before the range exchange; nothing is collected to the driver.
@@ -22,11 +27,11 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..config import MEAN_DECIMAL, STORE_DECIMAL, WORK_DECIMAL, shuffle_partitions
+from ..config import MEAN_DECIMAL, STORE_DECIMAL, STORE_DECIMAL_6, WORK_DECIMAL, shuffle_partitions
 from ..functions.deltas import python_round_2
-from ..functions.periods import normalise_interval, python_bounds, row_period_end, slice_day
-from ..functions.types import median_value, numeric_value, text_value
-from ..schemas import STATISTICS
+from ..functions.periods import normalise_interval, python_bounds, row_period_end, slice_day, text_day_range
+from ..functions.types import median_value, numeric_value, text_key, text_value
+from ..schemas import STATISTICS, statistics_schema
 from ..sources.scratch import Scratch
 from .median import median_of_ranged
 from .structure import ColumnSpec, table_structure
@@ -47,6 +52,23 @@ DEFAULT_WEEK_ANCHOR = dt.date(1970, 1, 4)
 KEYS = ["pe", "tid", "cid"]  # period end, table index, column id
 
 
+def by_day(df: DataFrame, date_field: str, lo: dt.date | None = None, hi: dt.date | None = None) -> DataFrame:
+    """the rows of the days lo to hi, with ``__day``.
+
+    A day written as text is tested exactly, behind a range on the text itself that holds every such day and reaches the scan.
+    """
+    dtype = df.schema[date_field].dataType
+    day = slice_day(_q(date_field), dtype)
+    cond = day.isNotNull()
+    if isinstance(dtype, T.StringType) and lo is not None and hi is not None:
+        cond = text_day_range(_q(date_field), lo, hi) & cond
+    if lo is not None:
+        cond = cond & (day >= F.lit(lo))
+    if hi is not None:
+        cond = cond & (day <= F.lit(hi))
+    return df.where(cond).withColumn("__day", day)
+
+
 @dataclass
 class Slice:
     """One table to profile: whole (no date field) or by day/week/month periods.
@@ -63,24 +85,29 @@ class Slice:
     last_end: dt.date | None = None
     anchor_end: dt.date | None = None
     column_id: str = "v2"
+    #: Counts by day (``operators/state.py``) to merge, in place of the rows of ``df``, which then gives the columns only.
+    state: DataFrame | None = None
     specs: list = field(default_factory=list)
 
-    def prepare(self) -> DataFrame:
+    def describe(self) -> None:
         self.specs = table_structure(self.df.schema, self.date_field, self.column_id)
         if not self.specs:
             raise ValueError(f"{self.table_name}: no column to profile")
+        self.interval_type = None if self.date_field is None else normalise_interval(self.interval_type)
+
+    def bounds(self) -> tuple[dt.date | None, dt.date | None]:
+        """First and last day."""
+        lo = None if self.first_end is None else python_bounds(self.first_end, self.interval_type)[0]
+        return lo, None if self.last_end is None else python_bounds(self.last_end, self.interval_type)[1]
+
+    def period_of(self, day: Column) -> Column:
+        return row_period_end(day, self.interval_type, self.anchor_end or self.first_end or DEFAULT_WEEK_ANCHOR)
+
+    def prepare(self) -> DataFrame:
+        self.describe()
         if self.date_field is None:
-            self.interval_type = None
             return self.df.withColumn("__pe", F.lit(None).cast("date"))
-        self.interval_type = normalise_interval(self.interval_type)
-        day = slice_day(_q(self.date_field), self.df.schema[self.date_field].dataType)
-        cond = day.isNotNull()
-        if self.first_end is not None:
-            cond = cond & (day >= F.lit(python_bounds(self.first_end, self.interval_type)[0]))
-        if self.last_end is not None:
-            cond = cond & (day <= F.lit(python_bounds(self.last_end, self.interval_type)[1]))
-        anchor = self.anchor_end or self.first_end or DEFAULT_WEEK_ANCHOR
-        return self.df.where(cond).withColumn("__pe", row_period_end(day, self.interval_type, anchor))
+        return by_day(self.df, self.date_field, *self.bounds()).withColumn("__pe", self.period_of(F.col("__day"))).drop("__day")
 
     def start_of(self, pe: Column) -> Column:
         if self.interval_type is None:
@@ -91,25 +118,29 @@ class Slice:
 def _raw(c: Column, spec: ColumnSpec) -> list[Column]:
     """The column's value in cheap, exactly-typed slots: double, bigint, working decimal, text; and whether there is one.
 
-    A decimal is its working decimal and its truncation, all that any metric uses of it.
+    A decimal is its working decimal and its truncation, all that any metric uses of it.  A text is its length and its bytes, a long one
+    its length and its digest: whole texts are not shuffled, and texts that share a digest would have to share their length too.
     """
     nul = lambda t: F.lit(None).cast(t)
-    rd, rl, rx, rs = nul("double"), nul("bigint"), nul(WORK_DECIMAL), nul("string")
+    rd, rl, rx, rs, rn = nul("double"), nul("bigint"), nul(WORK_DECIMAL), nul("binary"), nul("int")
     if spec.klass == "text":
-        rs = text_value(c, spec.dtype)
+        text = text_value(c, spec.dtype)
+        rs, rn = text_key(text), F.octet_length(text)
     elif isinstance(spec.dtype, (T.DoubleType, T.FloatType)):
         rd = c.cast("double")
     elif isinstance(spec.dtype, T.DecimalType):
         rl, rx = median_value(c), numeric_value(c)
     else:
         rl = c.cast("bigint")
-    return [x.alias(n) for n, x in zip(RAW, (rd, rl, rx, rs, c.isNotNull()))]
+    return [x.alias(n) for n, x in zip(RAW, (rd, rl, rx, rs, rn, c.isNotNull()))]
 
 
-RAW = ["rd", "rl", "rx", "rs", "rp"]
+RAW = ["rd", "rl", "rx", "rs", "rn", "rp"]
+#: What is known of a value beside its keys: how many rows hold it, how many are no null, how many have a truncation, and how many its own.
+PARTIALS = ["n", "np", "nbm", "nb"]
 
 
-def _long(sliced: DataFrame, specs: list[ColumnSpec], t: int) -> DataFrame:
+def _long(sliced: DataFrame, specs: list[ColumnSpec], t: int, period: str = "__pe") -> DataFrame:
     """Unpivot (Expand) to one row per (row, column) with the raw value in its slot.
 
     The period and the keys travel inside the struct, so after the Expand
@@ -117,31 +148,67 @@ def _long(sliced: DataFrame, specs: list[ColumnSpec], t: int) -> DataFrame:
     """
     structs = []
     for s in specs:
-        keys = [F.col("__pe").alias("pe"), F.lit(t).cast("int").alias("tid"), F.lit(s.column_id).cast("int").alias("cid")]
+        keys = [F.col(period).alias("pe"), F.lit(t).cast("int").alias("tid"), F.lit(s.column_id).cast("int").alias("cid")]
         dec = [F.lit(isinstance(s.dtype, T.DecimalType)).alias("dec")]
         structs.append(F.struct(*keys, *_raw(_q(s.name), s), *dec).alias(f"c{s.column_id}"))
     wide = sliced.select(*structs)
     return wide.unpivot([], [f"c{s.column_id}" for s in specs], "__k", "__s").select("__s.*")
 
 
-def _levels(long: DataFrame, median_partitions: int, scratch: Scratch) -> DataFrame:
-    """All metrics of the (period, table, column) groups."""
+def _truncations() -> tuple[Column, Column]:
+    """A value v (rounded to 6 dp) holds rows whose bigint truncation is trunc(v) or, for a row just below an integer, one step toward zero."""
+    main = F.col("vn").try_cast("bigint")
+    return main, main - F.signum(F.col("vn")).cast("bigint")
+
+
+def value_counts(long: DataFrame) -> DataFrame:
+    """KEYS, vn (working decimal), rs, rn (text) and PARTIALS of each raw value: additive, so days add up to weeks and months.
+
+    A value may have several rows, one for each raw form.
+    """
     raw = long.groupBy(*KEYS, *RAW, "dec").agg(F.count(F.lit(1)).alias("n"))
-    rd, rl = F.col("rd"), F.col("rl")
+    rd, rl, n = F.col("rd"), F.col("rl"), F.col("n")
     # the working decimal and the truncation, once per distinct raw value
     vn = F.when(F.col("dec"), F.col("rx")).otherwise(F.coalesce(numeric_value(rd), numeric_value(rl)))
-    conv = raw.select(*KEYS, vn.alias("vn"), F.coalesce(median_value(rd), rl).alias("b"), "rs", F.col("rp").alias("p"), "n")
-    # A value v (rounded to 6 dp) holds rows whose bigint truncation is
-    # trunc(v) or, for a row just below an integer, one step toward zero.
-    bm = F.col("vn").try_cast("bigint")
-    alt = bm - F.signum(F.col("vn")).cast("bigint")
-    merged = conv.groupBy(*KEYS, "vn").agg(
-        F.sum("n").alias("n"),
-        F.sum(F.when(F.col("p"), F.col("n")).otherwise(0)).alias("np"),
-        F.sum(F.when(F.col("b") == bm, F.col("n")).otherwise(0)).alias("nbm"),
-        F.sum(F.when(F.col("b").isNotNull(), F.col("n")).otherwise(0)).alias("nb"),
-        F.count("rs").alias("nt"),  # raw rows hold distinct texts
+    conv = raw.select(*KEYS, vn.alias("vn"), F.coalesce(median_value(rd), rl).alias("b"), "rs", "rn", F.col("rp").alias("p"), "n")
+    main, _ = _truncations()
+    return conv.select(
+        *KEYS, "vn", "rs", "rn", "n",
+        F.when(F.col("p"), n).otherwise(0).alias("np"),
+        F.when(F.col("b") == main, n).otherwise(0).alias("nbm"),
+        F.when(F.col("b").isNotNull(), n).otherwise(0).alias("nb"),
     )
+
+
+def _sums() -> list[Column]:
+    return [F.sum(c).alias(c) for c in PARTIALS]
+
+
+def _merged(values: DataFrame) -> DataFrame:
+    """One row per decimal; all texts of a group become one row with their number (``values`` holds each text of a group once)."""
+    return values.groupBy(*KEYS, "vn").agg(*_sums(), F.count("rs").alias("nt"))
+
+
+def _merged_days(days: DataFrame, slices: list[tuple[int, Slice]]) -> DataFrame:
+    """Counts by day (``pe``, of any ``tid``) to those of all periods of ``slices``, (index, slice) pairs of one table."""
+    day = F.col("pe")
+    periods = []
+    for t, sl in slices:
+        lo, hi = sl.bounds()
+        inside = F.lit(True)
+        if lo is not None:
+            inside = inside & (day >= F.lit(lo))
+        if hi is not None:
+            inside = inside & (day <= F.lit(hi))
+        periods.append(F.when(inside, F.struct(F.lit(t).cast("int").alias("tid"), sl.period_of(day).alias("pe"))))
+    each = days.withColumn("__p", F.explode(F.filter(F.array(*periods), lambda p: p.isNotNull())))
+    each = each.select("__p.pe", "__p.tid", "cid", "vn", "rs", "rn", *PARTIALS)
+    return _merged(each.groupBy(*KEYS, "vn", "rs", "rn").agg(*_sums()))
+
+
+def _levels(merged: DataFrame, median_partitions: int, scratch: Scratch) -> DataFrame:
+    """All metrics of the (period, table, column) groups, from their decimals."""
+    bm, alt = _truncations()
     # Pinned with the partition id, so that ids stay the same for both readers
     # and after the loss of an executor.
     ranged = scratch.pin(merged.repartitionByRange(median_partitions, *KEYS, "vn").withColumn("__pid", F.spark_partition_id()), "decimals")
@@ -199,23 +266,54 @@ def _final_levels(joined: DataFrame) -> DataFrame:
     )
 
 
-def source_duplicates(sliced: DataFrame, schema: T.StructType, t: int = 0) -> DataFrame:
+def source_duplicates(sliced: DataFrame, schema: T.StructType, t: int = 0, period: str = "__pe") -> DataFrame:
     """Full duplicate rows of the slice per period: sum(count - 1).
 
-    Grouped by every column, so a heavily repeated row is combined map-side.
+    Rows are counted by a 128-bit digest, combined map-side.  Only the rows whose digest is there more than once are then compared by
+    every column, so that whole rows travel only for candidates (Spark sends few candidates to the rows, and filters the rows of many).
     """
     keys = []
     for f in schema.fields:
         c = _q(f.name)
         keys.append((F.to_json(c) if isinstance(f.dataType, T.MapType) else c).alias(f"k{len(keys)}"))
-    groups = sliced.select(F.col("__pe"), *keys).groupBy("__pe", *[f"k{i}" for i in range(len(keys))]).count()
-    return groups.groupBy("__pe").agg(F.sum(F.col("count") - 1).alias("dublicates_cnt")).withColumn("__t", F.lit(t))
+    names = [f"k{i}" for i in range(len(keys))]
+    rows = sliced.select(F.col(f"`{period}`").alias("__pe"), *keys)
+    digest = [F.xxhash64(F.lit(i), *names).alias(f"__h{i}") for i in (1, 2)]
+    digests = rows.select("__pe", *digest).groupBy("__pe", "__h1", "__h2").count()
+    twice = digests.where(F.col("count") > 1).select(F.col("__pe").alias("__p"), F.col("__h1").alias("__c1"), F.col("__h2").alias("__c2"))
+    same = F.col("__pe").eqNullSafe(F.col("__p")) & (F.col("__h1") == F.col("__c1")) & (F.col("__h2") == F.col("__c2"))
+    candidates = rows.select("*", *digest).join(twice, same, "left_semi").select("__pe", *names)
+    found = candidates.groupBy("__pe", *names).count().select("__pe", (F.col("count") - 1).alias("d"))
+    periods = digests.groupBy("__pe").agg(F.lit(0).cast("long").alias("d"))
+    return periods.unionByName(found).groupBy("__pe").agg(F.sum("d").alias("dublicates_cnt")).withColumn("__t", F.lit(t))
 
 
 def _lookup(pairs: list[tuple], key: Column) -> Column:
     return F.element_at(F.create_map(*[x for k, v in pairs for x in (F.lit(k), v)]), key)
 
 
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for other in frames[1:]:
+        out = out.unionByName(other)
+    return out
+
+
+def _days_between(df: DataFrame, lo: dt.date | None, hi: dt.date | None) -> DataFrame:
+    if lo is not None:
+        df = df.where(F.col("day") >= F.lit(lo))
+    return df if hi is None else df.where(F.col("day") <= F.lit(hi))
+
+
+def _one_scan(slices: list[Slice]) -> list[list[tuple[int, Slice]]]:
+    """The slices with their indices; schedules of the same frame by the same date column stand together."""
+    groups: dict[tuple, list[tuple[int, Slice]]] = {}
+    for t, sl in enumerate(slices):
+        key = (t,) if sl.date_field is None else (id(sl.df), id(sl.state), sl.date_field, sl.column_id)
+        groups.setdefault(key, []).append((t, sl))
+    return list(groups.values())
+
+
 def profile_many(
     slices: list[Slice],
     *,
@@ -227,21 +325,39 @@ def profile_many(
 
     ``duplicates='profile'`` keeps the original's duplicate count over profile
     rows (always 0); ``'source'`` counts full duplicate rows of each slice (A16).
+    Slices that share their DataFrame object and date column are profiled from one scan.
     """
     if not slices:
         raise ValueError("nothing to profile")
     spark = slices[0].df.sparkSession
-    longs, dups = [], []
-    for t, sl in enumerate(slices):
-        sliced = sl.prepare()
-        longs.append(_long(sliced, sl.specs, t))
-        if duplicates == "source":
-            dups.append(source_duplicates(sliced, sl.df.schema, t))
-    long = longs[0]
-    for other in longs[1:]:
-        long = long.unionByName(other)
+    longs, merged, dups = [], [], []
+    for group in _one_scan(slices):
+        (t, first), rest = group[0], group[1:]
+        if not rest and first.state is None:
+            sliced = first.prepare()
+            longs.append(_long(sliced, first.specs, t))
+            if duplicates == "source":
+                dups.append(source_duplicates(sliced, first.df.schema, t))
+            continue
+        for _, sl in group:
+            sl.describe()
+        bounds = [sl.bounds() for _, sl in group]
+        lo, hi = [None if None in side else pick(side) for side, pick in zip(zip(*bounds), (min, max))]
+        rows = by_day(first.df, first.date_field, lo, hi)
+        if first.state is None:
+            days = value_counts(_long(rows, first.specs, t, "__day"))
+        else:
+            days = _days_between(first.state, lo, hi).withColumnRenamed("day", "pe")
+        merged.append(_merged_days(days, group))
+        if duplicates == "source":  # equal rows are of one day
+            days = source_duplicates(rows, first.df.schema, t, "__day")
+            for k, sl in group:
+                own = _days_between(days.withColumnRenamed("__pe", "day"), *sl.bounds()).withColumn("__pe", sl.period_of(F.col("day")))
+                dups.append(own.groupBy("__pe").agg(F.sum("dublicates_cnt").alias("dublicates_cnt")).withColumn("__t", F.lit(k)))
+    if longs:
+        merged.insert(0, _merged(value_counts(_union(longs))))
     with Scratch(spark, "profile") as scratch:
-        levels = _levels(long, median_partitions or shuffle_partitions(spark), scratch)
+        levels = _levels(_union(merged), median_partitions or shuffle_partitions(spark), scratch)
         # The profile is small (periods x columns) and read several times
         # (deviations, history pool, storage): it is pinned, and the decimals
         # that it was computed from are deleted.
@@ -251,10 +367,7 @@ def profile_many(
 def _labelled(levels: DataFrame, slices: list[Slice], dups: list[DataFrame], report_dttm: dt.datetime | None) -> DataFrame:
     """The profile rows: metrics with names, types, comments, periods, duplicates and the run stamp."""
     if dups:
-        dup_df = dups[0]
-        for other in dups[1:]:
-            dup_df = dup_df.unionByName(other)
-        dup_df = dup_df.select(F.col("__t").alias("d__t"), F.col("__pe").alias("d__pe"), "dublicates_cnt")
+        dup_df = _union(dups).select(F.col("__t").alias("d__t"), F.col("__pe").alias("d__pe"), "dublicates_cnt")
         cond = (F.col("tid") == F.col("d__t")) & F.col("pe").eqNullSafe(F.col("d__pe"))
         levels = levels.join(dup_df, cond, "left")
         dup = F.coalesce(F.col("dublicates_cnt"), F.lit(0)).cast("long")
@@ -339,13 +452,13 @@ def sorted_profile(profile: DataFrame) -> DataFrame:
     return profile.orderBy("column_id", "end_of_calculation_period", "interval_type")
 
 
-def to_statistics(profile: DataFrame) -> DataFrame:
-    """M4: the stored form: values rounded as Python rounds floats to two places."""
+def to_statistics(profile: DataFrame, store_scale: int = 2) -> DataFrame:
+    """M4: the stored form: values rounded as Python rounds floats to two places, or (M5) kept to six."""
     cols = []
-    for f in STATISTICS.fields:
+    for f in statistics_schema(store_scale).fields:
         c = F.col(f.name)
         if isinstance(f.dataType, T.DecimalType):
-            c = python_round_2(c).try_cast(STORE_DECIMAL)
+            c = python_round_2(c).try_cast(STORE_DECIMAL) if store_scale == 2 else c.try_cast(STORE_DECIMAL_6)
         else:
             c = c.cast(f.dataType)
         cols.append(c.alias(f.name))

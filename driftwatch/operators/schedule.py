@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ..functions.periods import check_to_end, max_steps, nth_check, parse_schedule_date, period_end, period_start, slice_day, v1_step
+from ..functions.periods import check_to_end, max_steps, nth_check, parse_schedule_date, period_end, period_start, slice_day, v1_nth
 
 
 def _lit_date(d) -> Column:
@@ -138,36 +138,23 @@ def v1_steps(setup_v1: DataFrame, last_day: str = "last_day") -> DataFrame:
     last = F.col(last_day)
     code = F.col("INTERVAL_TERM")
     setup_v1 = v1_dates(setup_v1)
-    start_u, start_c = F.col("UPDATE_TABLE_DT"), F.col("NEXT_CHECK_DT")
-    bound = F.greatest(F.datediff(last, start_u), F.lit(0)) + 1
-
-    def walk(start: Column) -> Column:
-        # Day and week steps are arithmetic; only v1's month step (+ length of
-        # the current month) needs the fold, over at most span / 28 steps.
-        months = F.floor(bound / 28).cast("int") + 1
-        fold = F.aggregate(
-            F.sequence(F.lit(1), months + 1),
-            F.array(start),
-            lambda acc, _: F.concat(acc, F.array(v1_step(F.element_at(acc, -1), 3))),
-        )
-        return (
-            F.when(code == 1, F.sequence(start, F.date_add(start, bound + 1), F.expr("INTERVAL 1 DAY")))
-            .when(code == 2, F.sequence(start, F.date_add(start, (F.floor(bound / 7).cast("int") + 2) * 7), F.expr("INTERVAL 7 DAYS")))
-            .otherwise(fold)
-        )
-
-    walked = setup_v1.withColumn("__u", walk(start_u)).withColumn("__c", walk(start_c))
-    steps = walked.select(
-        "*", F.posexplode(F.arrays_zip(F.col("__u").alias("u"), F.col("__c").alias("c"))).alias("step", "__z")
-    )
-    w = F.col("step") + 2  # element_at is 1-based: the next state
-    steps = steps.select(
+    days = F.greatest(F.datediff(last, F.col("UPDATE_TABLE_DT")), F.lit(0))
+    # a step is at least this long, so no step up to the last day is missing
+    bound = F.floor(days / F.when(code == 1, 1).when(code == 2, 7).otherwise(28)).cast("int")
+    rows = setup_v1.withColumn("step", F.explode(F.sequence(F.lit(0), bound)))
+
+    def at(start: str, k: Column) -> Column:
+        nth = lambda interval: v1_nth(F.col(start), k, interval)
+        return F.when(code == 1, nth("day")).when(code == 2, nth("week")).otherwise(nth("month"))
+
+    k = F.col("step")
+    steps = rows.select(
         *[c for c in setup_v1.columns if c not in ("UPDATE_TABLE_DT", "NEXT_CHECK_DT")],
         "step",
-        F.col("__z.u").alias("UPDATE_TABLE_DT"),
-        F.col("__z.c").alias("NEXT_CHECK_DT"),
-        F.element_at("__u", w).alias("following_update_dt"),
-        F.element_at("__c", w).alias("following_check_dt"),
+        at("UPDATE_TABLE_DT", k).alias("UPDATE_TABLE_DT"),
+        at("NEXT_CHECK_DT", k).alias("NEXT_CHECK_DT"),
+        at("UPDATE_TABLE_DT", k + 1).alias("following_update_dt"),
+        at("NEXT_CHECK_DT", k + 1).alias("following_check_dt"),
         last.alias("__last"),
     )
     return steps.where(F.col("UPDATE_TABLE_DT") <= F.col("__last")).drop("__last")

@@ -28,11 +28,13 @@ from ..operators.schedule import (
     v1_steps,
     with_bounds,
 )
+from ..operators.state import day_state, read_days, write_days
 from ..operators.structure import structure_frame
 from ..operators.versions import merge_versions, relabel_table
 from ..schemas import LIMITS, SETUP
 from ..sources.tables import day_view
-from .run import run_v1
+from ..sources.scratch import Scratch
+from .run import Store, run_checks, run_v1
 
 # Fixed run stamps of the registered queries (K2: a parameter, never now()).
 STAMP = dt.datetime(2024, 3, 1, 12, 0, 0)
@@ -476,6 +478,92 @@ def schedule_advance_v1(spark, sf_dir):
                       "LAST_CHECK_DT", "NEXT_CHECK_DT", "UPDATE_TABLE_DT", "has_rows")
 
 
+# -- runs, stored states, schedules of one table ------------------------------------
+RUN_1, RUN_2 = dt.date(2024, 1, 16), dt.date(2024, 2, 1)
+
+
+def _new_store(spark, sf_dir, kind=Store, **kw) -> Store:
+    """A store with a schedule from the data: events by week, lineitem by month, each from its first whole period."""
+    root = Scratch(spark, "store").root
+    store = kind(*[f"{root}/{n}" for n in ("setup", "statistics", "limits", "metrics")], by_path=True, **kw)
+    first = lambda t, f: read(spark, sf_dir, t).agg(F.min(F.to_date(f)).alias("d"))
+    weeks = first("events", "ts").select(F.lit("events"), F.lit("ts"), F.date_add("d", 7), F.lit("week"))
+    months = first("lineitem", "l_shipdate").select(F.lit("lineitem"), F.lit("l_shipdate"), F.date_add(F.last_day("d"), 1), F.lit("month"))
+    store.append(weeks.union(months).toDF(*[f.name for f in SETUP.fields]), "setup")
+    return store
+
+
+def run_checks_q(spark, sf_dir):
+    """Two runs of all due checks; the second compares with what the first has stored."""
+    store = _new_store(spark, sf_dir)
+    for day in (RUN_1, RUN_2):
+        run_checks(spark, day, store=store, source=lambda t: read(spark, sf_dir, t), report_dttm=dt.datetime.combine(day, dt.time(6)))
+    return present(store.read(spark, "metrics"))
+
+
+class _Interrupted(Store):
+    """A store that is lost once, after a run's deviations and before its statistics are written."""
+
+    lost = False
+
+    def append(self, df, which):
+        if which == "statistics" and not self.lost:
+            self.lost = True
+            raise ConnectionError("store lost")
+        super().append(df, which)
+
+
+def run_checks_recovered(spark, sf_dir):
+    """A run that breaks off between its appends and is finished by the next: how often each row is stored."""
+    store = _new_store(spark, sf_dir, _Interrupted)
+    for day in (RUN_1, RUN_1):
+        try:
+            run_checks(spark, day, store=store, source=lambda t: read(spark, sf_dir, t), report_dttm=STAMP)
+        except ConnectionError:
+            pass
+    keys = ["table_name", "column_name", "interval_type", "end_of_calculation_period"]
+    counts = [store.read(spark, which).groupBy(*keys).agg(F.count(F.lit(1)).alias(f"in_{which}")) for which in ("metrics", "statistics")]
+    return counts[0].join(counts[1], keys, "full")
+
+
+def profile_from_days(spark, sf_dir):
+    """Monthly profiles of lineitem merged from stored counts by day, without its rows.
+
+    The days are stored in two writes that overlap, as after a failure or with late rows.
+    """
+    li = read(spark, sf_dir, "lineitem")
+    path = Scratch(spark, "days").root + "/lineitem"
+    write_days(day_state(li, "l_shipdate", None, dt.date(1998, 12, 31)), path)
+    write_days(day_state(li, "l_shipdate", dt.date(1998, 12, 1), None), path)
+    months = Slice(li, "lineitem", "l_shipdate", "month", state=read_days(spark, path))
+    return present(to_statistics(profile_many([months], report_dttm=STAMP)))
+
+
+def profile_schedules(spark, sf_dir):
+    """Daily, weekly and monthly profiles of events, with duplicates, from one scan."""
+    ev = read(spark, sf_dir, "events")
+    slices = [Slice(ev, "events", "ts", interval) for interval in ("day", "week", "month")]
+    return present(to_statistics(profile_many(slices, duplicates="source", report_dttm=STAMP)))
+
+
+def profile_text_dates(spark, sf_dir):
+    """A month of lineitem whose ship date is text in several forms, some of them no dates, behind a range that reaches the scan."""
+    key = F.col("l_orderkey") % 5
+    day = F.to_date("l_shipdate")
+    plain = F.concat_ws("-", F.year(day), F.month(day), F.dayofmonth(day))
+    text = F.when(key == 0, plain).when(key == 1, F.concat(F.lit(" +0"), F.date_format(day, "yyyy-MM-dd"))).when(key == 2, F.concat(F.lit("x"), plain))
+    text = text.when(key == 3, F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")).otherwise(F.date_format(day, "yyyy-MM-dd"))
+    df = read(spark, sf_dir, "lineitem").withColumn("l_shipdate", text)
+    texts = Scratch(spark, "texts").pin(df, "lineitem")
+    return present(to_statistics(profile_period(texts, "lineitem", "l_shipdate", "month", dt.date(1996, 2, 14), report_dttm=STAMP)))
+
+
+def deviations_week_scale6(spark, sf_dir):
+    """M5: weekly deviations of events where stored values keep six decimal places."""
+    p = profile_periods(read(spark, sf_dir, "events"), "events", "ts", "week", report_dttm=STAMP)
+    return present(deviations(p, None, None, report_dttm=STAMP, store_scale=6))
+
+
 REGISTRY = {
     "profile_month": profile_month,
     "profile_month_range": profile_month_range,
@@ -517,4 +605,10 @@ REGISTRY = {
     "fresh_tables": fresh_tables_q,
     "slice_exists": slice_exists_q,
     "schedule_advance_v1": schedule_advance_v1,
+    "run_checks": run_checks_q,
+    "run_checks_recovered": run_checks_recovered,
+    "profile_from_days": profile_from_days,
+    "profile_schedules": profile_schedules,
+    "profile_text_dates": profile_text_dates,
+    "deviations_week_scale6": deviations_week_scale6,
 }

@@ -14,13 +14,13 @@ from dataclasses import dataclass
 from typing import Callable
 
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..config import DEFAULT_LIMIT_PCT, TEMPLATES_RU
 from ..operators.deviations import deviations
 from ..operators.profile import Slice, profile_many, profile_period, to_statistics
 from ..operators.schedule import advanced_states, catch_up, count_due, due_checks
-from ..schemas import LIMITS, METRICS_TABLE, SETUP, STATISTICS
+from ..schemas import LIMITS, METRICS_TABLE, SETUP, STATISTICS, statistics_schema
 from ..sources.commit import Folder, Run, recover
 from ..sources.scratch import Scratch
 from ..sources.sinks import align, append, append_path
@@ -35,10 +35,14 @@ class Store:
     limits: str = "dq_deviations_setup"
     metrics: str = "dq_metrics"
     by_path: bool = False
+    store_scale: int = 2  # decimal places of stored values
+
+    def schema(self, which: str) -> T.StructType:
+        return {"setup": SETUP, "statistics": statistics_schema(self.store_scale), "limits": LIMITS, "metrics": METRICS_TABLE}[which]
 
     def read(self, spark: SparkSession, which: str) -> DataFrame:
         name = getattr(self, which)
-        schema = {"setup": SETUP, "statistics": STATISTICS, "limits": LIMITS, "metrics": METRICS_TABLE}[which]
+        schema = self.schema(which)
         if self.by_path:
             try:
                 return align(spark.read.schema(schema).parquet(name), schema)
@@ -59,8 +63,7 @@ class Store:
     def append(self, df: DataFrame, which: str) -> None:
         name = getattr(self, which)
         if self.by_path:
-            schema = {"setup": SETUP, "statistics": STATISTICS, "limits": LIMITS, "metrics": METRICS_TABLE}[which]
-            append_path(df, name, schema, "table_name" if which == "statistics" else None)
+            append_path(df, name, self.schema(which), "table_name" if which == "statistics" else None)
         else:
             append(df, name)
 
@@ -120,11 +123,12 @@ def run_checks(
         history = store.read(spark, "statistics").where(F.col("table_name").isin(names))
         if earlier is not None:  # of this run
             history = history.unionByName(earlier.where(F.col("table_name").isin(names)))
-        dev = deviations(current, history, store.read(spark, "limits"), report_dttm=at, templates=templates, default_limit=default_limit)
-        return {"metrics": align(dev, METRICS_TABLE), "statistics": to_statistics(current)}
+        dev = deviations(current, history, store.read(spark, "limits"), report_dttm=at, templates=templates, default_limit=default_limit, store_scale=store.store_scale)
+        return {"metrics": align(dev, METRICS_TABLE), "statistics": to_statistics(current, store.store_scale)}
 
     def batch_of(rows: list, part: str) -> None:
-        slices = [Slice(source(r.TABLE_NAME), r.TABLE_NAME, r.TABLE_DATE_FIELD, r.INTERVAL_TYPE, r.first_end, r.last_end, r.anchor_end) for r in rows]
+        frames = {r.TABLE_NAME: source(r.TABLE_NAME) for r in rows}  # one scan for all schedules of a table
+        slices = [Slice(frames[r.TABLE_NAME], r.TABLE_NAME, r.TABLE_DATE_FIELD, r.INTERVAL_TYPE, r.first_end, r.last_end, r.anchor_end) for r in rows]
         run.stage(part, results(profile_many(slices, duplicates=duplicates, report_dttm=stamp), stamp))
 
     def loop_of(rows: list, part: str) -> None:

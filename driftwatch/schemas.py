@@ -92,6 +92,16 @@ VERSIONED_METRICS = T.StructType(
     ]
 )
 
+
+
+def statistics_schema(scale: int = 2) -> T.StructType:
+    """``STATISTICS`` with values of 2 decimal places (as the original stored them) or 6 (the working precision)."""
+    if scale not in (2, 6):
+        raise ValueError("store_scale must be 2 or 6")
+    kind = lambda t: T.DecimalType(38, scale) if isinstance(t, T.DecimalType) else t
+    return T.StructType([T.StructField(f.name, kind(f.dataType)) for f in STATISTICS.fields])
+
+
 TABLES = {
     "dq_table_statistics": STATISTICS,
     "dq_setup_table": SETUP,

@@ -13,12 +13,16 @@ class Scratch:
     """Tables written once to the shared folder and read back, so that a lost executor costs no recomputation.
 
     A written table is computed once (an eager ``checkpoint()`` computes its input twice) and read column by column.
-    Used as a context manager, it deletes its tables at the end, also after a failure.
+    Used as a context manager, it deletes its tables at the end, also after a failure; otherwise they go when the session's JVM ends.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        at = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(at)
+        fs.deleteOnExit(at)
 
     def pin(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"

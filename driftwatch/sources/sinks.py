@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..schemas import TABLES
+from ..schemas import TABLES, statistics_schema
 
 
 def align(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -23,10 +23,14 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
 PARTITIONED = {"dq_table_statistics": "table_name"}
 
 
-def create_tables(spark: SparkSession, database: str | None = None, location: str | None = None) -> list[str]:
-    """``CREATE TABLE IF NOT EXISTS … USING parquet`` for the four tables."""
+def create_tables(spark: SparkSession, database: str | None = None, location: str | None = None, store_scale: int = 2) -> list[str]:
+    """``CREATE TABLE IF NOT EXISTS … USING parquet`` for the four tables.
+
+    Spark lists a partition column last; ``plans.run.Store.read`` gives the original order.
+    """
     names = []
     for name, schema in TABLES.items():
+        schema = statistics_schema(store_scale) if name == "dq_table_statistics" else schema
         full = f"{database}.{name}" if database else name
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         loc = f" LOCATION '{location.rstrip('/')}/{name}'" if location else ""
