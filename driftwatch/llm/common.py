@@ -20,9 +20,11 @@ SPACES = b" \t\n\x0b\x0c\r"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, or a temporary one where that is unset (tests)."""
+    """The folder that all executors share: ``spark.checkpoint.dir``, or a temporary one on a local master that sets none (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="scratch-"))
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
@@ -32,11 +34,16 @@ class Scratch:
     """Tables written once to the shared folder, so that a lost executor costs no recomputation of what led to them.
 
     A written table is computed once (``checkpoint()`` computes its input twice) and is read back column by column.
+    What is not dropped before goes when the session's JVM ends, also after a failure.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        at = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(at)
+        fs.deleteOnExit(at)
 
     def pin(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
@@ -89,6 +96,18 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def rekeyed(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Only the named columns, by exact name, so that no other column of the input can clash with those that an operator adds."""
     return df.select(*[F.col(f"`{c}`") for c in columns])

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftwatch.llm.common import SPACES, Scratch, rekeyed, slices
+from driftwatch.llm.common import SPACES, Scratch, free_names, rekeyed, slices
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -76,15 +76,17 @@ def clean_lines(df: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_D
 
     A null text stays null.
     """
-    out = _cleaned(df, df, min_chars, min_docs)
-    text = F.when(F.col("text").isNotNull(), F.col("__kept").getField("text"))
+    (kept,) = free_names(df, "__kept")
+    out = _cleaned(df, df, min_chars, min_docs, kept)
+    text = F.when(F.col("text").isNotNull(), F.col(kept).getField("text"))
     new = {"text": text, **({"n_chars": F.length(text).cast("long")} if "n_chars" in df.columns else {})}
     return out.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in df.columns])
 
 
-def _cleaned(rows: DataFrame, df: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
-    drops = dropped_lines(df, min_chars, min_docs).select(F.col("doc_id").alias("__doc"), F.col("drops").alias("__drops"))
-    both = rows.join(drops, rows["doc_id"].eqNullSafe(drops["__doc"]), "left").drop("__doc")
+def _cleaned(rows: DataFrame, df: DataFrame, min_chars: int, min_docs: int, kept_name: str = "__kept") -> DataFrame:
+    doc, gone_lines = free_names(rows, "__doc", "__drops")
+    drops = dropped_lines(df, min_chars, min_docs).select(F.col("doc_id").alias(doc), F.col("drops").alias(gone_lines))
+    both = rows.join(drops, rows["doc_id"].eqNullSafe(drops[doc]), "left").drop(doc)
     schema = pa.schema([("text", pa.string()), ("n_lines", pa.int64()), ("n_dropped", pa.int64()), ("sha", pa.string())])
 
     @F.pandas_udf("text string, n_lines long, n_dropped long, sha string")
@@ -102,7 +104,7 @@ def _cleaned(rows: DataFrame, df: DataFrame, min_chars: int, min_docs: int) -> D
             out.append((whole.decode(), len(lines), len(lines) - len(kept), hashlib.sha256(whole).hexdigest()))
         return pd.DataFrame(out, columns=schema.names)
 
-    return both.withColumn("__kept", cut("text", "__drops")).drop("__drops")
+    return both.withColumn(kept_name, cut("text", gone_lines)).drop(gone_lines)
 
 
 def line_digest(df: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:

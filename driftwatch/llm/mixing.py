@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftwatch.llm.common import Scratch, rekeyed
+from driftwatch.llm.common import Scratch, free_names, rekeyed
 
 #: Fixed by the mix that is asked for.
 WEIGHTS = (3, 1, 2)
@@ -184,6 +184,7 @@ def mix(df: DataFrame, **options) -> DataFrame:  # type: ignore[no-untyped-def]
 
 def mixed_rows(df: DataFrame, **options) -> DataFrame:  # type: ignore[no-untyped-def]
     """The rows of ``df``, each as often as the mix takes it whole (rows that share doc_id and source: as the first of them)."""
-    n = mix(df, **options).groupBy(F.col("doc_id").alias("__doc"), F.col("source").alias("__source")).agg(F.max("copies").alias("__copies")).where("__copies > 0")
-    both = df.join(n, df["doc_id"].eqNullSafe(n["__doc"]) & df["source"].eqNullSafe(n["__source"]))
-    return both.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[df[f"`{c}`"] for c in df.columns])
+    doc, source, copies, copy = free_names(df, "__doc", "__source", "__copies", "__copy")
+    n = mix(df, **options).groupBy(F.col("doc_id").alias(doc), F.col("source").alias(source)).agg(F.max("copies").alias(copies)).where(F.col(copies) > 0)
+    both = df.join(n, df["doc_id"].eqNullSafe(n[doc]) & df["source"].eqNullSafe(n[source]))
+    return both.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*[df[f"`{c}`"] for c in df.columns])

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftwatch.llm.common import Scratch, partitions, rekeyed, slices
+from driftwatch.llm.common import Scratch, free_names, partitions, rekeyed, slices
 from driftwatch.llm.components import components
 from driftwatch.llm.shingles import shingle_sets
 
@@ -334,7 +334,8 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80) -> DataFra
 def one_of_each(df: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``df`` that stay: of each group of near duplicates the document of the smallest ``doc_id`` (of its rows, the
     first by text); rows with a null ``doc_id`` all stay."""
-    keep = near_duplicates(df, words, percent).where("kept and doc_id is not null").select(F.col("doc_id").alias("__doc")).distinct()
+    doc, place = free_names(df, "__doc", "__first")
+    keep = near_duplicates(df, words, percent).where("kept and doc_id is not null").select(F.col("doc_id").alias(doc)).distinct()
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    stay = df.join(keep, df["doc_id"] == keep["__doc"], "left_semi").withColumn("__first", first).where("__first = 1").drop("__first")
+    stay = df.join(keep, df["doc_id"] == keep[doc], "left_semi").withColumn(place, first).where(F.col(place) == 1).drop(place)
     return stay.unionByName(df.where(F.col("doc_id").isNull()))

@@ -9,7 +9,7 @@ each shard root's subtree in one task, and what the shard roots report goes up t
 At scale: turns get one order over the whole table and are numbered from it, prefixes are combined inside blocks of 512 rows and
 then over a conversation's blocks, so that a conversation with a third of all rows is spread over many tasks; a node with
 a third of all conversations is counted through partial aggregates.  The digest of a node's ends is sequential by definition:
-its numbers stream, sorted, through one task.  At most rows / ``HEAVY`` nodes lie above the shards.
+its numbers, joined to lists of 512 in many tasks, stream through one.  At most rows / ``HEAVY`` nodes lie above the shards.
 
 Defined cases: rows of one turn are ordered by a digest of role and text, repeated rows are turns of their own; null role or text is
 empty; a null ``conv_id`` is one conversation that takes nothing from another and leaves nothing out, the last choice as smallest member, and
@@ -29,13 +29,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftwatch.llm.common import Scratch
+from driftwatch.llm.common import Scratch, partitions
 from driftwatch.llm.order import BLOCK_BITS, ordered
 
 #: Nodes of more members lie above the shards.
 HEAVY = 4096
 #: Messages that a priority queue holds in memory before it spills.
 QUEUE = 1 << 18
+#: Numbers of a list of ends.
+LIST = 512
 #: Conversations of one block share the first turns of the block's first one, up to HEADS - 1 of them.
 BLOCK, HEADS = 100, 6
 
@@ -197,20 +199,42 @@ def _with_parents(rows: DataFrame) -> DataFrame:
 
 
 def end_digests(paths: DataFrame) -> DataFrame:
-    """depth, a, b and ``ends_sha256`` of each node where conversations end."""
+    """depth, a, b and ``ends_sha256`` of each node where conversations end.
+
+    The ends are sorted over all tasks, by ranges that also split a node's, and joined to lists of up to ``LIST`` numbers there; the digest of
+    a node then takes its lists in order.
+    """
+    lists = pa.schema([("depth", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("first", pa.int64()), ("numbers", pa.string())])
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        node, first, numbers, out = None, None, [], []
+        for batch in batches:
+            for *key, conv in zip(*(c.to_pylist() for c in batch.columns)):
+                if key != node or len(numbers) == LIST:
+                    if numbers:
+                        out.append((*node, first, ",".join(numbers)))
+                    node, first, numbers = key, conv, []
+                numbers.append("null" if conv is None else str(conv))
+            if len(out) >= 10_000:
+                yield _batch(out, lists)
+                out = []
+        if numbers:
+            out.append((*node, first, ",".join(numbers)))
+        if out:
+            yield _batch(out, lists)
+
     schema = pa.schema([("depth", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("ends_sha256", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         node, sha, out = None, hashlib.sha256(), []
         for batch in batches:
-            for *key, conv in zip(*(c.to_pylist() for c in batch.columns)):
-                number = b"null" if conv is None else b"%d" % conv
+            for *key, _, numbers in zip(*(c.to_pylist() for c in batch.columns)):
                 if key == node:
-                    sha.update(b"," + number)
+                    sha.update(b"," + numbers.encode())
                     continue
                 if node is not None:
                     out.append((*node, sha.hexdigest()))
-                node, sha = key, hashlib.sha256(number)
+                node, sha = key, hashlib.sha256(numbers.encode())
             if len(out) >= 10_000:
                 yield _batch(out, schema)
                 out = []
@@ -219,8 +243,12 @@ def end_digests(paths: DataFrame) -> DataFrame:
         if out:
             yield _batch(out, schema)
 
-    rows = paths.where("ended").select(*_NODE, "conv_id").repartition(*_NODE).sortWithinPartitions(*_NODE, "conv_id")
-    return rows.mapInArrow(run, "depth int, a long, b long, ends_sha256 string")
+    order = [*_NODE, "conv_id"]
+    ends = paths.where("ended").select(*order).withColumn("conv_id", F.col("conv_id").cast("long"))
+    ends = ends.repartitionByRange(partitions(paths.sparkSession), *order).sortWithinPartitions(*order)
+    some = ends.mapInArrow(gather, "depth int, a long, b long, first long, numbers string")
+    some = some.repartition(*_NODE).sortWithinPartitions(*_NODE, "first")
+    return some.mapInArrow(run, "depth int, a long, b long, ends_sha256 string")
 
 
 def _to_parents(rows: DataFrame, *totals: Column) -> DataFrame:
