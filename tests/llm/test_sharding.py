@@ -37,6 +37,59 @@ def test_hot_group_and_ties(spark):
     assert sorted(map(tuple, sharding.shard(df.repartition(5), 40).collect())) == sorted(map(tuple, got))
 
 
+def brute_leaves(points, room, dims):
+    """Shard of each point (w, dimensions, tie) by a plain k-d tree: the cut nearest to the room's share, along the widest dimension."""
+    spread = [max(p[1][d] for p in points) - min(p[1][d] for p in points) for d in range(dims)]
+    out = {}
+
+    def build(own, first, m):
+        if m == 1:
+            out.update((p, first) for p in own)
+            return
+        half = m // 2
+        if not own:
+            return
+        extents = [(max(p[1][d] for p in own) - min(p[1][d] for p in own)) / spread[d] if spread[d] else 0.0 for d in range(dims)]
+        d = extents.index(max(extents))
+        own = sorted(own, key=lambda p: (p[1][d], p[2]))
+        whole = sum(room[first : first + m])
+        target = sum(p[0] for p in own) * (sum(room[first : first + half]) / whole if whole else half / m)
+        below = k = 0
+        while k < len(own) - 1 and below + own[k][0] < target:
+            below += own[k][0]
+            k += 1
+        cut = k + 1 if below + own[k][0] - target < target - below else k
+        build(own[:cut], first, half)
+        build(own[cut:], first + half, m - half)
+
+    build(list(points), 0, len(room))
+    return out
+
+
+@pytest.mark.parametrize("shards", [7, 16])
+def test_tree_equals_a_plain_one(spark, shards):
+    docs = sharding._documents(spark.read.parquet(SF))
+    rows = sharding._groups(docs).where("w < 4000").select("w", *sharding.DIMENSIONS, "tie").cache()
+    room = [1.0 + k % 3 for k in range(shards)]
+    tree = sharding.build_tree(rows, room, 0.0)
+    got = {(r.w, tuple(r[d] for d in sharding.DIMENSIONS), r.tie): r.shard for r in rows.withColumn("shard", tree.shard()).collect()}
+    want = brute_leaves(list(got), room, len(sharding.DIMENSIONS))
+    assert got == want and len(set(got.values())) == shards
+    rows.unpersist()
+
+
+@pytest.mark.parametrize("shards", [40, 7])
+def test_equal_texts_stay_together_unless_larger_than_a_shard(spark, shards):
+    rows = duckdb.sql(f"SELECT doc_id, coalesce(text, '') FROM '{SF}'").fetchall()
+    target = sum(len(t.encode()) + 16 for _, t in rows) / shards
+    where, weight = defaultdict(set), defaultdict(int)
+    texts = dict(rows)
+    for r in sharding.shard(spark.read.parquet(SF), shards).collect():
+        where[texts[r.doc_id]].add(r.shard)
+        weight[texts[r.doc_id]] += r["size"]
+    assert [t for t in where if len(where[t]) > 1 and weight[t] <= target] == []
+
+
 def test_small_groups_stay_together(spark):
     rows = [(i, f"text number {i % 2500} " * 4) for i in range(7500)]
     got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()
