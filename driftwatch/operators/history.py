@@ -105,3 +105,45 @@ def join_previous(current: DataFrame, history: DataFrame | None = None, store_sc
     keys = JOIN_KEYS + ["interval_type", "prev_end", "prev_dttm"]
     joined = cur.alias("c").join(prev, _null_safe(keys, cur, prev), "left")
     return joined.select("c.*", *[F.col(f"p.prev_{m}") for m in METRICS])  # c.* carries prev_end
+
+
+def snapshot_keys(statistics: DataFrame) -> DataFrame:
+    """The index rows of stored profiles: their snapshots' keys."""
+    return statistics.select("table_name", "interval_type", "end_of_calculation_period", "report_dttm").distinct()
+
+
+def earlier_snapshots(current: DataFrame, index: DataFrame) -> DataFrame:
+    """W1, F4 by the index: the keys of the stored snapshots that the periods of ``current`` can be compared with.
+
+    For each (table, interval): the latest one before its first period, and those between its first and last; of a period stored
+    several times the last one.  A whole-table profile, without period, has the last stored one.
+    """
+    pair = ["table_name", "interval_type"]
+    spans = current.groupBy(*[F.col(c).alias(f"__{c}") for c in pair]).agg(F.min("end_of_calculation_period").alias("__lo"), F.max("end_of_calculation_period").alias("__hi"))
+    same = (F.col("table_name") == F.col("__table_name")) & F.col("interval_type").eqNullSafe(F.col("__interval_type"))
+    end = F.col("end_of_calculation_period")
+    last = index.groupBy(*pair, end).agg(F.max("report_dttm").alias("report_dttm"))
+    found = last.join(spans, same).where(end.isNull() == F.col("__hi").isNull()).where(end.isNull() | (end < F.col("__hi")))
+    before = Window.partitionBy(*pair)
+    first = F.max(F.when(end < F.col("__lo"), end)).over(before)
+    return found.withColumn("__first", first).where(end.isNull() | (end >= F.coalesce("__first", "__lo"))).select(*SNAPSHOT)
+
+
+def history_of(statistics: DataFrame, keys: DataFrame) -> DataFrame:
+    """The stored rows of these snapshots (a few for each due check), read by their partitions."""
+    rows = keys.collect()
+    cond = F.lit(False)
+    tables: dict[str, set] = {}
+    for r in rows:
+        tables.setdefault(r.table_name, set()).add(r.end_of_calculation_period)
+    for table, ends in sorted(tables.items()):
+        dated = sorted(e for e in ends if e is not None)
+        one = F.col("end_of_calculation_period").isin(dated) if dated else F.lit(False)
+        if None in ends:
+            one = one | F.col("end_of_calculation_period").isNull()
+        cond = cond | ((F.col("table_name") == table) & one)
+    wanted = keys.select(*[F.col(c).alias(f"__{c}") for c in SNAPSHOT])
+    same = F.lit(True)
+    for c in SNAPSHOT:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return statistics.where(cond).join(wanted, same, "left_semi")

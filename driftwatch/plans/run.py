@@ -18,17 +18,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..config import DEFAULT_LIMIT_PCT, TEMPLATES_RU
 from ..operators.deviations import deviations
+from ..operators.history import earlier_snapshots, history_of, snapshot_keys
 from ..operators.profile import Slice, profile_many, profile_period, to_statistics
 from ..operators.schedule import advanced_states, catch_up, count_due, due_checks
-from ..schemas import LIMITS, METRICS_TABLE, SETUP, STATISTICS, statistics_schema
-from ..sources.commit import Folder, Run, recover
+from ..schemas import LIMITS, METRICS_TABLE, SETUP, SNAPSHOTS, STATISTICS, statistics_schema
+from ..sources.commit import KEYS, Folder, Run, missing, recover
 from ..sources.scratch import Scratch
-from ..sources.sinks import align, append, append_path
+from ..sources.sinks import PARTITIONED, align, append, append_path
 
 
 @dataclass
 class Store:
-    """Where the four tables live: catalog names (default) or parquet paths."""
+    """Where the four tables live, and the index of their snapshots: catalog names (default) or parquet paths.
+
+    ``snapshots`` is by default ``dq_snapshots`` beside the catalog's statistics, or the folder ``<statistics>_snapshots``.
+    """
 
     setup: str = "dq_setup_table"
     statistics: str = "dq_table_statistics"
@@ -36,13 +40,19 @@ class Store:
     metrics: str = "dq_metrics"
     by_path: bool = False
     store_scale: int = 2  # decimal places of stored values
+    snapshots: str | None = None
+
+    def name(self, which: str) -> str:
+        if which == "snapshots" and not self.snapshots:
+            database = self.statistics.rpartition(".")[0]
+            return f"{self.statistics.rstrip('/')}_snapshots" if self.by_path else f"{database}.dq_snapshots" if database else "dq_snapshots"
+        return getattr(self, which)
 
     def schema(self, which: str) -> T.StructType:
-        return {"setup": SETUP, "statistics": statistics_schema(self.store_scale), "limits": LIMITS, "metrics": METRICS_TABLE}[which]
+        return {"setup": SETUP, "statistics": statistics_schema(self.store_scale), "limits": LIMITS, "metrics": METRICS_TABLE, "snapshots": SNAPSHOTS}[which]
 
     def read(self, spark: SparkSession, which: str) -> DataFrame:
-        name = getattr(self, which)
-        schema = self.schema(which)
+        name, schema = self.name(which), self.schema(which)
         if self.by_path:
             try:
                 return align(spark.read.schema(schema).parquet(name), schema)
@@ -61,9 +71,9 @@ class Store:
         return Folder(spark, f"{at.rstrip('/')}/_runs")
 
     def append(self, df: DataFrame, which: str) -> None:
-        name = getattr(self, which)
+        name = self.name(which)
         if self.by_path:
-            append_path(df, name, self.schema(which), "table_name" if which == "statistics" else None)
+            append_path(df, name, self.schema(which), PARTITIONED.get({"statistics": "dq_table_statistics", "snapshots": "dq_snapshots"}.get(which, "")))
         else:
             append(df, name)
 
@@ -106,6 +116,8 @@ def run_checks(
     stamp = report_dttm or dt.datetime.now()
     recover_store(spark, store)
     folder = store.runs(spark)
+    if store.read(spark, "snapshots").isEmpty() and not store.read(spark, "statistics").isEmpty():
+        rebuild_snapshots(spark, store)  # statistics from before there was an index
     due = due_checks(store.read(spark, "setup"), current_date, mode)
     checks = catch_up(due, current_date)
     # one row per due pair: its first and last missed period
@@ -120,11 +132,12 @@ def run_checks(
 
     def results(current: DataFrame, at: dt.datetime, earlier: DataFrame | None = None) -> dict[str, DataFrame]:
         names = [r.table_name for r in current.select("table_name").distinct().collect()]
-        history = store.read(spark, "statistics").where(F.col("table_name").isin(names))
+        index = store.read(spark, "snapshots").where(F.col("table_name").isin(names))
+        history = history_of(store.read(spark, "statistics"), earlier_snapshots(current, index))
         if earlier is not None:  # of this run
             history = history.unionByName(earlier.where(F.col("table_name").isin(names)))
         dev = deviations(current, history, store.read(spark, "limits"), report_dttm=at, templates=templates, default_limit=default_limit, store_scale=store.store_scale)
-        return {"metrics": align(dev, METRICS_TABLE), "statistics": to_statistics(current, store.store_scale)}
+        return {"metrics": align(dev, METRICS_TABLE), "statistics": to_statistics(current, store.store_scale), "snapshots": snapshot_keys(current)}
 
     def batch_of(rows: list, part: str) -> None:
         frames = {r.TABLE_NAME: source(r.TABLE_NAME) for r in rows}  # one scan for all schedules of a table
@@ -176,6 +189,13 @@ def run_checks(
     return len(spans)
 
 
+def rebuild_snapshots(spark: SparkSession, store: Store | None = None) -> None:
+    """Add the index's missing keys: once, for a store whose statistics are older than its index."""
+    store = store or Store()
+    found = snapshot_keys(store.read(spark, "statistics"))
+    store.append(missing(found, store.read(spark, "snapshots"), KEYS["snapshots"]), "snapshots")
+
+
 def recover_store(spark: SparkSession, store: Store | None = None) -> list[str]:
     """Finish runs that were published but not stored whole; ``run_checks`` does so first."""
     store = store or Store()
@@ -262,5 +282,5 @@ def store_v1(result: V1Result, state: str, statistics: str, results: str) -> Non
     with Scratch(spark, "v1") as scratch:
         version = scratch.pin(result.results, "results")
         result.state_log.write.mode("append").parquet(state)
-        append_path(result.statistics, statistics, STATISTICS, "table_name")
+        append_path(result.statistics, statistics, STATISTICS, PARTITIONED["dq_table_statistics"])
         version.write.mode("overwrite").parquet(results)

@@ -13,6 +13,16 @@ D192 = T.DecimalType(19, 2)
 # Values and deltas: a sum of keys grows with the square of the rows, past the 17 digits of decimal(19,2).
 D382 = T.DecimalType(38, 2)
 
+# The keys of the stored snapshots, kept beside the statistics: a check finds its previous snapshot there.
+SNAPSHOTS = T.StructType(
+    [
+        T.StructField("table_name", T.StringType()),
+        T.StructField("interval_type", T.StringType()),
+        T.StructField("end_of_calculation_period", T.DateType()),
+        T.StructField("report_dttm", T.TimestampType()),
+    ]
+)
+
 # The tables' and columns' names below must equal the original's.
 
 STATISTICS = T.StructType(

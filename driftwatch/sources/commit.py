@@ -21,10 +21,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 KEYS = {
     "metrics": ["table_name", "column_name", "column_id", "interval_type", "end_of_calculation_period", "report_dttm"],
     "statistics": ["table_name", "column_name", "column_id", "interval_type", "end_of_calculation_period", "report_dttm"],
+    "snapshots": ["table_name", "interval_type", "end_of_calculation_period", "report_dttm"],
     "setup": ["TABLE_NAME", "TABLE_DATE_FIELD", "INTERVAL_TYPE", "NEXT_CHECK_DT"],
 }
-#: The order in which tables are stored: a schedule moves on when its results are there.
-TABLES = ["metrics", "statistics", "setup"]
+#: The order in which tables are stored: a snapshot's key when its rows are there, and a schedule moves on when its results are.
+TABLES = ["metrics", "statistics", "snapshots", "setup"]
 
 
 class Folder:

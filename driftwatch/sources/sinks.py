@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..schemas import TABLES, statistics_schema
+from ..schemas import SNAPSHOTS, TABLES, statistics_schema
 
 
 def align(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -19,22 +19,22 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-# A check reads the stored history of its own tables only.
-PARTITIONED = {"dq_table_statistics": "table_name"}
+# A check reads the keys of its own tables' snapshots, and of the history those snapshots only that it compares with.
+PARTITIONED = {"dq_table_statistics": ["table_name", "end_of_calculation_period"], "dq_snapshots": ["table_name"]}
 
 
 def create_tables(spark: SparkSession, database: str | None = None, location: str | None = None, store_scale: int = 2) -> list[str]:
-    """``CREATE TABLE IF NOT EXISTS … USING parquet`` for the four tables.
+    """``CREATE TABLE IF NOT EXISTS … USING parquet`` for the four tables, and the index of snapshots.
 
-    Spark lists a partition column last; ``plans.run.Store.read`` gives the original order.
+    Spark lists partition columns last; ``plans.run.Store.read`` gives the original order.
     """
     names = []
-    for name, schema in TABLES.items():
+    for name, schema in {**TABLES, "dq_snapshots": SNAPSHOTS}.items():
         schema = statistics_schema(store_scale) if name == "dq_table_statistics" else schema
         full = f"{database}.{name}" if database else name
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         loc = f" LOCATION '{location.rstrip('/')}/{name}'" if location else ""
-        by = f" PARTITIONED BY ({PARTITIONED[name]})" if name in PARTITIONED else ""
+        by = f" PARTITIONED BY ({', '.join(PARTITIONED[name])})" if name in PARTITIONED else ""
         spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({cols}) USING parquet{by}{loc}")
         names.append(full)
     return names
@@ -47,10 +47,10 @@ def append(df: DataFrame, table: str) -> None:
     align(df, target).write.mode("append").insertInto(table)
 
 
-def append_path(df: DataFrame, path: str, schema: T.StructType, partition: str | None = None) -> None:
+def append_path(df: DataFrame, path: str, schema: T.StructType, partition: list[str] | None = None) -> None:
     """S4 for path-addressed parquet tables (object stores without a catalog)."""
     out = align(df, schema).write.mode("append")
-    (out.partitionBy(partition) if partition else out).parquet(path)
+    (out.partitionBy(*partition) if partition else out).parquet(path)
 
 
 def nan_safe(df: DataFrame) -> DataFrame:

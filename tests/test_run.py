@@ -121,7 +121,7 @@ def test_schedule_queries_have_no_nested_loop_join(spark):
         assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
-TABLES = ["metrics", "statistics", "setup"]
+TABLES = ["metrics", "statistics", "snapshots", "setup"]
 
 
 class Failing(Store):
@@ -188,3 +188,26 @@ def test_catalog_store_runs_and_recovers(spark, workdir):
     finally:
         for n in names:
             spark.sql(f"DROP TABLE IF EXISTS {n}")
+
+
+def test_a_check_reads_the_index_and_one_snapshot(spark, workdir):
+    from driftwatch.operators.history import earlier_snapshots, history_of
+    from driftwatch.operators.profile import profile_periods
+    from driftwatch.plans.run import rebuild_snapshots
+
+    store = _store(workdir)
+    spark.createDataFrame([("events", "ts", D(2024, 1, 8), "week")], SETUP).write.parquet(store.setup)
+    run_checks(spark, D(2024, 1, 22), store=store, source=_source(spark))
+    current = profile_periods(_source(spark)("events"), "events", "ts", "week", D(2024, 1, 28), D(2024, 1, 28))
+    keys = earlier_snapshots(current, store.read(spark, "snapshots"))
+    assert [(r.table_name, r.end_of_calculation_period) for r in keys.collect()] == [("events", D(2024, 1, 21))]
+    history = history_of(store.read(spark, "statistics"), keys)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = history._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    filters = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "= events" in filters and "= 2024-01-21" in filters
+    assert {r.end_of_calculation_period for r in history.collect()} == {D(2024, 1, 21)} and history.count() == 5
+    before = store.read(spark, "snapshots").count()
+    rebuild_snapshots(spark, store)
+    assert store.read(spark, "snapshots").count() == before == 3
