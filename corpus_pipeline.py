@@ -13,17 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 from driftwatch.llm import langid, lines, mixing, neardup, packing
 from driftwatch.llm.common import Scratch
 
-#: Texts whose language is less likely than this are rejected, as are those without a letter.
-LEAST_SCORE = 0.25
+#: Texts that no learned language explains better than this many letters drawn evenly are rejected, as are those without a letter.
+EVEN_LETTERS = 50
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows whose language can be told, as they are.
 
-    The model learns from all labelled rows of ``docs``.  A text without a letter, or of no language at ``LEAST_SCORE`` or more,
-    goes; where nothing can be learned (no labels), all texts go.
+    The model learns from all labelled rows of ``docs``.  A text without a letter, or of no learned language (one that is as well
+    explained by letters drawn evenly from ``EVEN_LETTERS``), goes; where nothing can be learned (no labels), all texts go.
     """
-    return langid.of_known_language(docs, langid.train(docs, public_tokenizers.path("piece_bpe_32k.model")), LEAST_SCORE)
+    return langid.of_known_language(docs, langid.train(docs, public_tokenizers.path("piece_bpe_32k.model")), EVEN_LETTERS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -206,8 +206,8 @@ class Scorer:
         self.rows: dict[str, int] = {}
         self.scores = np.zeros((0, len(model.langs)))
 
-    def __call__(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        langs, top = [], []
+    def _scored(self, texts: list[str | None]) -> Iterator[tuple[list[str], np.ndarray]]:
+        """The words of each text, and its log likelihood in each language."""
         found = [WORDS.findall((t or "").lower()) for t in texts] if self.model.langs else [[] for _ in texts]
         if len(self.rows) > KEPT:
             self.rows, self.scores = {}, self.scores[:0]
@@ -218,11 +218,19 @@ class Scorer:
             self.rows.update(zip(part, range(base, base + len(part))))
             self.scores = np.vstack([self.scores, word_scores(self.model, part)])
         for words in found:
+            yield words, self.scores[np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))].sum(axis=0)
+
+    def by_letter(self, texts: list[str | None]) -> list[float]:
+        """The log likelihood of each text in its best language, for each of its letters (texts without one: minus infinity)."""
+        return [float(total.max()) / sum(map(len, words)) if words else -np.inf for words, total in self._scored(texts)]
+
+    def __call__(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        langs, top = [], []
+        for words, total in self._scored(texts):
             if not words:
                 langs.append("und")
                 top.append(0.0)
                 continue
-            total = self.scores[np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))].sum(axis=0)
             best = int(total.argmax())
             langs.append(self.model.langs[best])
             top.append(float(1 / np.exp((total - total[best]) / TEMPER).sum()))
@@ -242,8 +250,11 @@ def predict(df: DataFrame, model: Model) -> DataFrame:
     return rekeyed(df, ("doc_id", "text")).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def of_known_language(df: DataFrame, model: Model, least: float) -> DataFrame:
-    """The rows of ``df`` whose text has a language with a score of ``least`` or more, with all their columns."""
+def of_known_language(df: DataFrame, model: Model, letters: int) -> DataFrame:
+    """The rows of ``df`` whose text a learned language explains better than letters drawn evenly from ``letters``, with all their columns.
+
+    The rule is the same for any number of languages and any size of the sample: a posterior is high even for a text of none of them.
+    """
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")
@@ -252,8 +263,7 @@ def of_known_language(df: DataFrame, model: Model, least: float) -> DataFrame:
         for batch in batches:
             keep: list[bool] = []
             for part in slices([pa.RecordBatch.from_arrays([pa.array(batch, pa.string(), from_pandas=True)], ["text"])]):
-                langs, top = scorer(part.column("text").to_pylist())
-                keep += [lang != "und" and score >= least for lang, score in zip(langs, top)]
+                keep += [x > -np.log(letters) for x in scorer.by_letter(part.column("text").to_pylist())]
             yield pd.Series(keep)
 
     return df.where(told(F.col("`text`")))

@@ -4,6 +4,7 @@ from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
@@ -123,3 +124,22 @@ def test_entry_works_without_the_operators(monkeypatch):
     assert entry.llm_queries is None and entry.corpus_pipeline is None
     assert "profile_month" in entry.queries() and not [n for n in entry.queries() if n.startswith("op")]
     monkeypatch.delitem(sys.modules, "__spark_entry__")
+
+
+def test_language_stage_rejects_texts_of_no_learned_language(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    own = [r.text for r in docs.where("lang IS NOT NULL AND n_chars > 60").limit(8).collect()]
+    clean = [t[:40].rsplit(" ", 1)[0] for t in own] + own
+    foreign = ["καλημέρα κόσμε", "привет мир", "你好世界", "שלום עולם", "1234 :::", "", None]
+    rows = [(10**9 + i, t, None, "s", len(t or "")) for i, t in enumerate(clean + foreign)]
+    out = corpus_pipeline.language_id(spark, docs.unionByName(spark.createDataFrame(rows, docs.schema)), "")
+    assert sorted(r.doc_id for r in out.where("doc_id >= 1000000000").collect()) == [10**9 + i for i in range(len(clean))]
+
+
+def test_stages_take_columns_of_any_name(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60)
+    names = ["__doc", "__drops", "__kept", "__copies", "__copy", "__source", "__first", "v", "root", "copies", "size", "words"]
+    docs = docs.select("*", *[F.lit(k).alias(n) for k, n in enumerate(names)])
+    for stage in (corpus_pipeline.line_dedup, corpus_pipeline.near_dedup, corpus_pipeline.mix):
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns and out.count() > 0
