@@ -393,6 +393,13 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT table_name, column_name, end_of_calculation_period, rows_cnt, delta_rows_cnt, deviation_flg, "
         f"TIMESTAMP '{STAMP_2_OPEN}' AS period_from_dt, TIMESTAMP '2100-01-01 00:00:00' AS period_to_dt FROM ({dev}) b"
     )
+    year = "year(end_of_calculation_period) = 1996"
+    keep = "table_name, column_name, end_of_calculation_period, rows_cnt, delta_rows_cnt, deviation_flg"
+    sql["scd2_upsert"] = (
+        f"SELECT {keep}, TIMESTAMP '{STAMP_OPEN}' AS period_from_dt, "
+        f"CASE WHEN {year} THEN TIMESTAMP '{STAMP_2}' ELSE TIMESTAMP '2100-01-01 00:00:00' END AS period_to_dt FROM ({dev}) a UNION ALL "
+        f"SELECT {keep}, TIMESTAMP '{STAMP_2_OPEN}' AS period_from_dt, TIMESTAMP '2100-01-01 00:00:00' AS period_to_dt FROM ({dev}) b WHERE {year}"
+    )
     # table structure from DESCRIBE of every table
     type_map = (
         "CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' "

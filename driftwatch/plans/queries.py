@@ -30,7 +30,7 @@ from ..operators.schedule import (
 )
 from ..operators.state import day_state, read_days, write_days
 from ..operators.structure import structure_frame
-from ..operators.versions import merge_versions, relabel_table
+from ..operators.versions import merge_versions, relabel_table, upsert_versions
 from ..schemas import LIMITS, SETUP
 from ..sources.tables import day_view
 from ..sources.scratch import Scratch
@@ -251,6 +251,19 @@ def scd2_versions(spark, sf_dir):
     ))
 
 
+def scd2_upsert(spark, sf_dir):
+    """V1 + V2, S10: the monthly deviations stored as versions by partition, then those of 1996 again: only its partitions are replaced."""
+    months = _lineitem_months(spark, sf_dir)
+    path = Scratch(spark, "versions").root + "/results"
+    first = deviations(months, None, None, report_dttm=STAMP)
+    upsert_versions(path, first, STAMP)
+    year = F.year("end_of_calculation_period") == 1996
+    upsert_versions(path, deviations(months, None, None, report_dttm=STAMP_2).where(year), STAMP_2)
+    return present(spark.read.parquet(path).select(
+        "table_name", "column_name", "end_of_calculation_period", "rows_cnt", "delta_rows_cnt", "deviation_flg", "period_from_dt", "period_to_dt",
+    ))
+
+
 def relabel(spark, sf_dir):
     """Stored monthly profiles of lineitem relabelled as lineitem_v."""
     return present(relabel_table(to_statistics(_lineitem_months(spark, sf_dir)), "lineitem", "lineitem_v"))
@@ -605,6 +618,7 @@ REGISTRY = {
     "fresh_tables": fresh_tables_q,
     "slice_exists": slice_exists_q,
     "schedule_advance_v1": schedule_advance_v1,
+    "scd2_upsert": scd2_upsert,
     "run_checks": run_checks_q,
     "run_checks_recovered": run_checks_recovered,
     "profile_from_days": profile_from_days,

@@ -23,7 +23,6 @@ from ..operators.profile import Slice, profile_many, profile_period, to_statisti
 from ..operators.schedule import advanced_states, catch_up, count_due, due_checks
 from ..schemas import LIMITS, METRICS_TABLE, SETUP, SNAPSHOTS, STATISTICS, statistics_schema
 from ..sources.commit import KEYS, Folder, Run, missing, recover
-from ..sources.scratch import Scratch
 from ..sources.sinks import PARTITIONED, align, append, append_path
 
 
@@ -216,6 +215,8 @@ class V1Result:
     state_log: DataFrame  # S10 states, one per visited step
     statistics: DataFrame  # stored-form day profiles of the checked days
     results: DataFrame  # the next version of the versioned result table (V1 + V2)
+    rows: DataFrame | None = None  # this run's rows of it, to upsert
+    stamp: dt.datetime | None = None
 
 
 def run_v1(
@@ -270,17 +271,14 @@ def run_v1(
         results = rows
     else:
         results = merge_versions(stored_results, rows.drop("period_from_dt", "period_to_dt"), stamp)
-    return V1Result(checked, logs, to_statistics(current), results)
+    return V1Result(checked, logs, to_statistics(current), results, rows.drop("period_from_dt", "period_to_dt"), stamp)
 
 
 def store_v1(result: V1Result, state: str, statistics: str, results: str) -> None:
-    """Write a v1 run to path-addressed tables: state log and statistics are appended, the versioned results replaced.
+    """Write a v1 run to path-addressed tables: state log and statistics are appended, the versioned results upserted by partition."""
+    from ..operators.versions import upsert_versions
 
-    The next version is written aside first: it reads the table that it replaces.
-    """
-    spark = result.results.sparkSession
-    with Scratch(spark, "v1") as scratch:
-        version = scratch.pin(result.results, "results")
-        result.state_log.write.mode("append").parquet(state)
-        append_path(result.statistics, statistics, STATISTICS, PARTITIONED["dq_table_statistics"])
-        version.write.mode("overwrite").parquet(results)
+    result.state_log.write.mode("append").parquet(state)
+    append_path(result.statistics, statistics, STATISTICS, PARTITIONED["dq_table_statistics"])
+    if result.rows is not None:
+        upsert_versions(results, result.rows, result.stamp)

@@ -72,9 +72,9 @@ class Run:
 
     MANIFEST = "manifest.json"
 
-    def __init__(self, folder: Folder, run_id: str | None = None):
+    def __init__(self, folder: Folder, run_id: str | None = None, tables: list[str] = TABLES):
         self.folder, self.id = folder, run_id or uuid.uuid4().hex
-        self.parts: dict[str, list[str]] = {t: [] for t in TABLES}
+        self.parts: dict[str, list[str]] = {t: [] for t in tables}
 
     def stage(self, part: str, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
         """Write a part's rows aside; they belong to the run once all of them are there.  Returns them as read back."""
@@ -100,7 +100,7 @@ class Run:
 
     def apply(self, append: Callable[[DataFrame, str], None], read: Callable[[str], DataFrame] | None = None) -> None:
         """Store a published run; with ``read`` (a table's rows) only what is not there yet."""
-        for table in TABLES:
+        for table in self.parts:
             rows = self.staged(table)
             if rows is not None:
                 append(rows if read is None else missing(rows, read(table), KEYS[table]), table)
@@ -119,8 +119,11 @@ def missing(rows: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(there, cond, "left_anti")
 
 
-def recover(folder: Folder, append: Callable[[DataFrame, str], None], read: Callable[[str], DataFrame]) -> list[str]:
-    """Finish the published runs that were not stored whole, and delete what failed before; the ids of the former."""
+def recover(folder: Folder, append: Callable[[DataFrame, str], None], read: Callable[[str], DataFrame] | None) -> list[str]:
+    """Finish the published runs that were not stored whole, and delete what failed before; the ids of the former.
+
+    Without ``read``, ``append`` is one that may be repeated.
+    """
     finished = []
     for name in folder.names():
         if folder.exists(name, Run.MANIFEST):

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from driftwatch.operators.schedule import (
@@ -133,3 +134,32 @@ def test_parse_schedule_date(spark):
     df = spark.createDataFrame([("2024-01-05 10:11:12",), ("2024-01-05",), ("garbage",)], "s string")
     got = [r.t for r in df.select(parse_schedule_date(F.col("s")).alias("t")).collect()]
     assert got == [dt.datetime(2024, 1, 5, 10, 11, 12), dt.datetime(2024, 1, 5), None]
+
+
+def test_upsert_replaces_touched_partitions_only(spark, workdir, monkeypatch):
+    import os
+
+    from driftwatch.operators import versions
+    from driftwatch.operators.versions import upsert_versions
+
+    path = os.path.join(workdir, "results")
+    schema = "table_name string, end_of_calculation_period date, v int"
+    rows = spark.createDataFrame([("t", D(2024, 1, 1), 1), ("t", D(2024, 1, 2), 2), ("u", D(2024, 1, 2), 3), ("w", None, 4)], schema)
+    upsert_versions(path, rows, dt.datetime(2024, 2, 1))
+    files = lambda: {os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet") and "_runs" not in d}
+    before = files()
+    with monkeypatch.context() as m:  # lost after the manifest
+
+        def lost(self, *_):
+            raise OSError("store lost")
+
+        m.setattr(versions.Run, "apply", lost)
+        with pytest.raises(OSError):
+            upsert_versions(path, spark.createDataFrame([("t", D(2024, 1, 2), 9), ("w", None, 8)], schema), dt.datetime(2024, 3, 1))
+    assert files() == before
+    upsert_versions(path, spark.createDataFrame([("u", D(2024, 1, 3), 5)], schema), dt.datetime(2024, 4, 1))
+    after = files()
+    assert {f for f in before if "2024-01-01" in f or "table_name=u" in f} <= after
+    assert all("=t/end_of_calculation_period=2024-01-02" in f or "2024-01-03" in f or "__HIVE_DEFAULT" in f for f in after - before)
+    got = sorted((r.table_name, r.v, r.period_from_dt.month, r.period_to_dt.year) for r in spark.read.parquet(path).collect())
+    assert got == [("t", 1, 2, 2100), ("t", 2, 2, 2024), ("t", 9, 3, 2100), ("u", 3, 2, 2100), ("u", 5, 4, 2100), ("w", 4, 2, 2024), ("w", 8, 3, 2100)]
