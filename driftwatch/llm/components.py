@@ -7,51 +7,39 @@ from pyspark.sql import functions as F
 
 from driftwatch.llm.common import Scratch
 
-#: A vertex of more arcs than this, and more than one of ``HUBS`` parts of all arcs, is a hub.
-DEGREE, HUBS = 64, 10_000
 
+def _smallest(arcs: DataFrame) -> DataFrame:
+    return arcs.groupBy("u").agg(F.min("v").alias("least")).select("u", F.least("u", "least").alias("m"))
 
-def _with_least(arcs: DataFrame, count: int) -> tuple[DataFrame, DataFrame]:
-    """``arcs`` (u, v) with m, the least of u and its neighbours v; and (u, m) of each u.
 
-    Arcs are grouped by u after partial minima.  The arcs of a hub meet its minimum in parts of ``DEGREE`` arcs or so: there are at most
-    ``HUBS`` hubs, whose number of parts every task knows.
-    """
-    most = max(DEGREE, count // HUBS)
-    least = arcs.groupBy("u").agg(F.min("v").alias("least"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "least").alias("m"), "n")
-    parts = F.greatest(F.ceil(F.col("n") / most), F.lit(1)).cast("int")
-    hubs = least.where(F.col("n") > most).select("u", parts.alias("parts"))
-    dealt = arcs.join(F.broadcast(hubs), "u", "left").withColumn("part", F.pmod(F.xxhash64("v"), F.coalesce("parts", F.lit(1))).cast("int"))
-    copies = least.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).select("u", "part", "m")
-    return dealt.drop("parts").join(copies, ["u", "part"]).drop("part"), least.select("u", "m")
+def _digest(edges: DataFrame) -> tuple:
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 1_000_003)).first())
 
 
 def _same(a: DataFrame, b: DataFrame) -> bool:
     """Two tables of distinct arcs of the same number hold the same ones."""
-    return not a.join(b, ["u", "v"], "left_anti").limit(1).count()
+    return a.join(b, ["u", "v"], "left_anti").isEmpty()
 
 
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(v, root): for each vertex of ``edges`` (a, b) that is not itself the smallest of its component, that smallest one.
 
-    Each round moves every vertex's neighbours to its smallest neighbour, until a round leaves the arcs as they are.  Rounds are written to
-    the shared folder and the one before is deleted.
+    Each round moves every vertex's neighbours to its smallest neighbour, until a round leaves the arcs as they are (by their number and
+    a digest first, then compared).  A hub's arcs meet their minimum in a join, which Spark splits where a partition is large.  Rounds are
+    written to the shared folder and the one before is deleted.
     """
     arcs = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     arcs = scratch.pin(arcs, f"{name}0")
-    n, k = arcs.count(), 0
-    while n:
-        both = scratch.pin(arcs.unionByName(arcs.select(F.col("v").alias("u"), F.col("u").alias("v"))), f"{name}{k}both")
-        large, _ = _with_least(both, 2 * n)
-        large = large.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    seen, k, done = _digest(arcs), 0, False
+    while seen[0] and not done:
+        both = arcs.unionByName(arcs.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        large = both.join(_smallest(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         large = scratch.pin(large, f"{name}{k}large")
-        small, least = _with_least(large, large.count())
-        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+        least = _smallest(large)
+        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         small = scratch.pin(small.where("u <> v").distinct(), f"{name}{k + 1}")
-        before, arcs, m = arcs, small, small.count()
-        done = m == n and _same(before, arcs)
-        scratch.drop(f"{name}{k}", f"{name}{k}both", f"{name}{k}large")
-        n, k = m, k + 1
-        if done:
-            break
+        now = _digest(small)
+        done = now == seen and _same(arcs, small)
+        scratch.drop(f"{name}{k}", f"{name}{k}large")
+        arcs, k, seen = small, k + 1, now
     return arcs.select(F.col("u").alias("v"), F.col("v").alias("root"))
