@@ -165,3 +165,15 @@ def test_components(spark):
             root[a] = root[b] = min(root[a], root[b])
     assert got == {v: r for v, r in root.items() if v != r}
     assert components(spark.createDataFrame([], "a long, b long"), Scratch(spark, "t"), "x").count() == 0
+
+
+def test_components_of_hubs(spark):
+    """Vertices of many more arcs than DEGREE, the smallest, a middle and the largest of their components, beside a long chain."""
+    edges = [(0, k) for k in range(1, 200)] + [(1500, k) for k in range(1001, 1300)] + [(2400, k) for k in range(2001, 2300)]
+    edges += [(1500, 1600), (1600, 1700)] + [(2001, 3000)] + [(5000 + k, 5001 + k) for k in range(40)]
+    got = {r.v: r.root for r in components(spark.createDataFrame(edges, "a long, b long"), Scratch(spark, "t"), "x").collect()}
+    expected = {k: 0 for k in range(1, 200)}
+    expected |= {k: 1001 for k in [*range(1002, 1300), 1500, 1600, 1700]}
+    expected |= {k: 2001 for k in [*range(2002, 2300), 2400, 3000]}
+    expected |= {k: 5000 for k in range(5001, 5041)}
+    assert got == expected
