@@ -380,6 +380,12 @@ def oracle_sql() -> dict[str, str]:
             + ", ".join(f"prev_{m}" for m in METRICS)
             + f" FROM ({_joined(month)}) j"
         ),
+        "join_prev_added_column": (
+            "SELECT table_name, column_name, column_id, CASE column_name WHEN 'value' THEN 1 WHEN 'user_id' THEN 2 WHEN 'event_type' THEN 3 "
+            "WHEN 'props' THEN 4 ELSE 5 END AS identity, end_of_calculation_period, prev_end, "
+            + ", ".join(f"CASE WHEN column_name <> 'event_id' OR prev_end > DATE '2024-01-14' THEN prev_{m} END AS prev_{m}" for m in METRICS)
+            + f" FROM ({_joined(week_events)}) j WHERE end_of_calculation_period > DATE '2024-01-14'"
+        ),
         "previous_snapshot": (
             f"SELECT {STORED} FROM (SELECT *, rank() OVER (PARTITION BY table_name, interval_type ORDER BY end_of_calculation_period DESC) AS rnk "
             f"FROM ({_stored(month)}) h WHERE end_of_calculation_period < DATE '1998-07-14') x WHERE rnk = 1"

@@ -29,9 +29,10 @@ def _deviation_frame(
     default_limit,
     null_prev_zero_cur: float | None,
     store_scale: int = 2,
+    identities: DataFrame | None = None,
 ) -> DataFrame:
     """All deviation columns (deltas, flags, text) next to the joined rows."""
-    rows = apply_limits(join_previous(current, history, store_scale), limits, default_limit)
+    rows = apply_limits(join_previous(current, history, store_scale, identities), limits, default_limit)
     zero, tmpl_delta, dup_text, sep = templates["zero"], templates["delta"], templates["duplicates"], templates["sep"]
     out = rows
     parts, flags = [], []
@@ -80,15 +81,17 @@ def deviations(
     default_limit=DEFAULT_LIMIT_PCT,
     null_prev_zero_cur: float | None = None,
     store_scale: int = 2,
+    identities: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of ``dq_metrics`` for every row of ``current`` (any number of periods).
 
     ``current``: working-precision profile rows.  ``history``: stored
     ``dq_table_statistics`` rows (may be empty).  ``limits``: rows of
     ``dq_deviations_setup`` (may be None).  ``store_scale``: decimal places of
-    stored values (M5; with 6 an unchanged small mean is no deviation).  A lazy plan over ``current``; no collect.
+    stored values (M5; with 6 an unchanged small mean is no deviation).  ``identities``: a map of
+    columns across schema versions, see ``join_previous``.  A lazy plan over ``current``; no collect.
     """
-    out = _deviation_frame(current, history, limits, templates, default_limit, null_prev_zero_cur, store_scale)
+    out = _deviation_frame(current, history, limits, templates, default_limit, null_prev_zero_cur, store_scale, identities)
     return out.select(*_metrics_columns(out, report_dttm or dt.datetime.now()))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import METRICS
 from ..schemas import STATISTICS, statistics_schema
+from .identity import with_identity
 from .profile import to_statistics
 
 SNAPSHOT = ["table_name", "interval_type", "end_of_calculation_period", "report_dttm"]
@@ -76,12 +77,15 @@ def _null_safe(keys: list[str], left: DataFrame, right: DataFrame) -> Column:
     return cond
 
 
-def join_previous(current: DataFrame, history: DataFrame | None = None, store_scale: int = 2) -> DataFrame:
+def join_previous(current: DataFrame, history: DataFrame | None = None, store_scale: int = 2, identities: DataFrame | None = None) -> DataFrame:
     """J1 over any number of snapshots: current rows plus ``prev_<metric>``.
 
     Previous values are the stored ones (two decimal places, or ``store_scale``) as doubles (M5); the
     join on (table, column, id, type, comment) is NULL-safe (N4), so a column
-    without a comment still finds its previous value.
+    without a comment still finds its previous value.  With a map of
+    ``identities`` (``operators/identity.py``) the join is on (table, identity,
+    type), so an added or renamed column loses no other column's previous value;
+    a column that the map does not have finds none.
     """
     spark = current.sparkSession
     schema = statistics_schema(store_scale)
@@ -95,15 +99,22 @@ def join_previous(current: DataFrame, history: DataFrame | None = None, store_sc
     for c in SNAPSHOT:
         cond = cond & F.col(c).eqNullSafe(F.col(f"__{c}"))
     cur = current.join(links, cond, "left").drop(*[f"__{c}" for c in SNAPSHOT])
+    join_keys = JOIN_KEYS
+    if identities is not None:
+        join_keys = ["table_name", "__identity", "data_type"]
+        cur, pool = (with_identity(x, identities, "__identity") for x in (cur, pool))
+        pool = pool.where(F.col("__identity").isNotNull())
     prev = pool.select(
-        *JOIN_KEYS,
+        *join_keys,
         "interval_type",
         F.col("end_of_calculation_period").alias("prev_end"),
         F.col("report_dttm").alias("prev_dttm"),
         *[F.col(m).cast("double").alias(f"prev_{m}") for m in METRICS],
     ).alias("p")
-    keys = JOIN_KEYS + ["interval_type", "prev_end", "prev_dttm"]
+    keys = join_keys + ["interval_type", "prev_end", "prev_dttm"]
     joined = cur.alias("c").join(prev, _null_safe(keys, cur, prev), "left")
+    if identities is not None:
+        return joined.select(*[F.col(f"c.{c}") for c in cur.columns if c != "__identity"], *[F.col(f"p.prev_{m}") for m in METRICS])
     return joined.select("c.*", *[F.col(f"p.prev_{m}") for m in METRICS])  # c.* carries prev_end
 
 

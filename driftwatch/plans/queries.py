@@ -15,6 +15,7 @@ from ..functions.deltas import nan_to_null
 from ..functions.periods import parse_schedule_date, slice_day
 from ..operators.deviations import deviations, deviations_v1
 from ..operators.history import join_previous, previous_snapshot
+from ..operators.identity import column_identities, rename_column, with_identity
 from ..operators.profile import Slice, profile_many, profile_period, profile_periods, sorted_profile, source_duplicates, to_statistics
 from ..operators.schedule import (
     advanced_states,
@@ -42,6 +43,7 @@ STAMP_2 = dt.datetime(2024, 3, 2, 12, 0, 0)
 RUN_DATE = dt.date(1998, 7, 1)
 RUN_DATE_MID_END = dt.date(1998, 7, 14)
 RUN_DATE_BETWEEN = dt.date(2001, 11, 1)  # after the last check of some pairs, before that of others
+LAYOUT_END = dt.date(2024, 1, 14)  # the last day of the events' earlier layout
 CATCH_UP = (dt.date(2024, 1, 7), dt.date(2024, 1, 21))
 RUN_DATE_LATE = dt.date(2030, 1, 1)
 
@@ -183,6 +185,23 @@ def join_prev(spark, sf_dir):
     )
 
 
+def join_prev_added_column(spark, sf_dir):
+    """Weeks of events after a column was added and another renamed, with the stored values of the layout before."""
+    events = read(spark, sf_dir, "events")
+    before = profile_periods(events.drop("event_id").withColumnRenamed("value", "amount"), "events", "ts", "week", report_dttm=STAMP)
+    before = before.where(F.col("end_of_calculation_period") <= F.lit(LAYOUT_END))
+    after = profile_periods(events, "events", "ts", "week", report_dttm=STAMP).where(F.col("end_of_calculation_period") > F.lit(LAYOUT_END))
+    ids = rename_column(column_identities(before), "events", "amount", "value", LAYOUT_END + dt.timedelta(days=1))
+    ids = column_identities(after, ids)
+    j = with_identity(join_previous(after, to_statistics(before), identities=ids), ids)
+    return present(
+        j.select(
+            "table_name", "column_name", "column_id", "identity", "end_of_calculation_period", "prev_end",
+            *[F.col(c) for c in j.columns if c.startswith("prev_") and c not in ("prev_end", "prev_dttm")],
+        )
+    )
+
+
 def previous_snapshot_q(spark, sf_dir):
     """W1 + F4 (reference form): a mid-month check on 1998-07-15 looks up the
     latest stored snapshot with end < 1998-07-14 in the derived monthly history."""
@@ -595,6 +614,7 @@ REGISTRY = {
     "deviations_month_limits": deviations_month_limits,
     "deviations_day_v1": deviations_day_v1,
     "join_prev": join_prev,
+    "join_prev_added_column": join_prev_added_column,
     "previous_snapshot": previous_snapshot_q,
     "scd2_versions": scd2_versions,
     "relabel_table": relabel,

@@ -97,6 +97,7 @@ def run_checks(
     report_dttm: dt.datetime | None = None,
     templates: dict = TEMPLATES_RU,
     default_limit=DEFAULT_LIMIT_PCT,
+    identities: DataFrame | None = None,
 ) -> int:
     """V5: run all due checks as of ``current_date``; returns the number of (table, interval) pairs run.
 
@@ -104,6 +105,8 @@ def run_checks(
     table that fails (``PySparkException`` or ``ValueError``; any other error
     ends the run) leaves the others' results: they are stored and their
     schedules advanced, then ``ChecksFailed`` names the failed ones.
+    ``identities``: the columns' map across schema versions, if one is kept
+    (``operators/identity.py``); default: J1 joins on the column ids.
 
     All of a run's rows are staged and its manifest is published before any
     table is written (``sources/commit.py``).  A run that fails before that
@@ -135,7 +138,7 @@ def run_checks(
         history = history_of(store.read(spark, "statistics"), earlier_snapshots(current, index))
         if earlier is not None:  # of this run
             history = history.unionByName(earlier.where(F.col("table_name").isin(names)))
-        dev = deviations(current, history, store.read(spark, "limits"), report_dttm=at, templates=templates, default_limit=default_limit, store_scale=store.store_scale)
+        dev = deviations(current, history, store.read(spark, "limits"), report_dttm=at, templates=templates, default_limit=default_limit, store_scale=store.store_scale, identities=identities)
         return {"metrics": align(dev, METRICS_TABLE), "statistics": to_statistics(current, store.store_scale), "snapshots": snapshot_keys(current)}
 
     def batch_of(rows: list, part: str) -> None:
