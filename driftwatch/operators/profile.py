@@ -2,13 +2,13 @@
 
 Plan (two-level aggregate, one scan):
 
-    scan -> where(slice) -> unpivot to (period, table, column, value)
-         -> groupBy(period, column, raw value)    combined map-side; long texts by their digests
-         -> groupBy(period, column, decimal)      combined map-side; texts end here as one row of counts
-         -> range partitions of the decimals, written once to the shared folder
-         -> groupBy(period, column)               algebraic metrics
-         -> exact distributed median (median.py)  from the decimals' frequencies
-         -> join on (period, column)
+    scan -> where(slice) -> unpivot to (group, value), a group being period, table and column in one bigint
+         -> a number as its millionths, a bigint; a large one as its decimal's text; a long text as its digest
+         -> groupBy(group, value)                 combined map-side, the only exchange of values
+         -> written once to the shared folder     a row of counts for each value, without texts
+         -> groupBy(group)                        algebraic metrics, the ends of its values
+         -> exact distributed median (median.py)  counts by parts of these, then the few rows of one part
+         -> join on the group
 
 Several schedules of one table share one scan: its values are counted by day
 first, and each day's counts are expanded to all periods that hold the day
@@ -16,24 +16,25 @@ first, and each day's counts are expanded to all periods that hold the day
 and merged later, without the rows (``operators/state.py``).
 
 There is one plan for every size.  A value held by a third of all rows is
-combined before the first shuffle, and so are raw values that round alike
-before the range exchange; nothing is collected to the driver.
+combined before the shuffle; nothing that grows with the rows is collected to
+the driver, and no task holds a whole group.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..config import MEAN_DECIMAL, STORE_DECIMAL, STORE_DECIMAL_6, WORK_DECIMAL, shuffle_partitions
+from ..config import MEAN_DECIMAL, STORE_DECIMAL, STORE_DECIMAL_6, WORK_DECIMAL
 from ..functions.deltas import python_round_2
 from ..functions.periods import normalise_interval, python_bounds, row_period_end, slice_day, text_day_range
 from ..functions.types import median_value, numeric_value, text_key, text_value
 from ..schemas import STATISTICS, statistics_schema
 from ..sources.scratch import Scratch
-from .median import median_of_ranged
+from .median import MEDIAN_PARTS, median_by_parts
 from .structure import ColumnSpec, table_structure
 
 PROFILE_COLUMNS = [f.name for f in STATISTICS.fields]
@@ -115,78 +116,164 @@ class Slice:
         return {"day": pe, "week": F.date_sub(pe, 6), "month": F.trunc(pe, "MM")}[self.interval_type]
 
 
-def _raw(c: Column, spec: ColumnSpec) -> list[Column]:
-    """The column's value in cheap, exactly-typed slots: double, bigint, working decimal, text; and whether there is one.
+def _raw(c: Column, spec: ColumnSpec) -> dict[str, Column]:
+    """The column's value in cheap, exactly-typed slots, of which it fills those that its type needs.
 
-    A decimal is its working decimal and its truncation, all that any metric uses of it.  A text is its length and its bytes, a long one
-    its length and its digest: whole texts are not shuffled, and texts that share a digest would have to share their length too.
+    ``rd`` holds doubles, ``rl`` integers; a decimal is its working decimal ``rx``, its truncation ``rb`` (all that any metric uses of
+    it) and ``rp``, whether there is one.  A text is its length ``rn`` and its bytes ``rs``, a long one its length and its digest: whole
+    texts are not shuffled, and texts that share a digest would have to share their length too.
     """
-    nul = lambda t: F.lit(None).cast(t)
-    rd, rl, rx, rs, rn = nul("double"), nul("bigint"), nul(WORK_DECIMAL), nul("binary"), nul("int")
     if spec.klass == "text":
         text = text_value(c, spec.dtype)
-        rs, rn = text_key(text), F.octet_length(text)
-    elif isinstance(spec.dtype, (T.DoubleType, T.FloatType)):
-        rd = c.cast("double")
-    elif isinstance(spec.dtype, T.DecimalType):
-        rl, rx = median_value(c), numeric_value(c)
-    else:
-        rl = c.cast("bigint")
-    return [x.alias(n) for n, x in zip(RAW, (rd, rl, rx, rs, rn, c.isNotNull()))]
+        return {"rs": text_key(text), "rn": F.octet_length(text)}
+    if isinstance(spec.dtype, (T.DoubleType, T.FloatType)):
+        return {"rd": c.cast("double")}
+    if isinstance(spec.dtype, T.DecimalType):
+        return {"rx": numeric_value(c), "rb": median_value(c), "rp": c.isNotNull()}
+    return {"rl": c.cast("bigint")}
 
 
-RAW = ["rd", "rl", "rx", "rs", "rn", "rp"]
+RAW = {"rd": "double", "rl": "bigint", "rx": WORK_DECIMAL, "rb": "bigint", "rp": "boolean", "rs": "binary", "rn": "int"}
 #: What is known of a value beside its keys: how many rows hold it, how many are no null, how many have a truncation, and how many its own.
 PARTIALS = ["n", "np", "nbm", "nb"]
+#: A value: a number as millionths (``k``), a larger one as its text (``rs``), or a text as its length and its bytes or digest (both).
+VALUE = ["k", "rs"]
 
 
 def _long(sliced: DataFrame, specs: list[ColumnSpec], t: int, period: str = "__pe") -> DataFrame:
-    """Unpivot (Expand) to one row per (row, column) with the raw value in its slot.
+    """Unpivot (Expand) to one row per (row, column) with the raw value in its slot; slots that no column of the table fills are left out.
 
-    The period and the keys travel inside the struct, so after the Expand
-    they are plain attributes, never folded literals.
+    The period and the keys stand among the columns that are unpivoted, so after the Expand they are plain attributes, never folded literals.
+    The Expand takes flat columns: with a struct for each column, every value of the table would be an object.
     """
-    structs = []
-    for s in specs:
-        keys = [F.col(period).alias("pe"), F.lit(t).cast("int").alias("tid"), F.lit(s.column_id).cast("int").alias("cid")]
-        dec = [F.lit(isinstance(s.dtype, T.DecimalType)).alias("dec")]
-        structs.append(F.struct(*keys, *_raw(_q(s.name), s), *dec).alias(f"c{s.column_id}"))
-    wide = sliced.select(*structs)
-    return wide.unpivot([], [f"c{s.column_id}" for s in specs], "__k", "__s").select("__s.*")
+    slots = [{"pe": F.col(period), "tid": F.lit(t).cast("int"), "cid": F.lit(s.column_id).cast("int"), **_raw(_q(s.name), s)} for s in specs]
+    names = [*KEYS, *[r for r in RAW if any(r in s for s in slots)]]
+    types = {**RAW, "pe": "date", "tid": "int", "cid": "int"}
+    wide = sliced.select(*[s.get(c, F.lit(None)).cast(types[c]).alias(f"{c}_{i}") for i, s in enumerate(slots) for c in names])
+    columns = ", ".join(f"({', '.join(f'{c}_{i}' for c in names)})" for i in range(len(slots)))
+    return sliced.sparkSession.sql(f"SELECT {', '.join(names)} FROM {{wide}} UNPIVOT INCLUDE NULLS (({', '.join(names)}) FOR __of IN ({columns}))", wide=wide)
+
+
+MILLION = 1_000_000
+#: Numbers up to here are counted by their millionths, a bigint; others, few in most tables, by their working decimal.
+LARGEST = 4 * 10**12
+
+
+def _millionths(vn: Column) -> Column:
+    """A working decimal's millionths, if it is not too large."""
+    return F.when(F.abs(vn) <= LARGEST, (vn * MILLION).cast("bigint"))
+
+
+def _number(vn: Column) -> list[Column]:
+    """A working decimal as ``k``, or as its text where it is too large for that."""
+    return [_millionths(vn).alias("k"), F.when(F.abs(vn) > LARGEST, F.encode(vn.cast("string"), "UTF-8")).alias("rs")]
+
+
+def _decimal(k: Column) -> Column:
+    return (k.cast("decimal(20,0)") * F.lit(Decimal("0.000001"))).cast(WORK_DECIMAL)
+
+
+def _large(text: Column) -> Column:
+    return text.cast("string").cast(WORK_DECIMAL)
+
 
+def _main(k: Column, large: Column) -> Column:
+    """The number's truncation toward zero."""
+    return F.coalesce(F.call_function("div", k, F.lit(MILLION).cast("bigint")), large.try_cast("bigint"))
 
-def _truncations() -> tuple[Column, Column]:
-    """A value v (rounded to 6 dp) holds rows whose bigint truncation is trunc(v) or, for a row just below an integer, one step toward zero."""
-    main = F.col("vn").try_cast("bigint")
-    return main, main - F.signum(F.col("vn")).cast("bigint")
+
+def _is_text() -> Column:
+    return F.col("k").isNotNull() & F.col("rs").isNotNull()
+
+
+def _own_number() -> list[Column]:
+    """A value's number, as ``k`` or ``large``."""
+    return [F.when(F.col("rs").isNull(), F.col("k")).alias("k"), F.when(F.col("k").isNull(), F.col("rs")).alias("large")]
+
+
+def _converted(rows: DataFrame, *keys: str) -> DataFrame:
+    """``keys``, VALUE and what PARTIALS count (``p``: not null, ``b``: has a truncation, ``bm``: the number's own) of raw values.
+
+    A double of moderate size next to a multiple of a millionth rounds to that one, and an integer needs no decimal; others, each once, go
+    through the working decimal.
+    """
+    rd, rl, rx, rb, rp, rs, rn = [F.col(c) if c in rows.columns else F.lit(None).cast(t) for c, t in RAW.items()]
+    scaled = rd * F.lit(float(MILLION))
+    near = (F.abs(rd) < F.lit(2.0**28)) & (F.abs(scaled - F.rint(scaled)) < F.lit(0.25))
+    fast = F.when(near, F.rint(scaled).cast("bigint")).when(rl.between(-LARGEST, LARGEST), rl * MILLION).otherwise(rn)
+    vn = F.when(~F.coalesce(near, F.lit(False)) & ~F.coalesce(rl.between(-LARGEST, LARGEST), F.lit(False)), F.coalesce(rx, numeric_value(rd), numeric_value(rl)))
+    conv = rows.select(
+        *keys, fast.alias("fast"), vn.alias("vn"), rs.alias("rs"), F.coalesce(rb, median_value(rd), rl).alias("b"),
+        F.coalesce(rp, rd.isNotNull() | rl.isNotNull() | rn.isNotNull()).alias("p"),
+    )
+    k, large = _number(F.col("vn"))
+    values = conv.select(*keys, F.coalesce("fast", k).alias("k"), F.coalesce("rs", large).alias("rs"), "b", "p")
+    main = _main(F.col("k"), F.when(F.col("k").isNull(), _large(F.col("rs"))))
+    return values.select(*keys, *VALUE, "p", F.col("b").isNotNull().alias("b"), F.coalesce(F.col("b") == main, F.lit(False)).alias("bm"))
 
 
 def value_counts(long: DataFrame) -> DataFrame:
-    """KEYS, vn (working decimal), rs, rn (text) and PARTIALS of each raw value: additive, so days add up to weeks and months.
+    """KEYS, VALUE and PARTIALS of each raw value: additive, so days add up to weeks and months.
 
     A value may have several rows, one for each raw form.
     """
-    raw = long.groupBy(*KEYS, *RAW, "dec").agg(F.count(F.lit(1)).alias("n"))
-    rd, rl, n = F.col("rd"), F.col("rl"), F.col("n")
-    # the working decimal and the truncation, once per distinct raw value
-    vn = F.when(F.col("dec"), F.col("rx")).otherwise(F.coalesce(numeric_value(rd), numeric_value(rl)))
-    conv = raw.select(*KEYS, vn.alias("vn"), F.coalesce(median_value(rd), rl).alias("b"), "rs", "rn", F.col("rp").alias("p"), "n")
-    main, _ = _truncations()
-    return conv.select(
-        *KEYS, "vn", "rs", "rn", "n",
-        F.when(F.col("p"), n).otherwise(0).alias("np"),
-        F.when(F.col("b") == main, n).otherwise(0).alias("nbm"),
-        F.when(F.col("b").isNotNull(), n).otherwise(0).alias("nb"),
-    )
+    raw = long.groupBy(*KEYS, *[c for c in RAW if c in long.columns]).agg(F.count(F.lit(1)).alias("n"))
+    n = F.col("n")
+    counted = [F.when(F.col(flag), n).otherwise(0).alias(c) for c, flag in (("np", "p"), ("nbm", "bm"), ("nb", "b"))]
+    return _converted(raw, *KEYS, "n").select(*KEYS, *VALUE, "n", *counted)
+
+
+def number_counts(long: DataFrame, *keys: str) -> DataFrame:
+    """``keys``, VALUE and PARTIALS of each value, once: its raw forms meet before the only exchange."""
+    counted = [F.count(F.when(F.col(flag), 1)).alias(c) for c, flag in (("np", "p"), ("nbm", "bm"), ("nb", "b"))]
+    return _converted(long, *keys).groupBy(*keys, *VALUE).agg(F.count(F.lit(1)).alias("n"), *counted)
+
+
+def counted_values(days: DataFrame) -> DataFrame:
+    """Stored counts, whose numbers are working decimals, by VALUE."""
+    k, large = _number(F.col("vn"))
+    return days.select("pe", "cid", F.coalesce(k, F.col("rn").cast("bigint")).alias("k"), F.coalesce("rs", large).alias("rs"), *PARTIALS)
+
+
+def stored_values(values: DataFrame) -> DataFrame:
+    """Counts by VALUE with their numbers as working decimals, as they are stored."""
+    k, large = _own_number()
+    texts = [F.when(_is_text(), F.col("rs")).alias("rs"), F.when(_is_text(), F.col("k")).cast("int").alias("rn")]
+    return values.select(*KEYS, F.coalesce(_decimal(k), _large(large)).alias("vn"), *texts, *PARTIALS)
 
 
 def _sums() -> list[Column]:
     return [F.sum(c).alias(c) for c in PARTIALS]
 
 
+# KEYS as one bigint: whether there is a period end, 14 bits of the table, 16 of the column, 32 of the day.
+DATED, TABLES, COLUMNS = 62, 2**14, 2**16
+
+
+def _group() -> Column:
+    dated = F.when(F.col("pe").isNotNull(), F.lit(1 << DATED)).otherwise(F.lit(0)).cast("bigint")
+    day = F.coalesce(F.unix_date("pe"), F.lit(0)).cast("bigint").bitwiseAND(F.lit(2**32 - 1))
+    own = F.col("tid").cast("bigint") * F.lit(COLUMNS) + F.col("cid")
+    return (dated + F.shiftleft(own, 32) + day).alias("g")
+
+
+def _group_keys() -> list[Column]:
+    g, sign = F.col("g"), F.lit(2**31).cast("bigint")
+    day = (g.bitwiseAND(F.lit(2**32 - 1)).bitwiseXOR(sign) - sign).cast("int")
+    own = lambda shift, size: F.shiftright(g, shift).bitwiseAND(F.lit(size - 1).cast("bigint")).cast("int")
+    return [F.when(g >= F.lit(1 << DATED), F.date_from_unix_date(day)).alias("pe"), own(48, TABLES).alias("tid"), own(32, COLUMNS).alias("cid")]
+
+
 def _merged(values: DataFrame) -> DataFrame:
-    """One row per decimal; all texts of a group become one row with their number (``values`` holds each text of a group once)."""
-    return values.groupBy(*KEYS, "vn").agg(*_sums(), F.count("rs").alias("nt"))
+    """One row per number of a group; all texts of a group become one row with their number (``values`` holds each text of a group once)."""
+    rows = values.select(_group(), *_own_number(), *PARTIALS, _is_text().alias("text"))
+    return rows.groupBy("g", "k", "large").agg(*_sums(), F.count(F.when(F.col("text"), 1)).alias("nt"))
+
+
+def _numbers(long: DataFrame) -> DataFrame:
+    """One row per number or text of a group, in the form of ``_merged``, after one exchange."""
+    values = number_counts(long.select(_group(), *[c for c in RAW if c in long.columns]), "g")
+    return values.select("g", *_own_number(), *PARTIALS, _is_text().cast("bigint").alias("nt"))
 
 
 def _merged_days(days: DataFrame, slices: list[tuple[int, Slice]]) -> DataFrame:
@@ -200,52 +287,67 @@ def _merged_days(days: DataFrame, slices: list[tuple[int, Slice]]) -> DataFrame:
             inside = inside & (day >= F.lit(lo))
         if hi is not None:
             inside = inside & (day <= F.lit(hi))
-        periods.append(F.when(inside, F.struct(F.lit(t).cast("int").alias("tid"), sl.period_of(day).alias("pe"))))
-    each = days.withColumn("__p", F.explode(F.filter(F.array(*periods), lambda p: p.isNotNull())))
-    each = each.select("__p.pe", "__p.tid", "cid", "vn", "rs", "rn", *PARTIALS)
-    return _merged(each.groupBy(*KEYS, "vn", "rs", "rn").agg(*_sums()))
-
-
-def _levels(merged: DataFrame, median_partitions: int, scratch: Scratch) -> DataFrame:
-    """All metrics of the (period, table, column) groups, from their decimals."""
-    bm, alt = _truncations()
-    # Pinned with the partition id, so that ids stay the same for both readers
-    # and after the loss of an executor.
-    ranged = scratch.pin(merged.repartitionByRange(median_partitions, *KEYS, "vn").withColumn("__pid", F.spark_partition_id()), "decimals")
-    # One pass over the pinned rows: partials per (group, range partition)
-    # feed both level 2 and the median's rank offsets.  A decimal is one row.
-    product = F.try_multiply(F.col("vn"), F.col("n"))
-    parts = ranged.groupBy(*KEYS, "__pid").agg(
+        periods.append((inside, sl.period_of(day), F.lit(t).cast("int")))
+    if len(periods) == 1:
+        (inside, pe, tid), = periods
+        each = days.where(inside).select(pe.alias("pe"), tid.alias("tid"), "cid", *VALUE, *PARTIALS)
+    else:
+        structs = [F.when(inside, F.struct(tid.alias("tid"), pe.alias("pe"))) for inside, pe, tid in periods]
+        each = days.withColumn("__p", F.explode(F.filter(F.array(*structs), lambda p: p.isNotNull())))
+        each = each.select("__p.pe", "__p.tid", "cid", *VALUE, *PARTIALS)
+    return _merged(each.groupBy(*KEYS, *VALUE).agg(*_sums()))
+
+
+def _order(k: Column, large: Column) -> Column:
+    """A bigint in the order of the numbers: the millionths, and beyond them the sign and the logarithm of a large one (several may share it)."""
+    beyond = F.lit(LARGEST * MILLION) + (F.log10(F.abs(large).cast("double")) * F.lit(1e16)).cast("bigint")
+    return F.coalesce(k, F.when(large > 0, beyond).otherwise(-beyond))
+
+
+def _levels(merged: DataFrame, partitions: int | None, scratch: Scratch) -> DataFrame:
+    """All metrics of the (period, table, column) groups, from their numbers.
+
+    The numbers are pinned where the last exchange has left them, or (``partitions``) spread over that many ranges, and
+    medians are looked for in that many parts of a group.
+    """
+    spread = merged.repartitionByRange(partitions, "g", "k", "large") if partitions else merged
+    ranged = scratch.pin(spread.withColumn("cid", _group_keys()[2]).withColumn("__pid", F.spark_partition_id()), "decimals")
+    k, n, large = F.col("k"), F.col("n"), _large(F.col("large"))
+    ranged = ranged.withColumn("o", _order(k, large))
+    number = F.col("o").isNotNull()
+    product = F.try_multiply(large, n)
+    # The sum in three parts of 22 bits and less, none of which can overflow: k = a * 2**44 + b * 2**22 + c.
+    mask = F.lit(2**22 - 1).cast("bigint")
+    limbs = [F.shiftright(k, 44), F.shiftright(k, 22).bitwiseAND(mask), k.bitwiseAND(mask)]
+    truncated = F.col("nb") > 0
+    level2 = ranged.groupBy("g").agg(
         F.sum("n").alias("rows_cnt"),
         F.sum("np").alias("completed_rows_cnt"),
-        (F.count("vn") + F.sum("nt")).alias("distinct_values_cnt"),
-        F.min("vn").alias("minimum_value"),
-        F.max("vn").alias("maximum_value"),
-        F.try_sum(product).alias("sum_of_values"),
-        F.sum(F.when(F.col("vn").isNotNull(), F.col("n"))).alias("__k"),
-        F.max(F.col("vn").isNotNull() & product.isNull()).alias("__over"),
-        F.sum("nb").alias("__pc"),
+        (F.count("o") + F.sum("nt")).alias("distinct_values_cnt"),
+        F.min("k").alias("__min"), F.max("k").alias("__max"), F.min(large).alias("__least"), F.max(large).alias("__most"),
+        *[F.sum(limb * n).alias(f"__s{i}") for i, limb in enumerate(limbs)],
+        F.try_sum(product).alias("__sl"),
+        F.sum(F.when(number, n)).alias("__k"),
+        F.max(large.isNotNull()).alias("__any"),
+        F.max(large.isNotNull() & product.isNull()).alias("__over"),
+        F.sum("nb").alias("__n"), F.sum(truncated.cast("bigint")).alias("__rows"),
+        F.min(F.when(truncated, F.col("o"))).alias("__lo"), F.max(F.when(truncated, F.col("o"))).alias("__hi"),
     )
-    over = F.col("__over") | (F.col("__k").isNotNull() & F.col("sum_of_values").isNull())
-    level2 = parts.groupBy(*KEYS).agg(
-        F.sum("rows_cnt").alias("rows_cnt"),
-        F.sum("completed_rows_cnt").alias("completed_rows_cnt"),
-        F.sum("distinct_values_cnt").alias("distinct_values_cnt"),
-        F.min("minimum_value").alias("minimum_value"),
-        F.max("maximum_value").alias("maximum_value"),
-        F.when(~F.max(over), F.try_sum("sum_of_values")).alias("sum_of_values"),  # NULL where it does not fit
-        F.sum("__k").alias("__k"),
+    level2 = scratch.pin(level2.select("*", *_group_keys()).withColumn("__pid", F.lit(0)), "groups")
+    s0, s1, s2 = [F.coalesce(f"__s{i}", F.lit(0)).cast("decimal(20,0)") for i in range(3)]
+    sums = (s0 * F.lit(Decimal(2**44)) + s1 * F.lit(Decimal(2**22)) + s2) * F.lit(Decimal("0.000001"))
+    fits = F.col("__k").isNotNull() & ~F.coalesce("__over", F.lit(False)) & ~(F.col("__any") & F.col("__sl").isNull())
+    metrics = level2.select(
+        "g", *KEYS, "rows_cnt", "completed_rows_cnt", "distinct_values_cnt", "__k",
+        F.least(_decimal(F.col("__min")), "__least").alias("minimum_value"),
+        F.greatest(_decimal(F.col("__max")), "__most").alias("maximum_value"),
+        F.when(fits, F.try_add(sums.try_cast(WORK_DECIMAL), F.coalesce("__sl", F.lit(0).cast(WORK_DECIMAL))).try_cast(WORK_DECIMAL)).alias("sum_of_values"),  # NULL where it does not fit
     )
-    numeric = ranged.withColumn("main", bm).withColumn("alt", alt)
-    med = median_of_ranged(numeric, KEYS, "vn", per_part=parts.select(*KEYS, "__pid", "__pc")).select(
-        *[F.col(k).alias(f"m{k}") for k in KEYS], "median_value"
-    )
-    return _join_levels(level2, med)
-
-
-def _join_levels(level2: DataFrame, med: DataFrame) -> DataFrame:
-    cond = F.col("pe").eqNullSafe(F.col("mpe")) & (F.col("tid") == F.col("mtid")) & (F.col("cid") == F.col("mcid"))
-    return _final_levels(level2.join(med, cond, "left"))
+    main = _main(k, large)
+    numeric = ranged.where(truncated).select("g", "o", large.alias("x"), "nb", "nbm", main.alias("main"), (main - F.signum("o").cast("bigint")).alias("alt"))
+    groups = level2.select("g", "cid", "__n", "__rows", "__lo", "__hi")
+    med = median_by_parts(numeric, ["g"], groups, partitions or MEDIAN_PARTS, scratch.pin).withColumnRenamed("g", "mg")
+    return _final_levels(metrics.join(med, F.col("g") == F.col("mg"), "left"))
 
 
 def _final_levels(joined: DataFrame) -> DataFrame:
@@ -299,6 +401,12 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _union_of_all(longs: list[DataFrame]) -> DataFrame:
+    """The tables' raw values; a slot that a table does not fill is null."""
+    slots = [c for c in RAW if any(c in long.columns for long in longs)]
+    return _union([long.select(*KEYS, *[F.col(c) if c in long.columns else F.lit(None).cast(RAW[c]).alias(c) for c in slots]) for long in longs])
+
+
 def _days_between(df: DataFrame, lo: dt.date | None, hi: dt.date | None) -> DataFrame:
     if lo is not None:
         df = df.where(F.col("day") >= F.lit(lo))
@@ -329,6 +437,8 @@ def profile_many(
     """
     if not slices:
         raise ValueError("nothing to profile")
+    if len(slices) > TABLES or any(len(sl.df.columns) >= COLUMNS for sl in slices):
+        raise ValueError(f"more than {TABLES} slices in one job, or {COLUMNS} columns")
     spark = slices[0].df.sparkSession
     longs, merged, dups = [], [], []
     for group in _one_scan(slices):
@@ -347,7 +457,7 @@ def profile_many(
         if first.state is None:
             days = value_counts(_long(rows, first.specs, t, "__day"))
         else:
-            days = _days_between(first.state, lo, hi).withColumnRenamed("day", "pe")
+            days = counted_values(_days_between(first.state, lo, hi).withColumnRenamed("day", "pe"))
         merged.append(_merged_days(days, group))
         if duplicates == "source":  # equal rows are of one day
             days = source_duplicates(rows, first.df.schema, t, "__day")
@@ -355,9 +465,9 @@ def profile_many(
                 own = _days_between(days.withColumnRenamed("__pe", "day"), *sl.bounds()).withColumn("__pe", sl.period_of(F.col("day")))
                 dups.append(own.groupBy("__pe").agg(F.sum("dublicates_cnt").alias("dublicates_cnt")).withColumn("__t", F.lit(k)))
     if longs:
-        merged.insert(0, _merged(value_counts(_union(longs))))
+        merged.insert(0, _numbers(_union_of_all(longs)))
     with Scratch(spark, "profile") as scratch:
-        levels = _levels(_union(merged), median_partitions or shuffle_partitions(spark), scratch)
+        levels = _levels(_union(merged), median_partitions, scratch)
         # The profile is small (periods x columns) and read several times
         # (deviations, history pool, storage): it is pinned, and the decimals
         # that it was computed from are deleted.

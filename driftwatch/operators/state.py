@@ -13,7 +13,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .profile import KEYS, PARTIALS, _long, _sums, by_day, value_counts
+from .profile import KEYS, PARTIALS, _long, _sums, by_day, number_counts, stored_values
 from .structure import table_structure
 
 COLUMNS = ["day", "cid", "vn", "rs", "rn", *PARTIALS]
@@ -22,8 +22,8 @@ COLUMNS = ["day", "cid", "vn", "rs", "rn", *PARTIALS]
 def day_state(df: DataFrame, date_field: str, first: dt.date | None = None, last: dt.date | None = None, column_id: str = "v2") -> DataFrame:
     """The state of the days ``first`` to ``last`` (none: from the first, to the last) of a table: ``COLUMNS``."""
     specs = table_structure(df.schema, date_field, column_id)
-    counts = value_counts(_long(by_day(df, date_field, first, last), specs, 0, "__day"))
-    return counts.groupBy(*KEYS, "vn", "rs", "rn").agg(*_sums()).withColumnRenamed("pe", "day").select(*COLUMNS)
+    counts = number_counts(_long(by_day(df, date_field, first, last), specs, 0, "__day"), *KEYS)
+    return stored_values(counts).withColumnRenamed("pe", "day").select(*COLUMNS)
 
 
 def merged_state(state: DataFrame, *others: DataFrame) -> DataFrame:
