@@ -264,16 +264,19 @@ def _group_keys() -> list[Column]:
     return [F.when(g >= F.lit(1 << DATED), F.date_from_unix_date(day)).alias("pe"), own(48, TABLES).alias("tid"), own(32, COLUMNS).alias("cid")]
 
 
+def _own_numbers(values: DataFrame) -> DataFrame:
+    """Counts by group and VALUE (each once) as rows of a number (``k`` or ``large``) or of a text, which stays as a count only (``nt``)."""
+    return values.select("g", *_own_number(), *PARTIALS, _is_text().cast("bigint").alias("nt"))
+
+
 def _merged(values: DataFrame) -> DataFrame:
-    """One row per number of a group; all texts of a group become one row with their number (``values`` holds each text of a group once)."""
-    rows = values.select(_group(), *_own_number(), *PARTIALS, _is_text().alias("text"))
-    return rows.groupBy("g", "k", "large").agg(*_sums(), F.count(F.when(F.col("text"), 1)).alias("nt"))
+    """One row per number or text of a group, of counts that may have several rows of one value."""
+    return _own_numbers(values.select(_group(), *VALUE, *PARTIALS).groupBy("g", *VALUE).agg(*_sums()))
 
 
 def _numbers(long: DataFrame) -> DataFrame:
-    """One row per number or text of a group, in the form of ``_merged``, after one exchange."""
-    values = number_counts(long.select(_group(), *[c for c in RAW if c in long.columns]), "g")
-    return values.select("g", *_own_number(), *PARTIALS, _is_text().cast("bigint").alias("nt"))
+    """One row per number or text of a group, after one exchange."""
+    return _own_numbers(number_counts(long.select(_group(), *[c for c in RAW if c in long.columns]), "g"))
 
 
 def _merged_days(days: DataFrame, slices: list[tuple[int, Slice]]) -> DataFrame:
@@ -295,7 +298,7 @@ def _merged_days(days: DataFrame, slices: list[tuple[int, Slice]]) -> DataFrame:
         structs = [F.when(inside, F.struct(tid.alias("tid"), pe.alias("pe"))) for inside, pe, tid in periods]
         each = days.withColumn("__p", F.explode(F.filter(F.array(*structs), lambda p: p.isNotNull())))
         each = each.select("__p.pe", "__p.tid", "cid", *VALUE, *PARTIALS)
-    return _merged(each.groupBy(*KEYS, *VALUE).agg(*_sums()))
+    return _merged(each)
 
 
 def _order(k: Column, large: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import driftwatch.operators.median as M
 import driftwatch.operators.profile as P
 from driftwatch.operators.profile import Slice, profile_many, profile_periods, profile_table
+from driftwatch.operators.state import day_state
 
 D = dt.date
 
@@ -38,6 +39,16 @@ def test_values_are_shuffled_once_in_a_narrow_row(spark, monkeypatch):
     assert "hashpartitioning(g" in plan and "named_struct" not in plan
 
 
+def test_stored_days_are_shuffled_once(spark, monkeypatch):
+    pinned = _pinned(monkeypatch)
+    df = spark.createDataFrame([(D(2024, 1, 1 + i % 9), i % 50, i / 7, f"t{i % 5}") for i in range(200)], "d date, n long, x double, s string")
+    state = day_state(df, "d").localCheckpoint()
+    got = profile_many([Slice(df, "t", "d", "month", state=state)])
+    assert _plan(pinned["decimals"]).count("Exchange") == 1
+    rows = lambda x: sorted(x.drop("report_dttm").collect(), key=str)
+    assert rows(got) == rows(profile_periods(df, "t", "d", "month"))
+
+
 def test_medians_of_clustered_and_large_values(spark, monkeypatch):
     monkeypatch.setattr(M, "FEW_ROWS", 8)
     pinned = _pinned(monkeypatch)
