@@ -34,6 +34,7 @@ from ..functions.periods import normalise_interval, python_bounds, row_period_en
 from ..functions.types import median_value, numeric_value, text_key, text_value
 from ..schemas import STATISTICS, statistics_schema
 from ..sources.scratch import Scratch
+from ..sources.tables import narrow_splits
 from .median import MEDIAN_PARTS, median_by_parts
 from .structure import ColumnSpec, table_structure
 
@@ -307,14 +308,15 @@ def _order(k: Column, large: Column) -> Column:
     return F.coalesce(k, F.when(large > 0, beyond).otherwise(-beyond))
 
 
-def _levels(merged: DataFrame, partitions: int | None, scratch: Scratch) -> DataFrame:
-    """All metrics of the (period, table, column) groups, from their numbers.
+def _levels(merged: DataFrame, partitions: int | None, scratch: Scratch, columns: int) -> DataFrame:
+    """All metrics of the (period, table, column) groups, from their numbers; ``columns`` is how many values a row may have.
 
     The numbers are pinned where the last exchange has left them, or (``partitions``) spread over that many ranges, and
     medians are looked for in that many parts of a group.
     """
     spread = merged.repartitionByRange(partitions, "g", "k", "large") if partitions else merged
-    ranged = scratch.pin(spread.withColumn("cid", _group_keys()[2]).withColumn("__pid", F.spark_partition_id()), "decimals")
+    with narrow_splits(merged.sparkSession, columns):
+        ranged = scratch.pin(spread.withColumn("cid", _group_keys()[2]).withColumn("__pid", F.spark_partition_id()), "decimals")
     k, n, large = F.col("k"), F.col("n"), _large(F.col("large"))
     ranged = ranged.withColumn("o", _order(k, large))
     number = F.col("o").isNotNull()
@@ -470,7 +472,7 @@ def profile_many(
     if longs:
         merged.insert(0, _numbers(_union_of_all(longs)))
     with Scratch(spark, "profile") as scratch:
-        levels = _levels(_union(merged), median_partitions, scratch)
+        levels = _levels(_union(merged), median_partitions, scratch, max(len(sl.specs) for sl in slices))
         # The profile is small (periods x columns) and read several times
         # (deviations, history pool, storage): it is pinned, and the decimals
         # that it was computed from are deleted.

@@ -83,3 +83,26 @@ def test_tables_of_different_slots_in_one_job(spark):
     assert len(got) == 6
     assert got["a", "m", D(2024, 1, 31)].nulls_cnt == 1 and got["a", "m", D(2024, 1, 31)].median_value is None
     assert (got["b", "p", None].median_value, got["b", "p", None].nulls_cnt, got["b", "s", None].distinct_values_cnt) == (1.0, 1, 1)
+
+
+def test_values_are_counted_in_narrow_splits(spark, monkeypatch):
+    size, seen = "spark.sql.files.maxPartitionBytes", {}
+    before = spark.conf.get(size)
+
+    class Keep(P.Scratch):
+        def pin(self, df, name):
+            seen[name] = spark.conf.get(size)
+            return super().pin(df, name)
+
+    monkeypatch.setattr(P, "Scratch", Keep)
+    df = spark.createDataFrame([(D(2024, 1, 1), 1, 2.0, "a", 3)], "d date, n long, x double, s string, m int")
+    try:
+        for given, narrow in (("134217728b", 2**25), ("128MB", 2**25), ("1g", 2**28), ("8m", 2**22), (" 100 ", 100)):
+            spark.conf.set(size, given)
+            profile_periods(df, "t", "d", "month")
+            assert int(seen["decimals"]) == narrow and seen["groups"] == given == spark.conf.get(size)
+        with pytest.raises(Exception):
+            profile_periods(df.withColumn("n", F.raise_error(F.lit("no")).cast("long")), "t", "d", "month")
+        assert spark.conf.get(size) == given  # also after a failure
+    finally:
+        spark.conf.set(size, before)
