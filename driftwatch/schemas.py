@@ -117,4 +117,5 @@ TABLES = {
     "dq_setup_table": SETUP,
     "dq_deviations_setup": LIMITS,
     "dq_metrics": METRICS_TABLE,
+    "dq_snapshots": SNAPSHOTS,
 }
