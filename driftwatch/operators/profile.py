@@ -308,7 +308,7 @@ def _order(k: Column, large: Column) -> Column:
     return F.coalesce(k, F.when(large > 0, beyond).otherwise(-beyond))
 
 
-def _levels(merged: DataFrame, partitions: int | None, scratch: Scratch, columns: int) -> DataFrame:
+def _levels(merged: DataFrame, partitions: int | None, scratch: Scratch, columns: int = 1) -> DataFrame:
     """All metrics of the (period, table, column) groups, from their numbers; ``columns`` is how many values a row may have.
 
     The numbers are pinned where the last exchange has left them, or (``partitions``) spread over that many ranges, and
